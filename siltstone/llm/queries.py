@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import media, packing, simhash
+from siltstone.llm import media, mixing, oracles, packing, quality_rules, simhash
 from siltstone.llm.common import table
 
 #: Names of the tokenizer's files, to be found in the folder of public tokenizers.
@@ -19,6 +19,10 @@ TOKENIZER_RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER_JSON = "byte_bpe_50k.json"
 
 
+#: Weights of the sources; others have weight 1.
+MIX_WEIGHTS = {"src0": 8, "src1": 4, "src2": 2}
+
+
 def tokenizer_paths() -> tuple[str, str]:
     import public_tokenizers
 
@@ -29,6 +33,10 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.read_media(media.store_media(table(spark, sf_dir, "documents"))).withColumn("tile_bytes", F.octet_length("tile")).drop("tile")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents")).drop("char_distance", "common_distance")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), *tokenizer_paths())
 
@@ -38,9 +46,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
+    return mixing.mix(docs, MIX_WEIGHTS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_media": op1_media, "op4_packing": op4_packing, "op6_simhash": op6_simhash}
+    return {
+        "op1_media": op1_media,
+        "op3_quality_rules": op3_quality_rules,
+        "op4_packing": op4_packing,
+        "op6_simhash": op6_simhash,
+        "op9_mixing": op9_mixing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality_rules": oracles.quality(), "op9_mixing": oracles.mixture(MIX_WEIGHTS)}
