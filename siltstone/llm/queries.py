@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import media, mixing, oracles, packing, quality_rules, simhash
+from siltstone.llm import media, mixing, oracles, packing, pu_quality, quality_rules, simhash, toxicity
 from siltstone.llm.common import table
 
 #: Names of the tokenizer's files, to be found in the folder of public tokenizers.
@@ -33,6 +33,10 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.read_media(media.store_media(table(spark, sf_dir, "documents"))).withColumn("tile_bytes", F.octet_length("tile")).drop("tile")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents")).drop("char_distance", "common_distance")
 
@@ -46,6 +50,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
     return mixing.mix(docs, MIX_WEIGHTS)
@@ -54,9 +62,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_media": op1_media,
+        "op2_toxicity": op2_toxicity,
         "op3_quality_rules": op3_quality_rules,
         "op4_packing": op4_packing,
         "op6_simhash": op6_simhash,
+        "op7_pu_quality": op7_pu_quality,
         "op9_mixing": op9_mixing,
     }
 
