@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import media, mixing, oracles, packing, pu_quality, quality_rules, simhash, toxicity
+from siltstone.llm import media, mixing, oracles, packing, pu_quality, quality_rules, simhash, toxicity, warc
 from siltstone.llm.common import table
 
 #: Names of the tokenizer's files, to be found in the folder of public tokenizers.
@@ -59,6 +59,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, MIX_WEIGHTS)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_media": op1_media,
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_simhash": op6_simhash,
         "op7_pu_quality": op7_pu_quality,
         "op9_mixing": op9_mixing,
+        "op10_warc": op10_warc,
     }
 
 
