@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import media, mixing, oracles, packing, pu_quality, quality_rules, simhash, toxicity, warc
+from siltstone.llm import media, mixing, oracles, packing, pu_quality, quality_rules, simhash, toxicity, transcripts, warc
 from siltstone.llm.common import table
 
 #: Names of the tokenizer's files, to be found in the folder of public tokenizers.
@@ -54,6 +54,11 @@ def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = transcripts.parse(transcripts.raw_transcripts(table(spark, sf_dir, "conversations")))
+    return found.select(F.col("conv").cast("long").alias("conv_id"), F.col("position").alias("turn"), "role", "turns_begun", "n_lines", "rendered")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
     return mixing.mix(docs, MIX_WEIGHTS)
@@ -71,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": op4_packing,
         "op6_simhash": op6_simhash,
         "op7_pu_quality": op7_pu_quality,
+        "op8_transcripts": op8_transcripts,
         "op9_mixing": op9_mixing,
         "op10_warc": op10_warc,
     }
