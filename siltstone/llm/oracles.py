@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from siltstone.llm import line_dedup as line_dedup_operator
 from siltstone.llm import mixing, quality_rules
 
 LIST_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -91,3 +92,43 @@ WITH RECURSIVE d AS (
 SELECT placed.doc_id, placed.source, (since + slot)::BIGINT AS slot, (rank % {block})::BIGINT AS place_in_block, block::BIGINT AS block,
   (since + rel)::BIGINT AS release, (since + due)::BIGINT AS deadline, since + slot < stop.stop AS in_mix
 FROM placed JOIN turns ON turns.source = placed.source AND turns.turn = block % weight, stop"""
+
+
+def line_dedup() -> str:
+    least = line_dedup_operator.MIN_TOKENS
+    return f"""
+WITH l AS (
+  SELECT doc_id, unnest(range(0, len(x))) AS line, unnest(x) AS t FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)
+), s AS (
+  SELECT t, min(({{'d': doc_id, 'l': line}})) AS pos, any_value(w) AS w FROM (SELECT *, list_distinct(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS w FROM l) WHERE len(w) >= {least} GROUP BY t
+), u AS (
+  SELECT pos, unnest(w) AS tok, len(w) AS n FROM s
+), f AS (
+  SELECT tok, count(*) AS df FROM u GROUP BY tok
+), p AS (
+  SELECT pos, n, tok FROM (SELECT pos, n, tok, row_number() OVER (PARTITION BY pos ORDER BY df, tok) AS k FROM u JOIN f USING (tok)) WHERE k <= n - (4 * n + 4) // 5 + 1
+), c AS (
+  SELECT DISTINCT x.pos AS later, y.pos AS earlier FROM p x JOIN p y ON x.tok = y.tok AND y.pos < x.pos AND x.n * 5 >= y.n * 4 AND y.n * 5 >= x.n * 4
+), m AS (
+  SELECT DISTINCT later AS pos FROM c JOIN s a ON a.pos = later JOIN s b ON b.pos = earlier
+  WHERE 9 * len(list_intersect(a.w, b.w)) >= 4 * (len(a.w) + len(b.w))
+), r AS (
+  SELECT l.doc_id, l.line, coalesce({{'d': l.doc_id, 'l': l.line}} > s.pos OR m.pos IS NOT NULL, false) AS gone FROM l LEFT JOIN s ON l.t = s.t LEFT JOIN m ON m.pos = s.pos
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed, coalesce(string_agg(line::VARCHAR, ',' ORDER BY line) FILTER (gone), '') AS removed
+FROM r GROUP BY doc_id"""
+
+
+def warc_captures() -> str:
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    part = lambda k: "('0x' || substr(h, {}, 5))::BIGINT".format(5 * k + 1)
+    digits = " || ".join(f"substr('{alphabet}', ((({part(k)} >> {shift}) & 31) + 1)::INT, 1)" for k in range(8) for shift in (15, 10, 5, 0))
+    return f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p
+)
+SELECT page_id, payload_bytes, {digits} AS payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM f"""

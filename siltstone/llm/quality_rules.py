@@ -11,7 +11,7 @@ words has no histogram, and fails the base rules.  A null language is a language
 of its own; one without a list of common words is judged by characters alone.
 If no document of a language passes the base rules there is no reference and the
 base rules alone decide.  Repeated rows are judged each; extra columns of the
-input are kept by ``measure`` and ``judge``.
+input are kept by ``measure``, ``judge`` and ``kept_documents``.
 """
 
 from __future__ import annotations
@@ -106,20 +106,21 @@ def measure(docs: DataFrame) -> DataFrame:
 
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     words = F.filter(F.split(text, GAP), lambda w: w != "")
-    return docs.withColumn("_words", let(words, of_words)).withColumn(
-        "_quality",
-        F.struct(
-            lang.alias("lang"),
-            F.col("_words.n_words").alias("n_words"),
-            without(GAP).cast("long").alias("word_chars"),
-            (F.length(text) - without(CLASSES["symbol"])).cast("long").alias("n_symbols"),
-            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-            F.col("_words.n_repeat_words").alias("n_repeat_words"),
-            F.length(text).cast("long").alias("n_chars"),
-            *((F.length(text) - without(CLASSES[c])).cast("long").alias(c) for c in list(CLASSES)[1:]),
-            F.col("_words.common").alias("common"),
-        ),
-    ).drop("_words")
+    measures = F.struct(
+        lang.alias("lang"),
+        let(words, of_words).alias("words"),
+        without(GAP).cast("long").alias("word_chars"),
+        (F.length(text) - without(CLASSES["symbol"])).cast("long").alias("n_symbols"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        F.length(text).cast("long").alias("n_chars"),
+        *((F.length(text) - without(CLASSES[c])).cast("long").alias(c) for c in list(CLASSES)[1:]),
+    )
+    # A generator's output is evaluated once, however many expressions mention it.
+    made = docs.select(*docs.columns, F.explode(F.array(measures)).alias("_measures"))
+    kept = [c for c in BASE if c not in ("n_words", "n_repeat_words")]
+    flat = [F.col("_measures.words.n_words").alias("n_words"), *(F.col(f"_measures.{c}").alias(c) for c in ["lang", "n_chars", *kept, *list(CLASSES)[1:]])]
+    flat += [F.col("_measures.words.n_repeat_words").alias("n_repeat_words"), F.col("_measures.words.common").alias("common")]
+    return made.select(*docs.columns, F.struct(*flat).alias("_quality"))
 
 
 def base_failed(q: str = "_quality") -> Column:
@@ -128,60 +129,67 @@ def base_failed(q: str = "_quality") -> Column:
 
 
 def histograms(measured: DataFrame) -> DataFrame:
-    """``measured`` with a column for each class of both histograms."""
+    """``measured`` with both histograms, arrays of counts in the order of CHARS and COMMONS."""
     q = lambda name: F.col(f"_quality.{name}")
-    space = q("n_chars") - q("word_chars")
-    rest = q("word_chars") - q("n_symbols") - sum((q(c) for c in list(CLASSES)[1:]), F.lit(0))
-    chars = {"symbol": q("n_symbols"), **{c: q(c) for c in list(CLASSES)[1:]}, "space": space, "other": rest}
-    known = F.size(q("common")) > 1
-    common = {f"common_{k}": F.when(known, F.get(q("common"), F.lit(k))).otherwise(0).cast("long") for k in range(COMMON_COUNT)}
-    common["common_other"] = F.when(known, q("n_words") - F.element_at(q("common"), -1)).otherwise(0)
-    return measured.withColumns({f"_h_{k}": v for k, v in (chars | common).items()})
-
-
-def distance(own: list[str], ref: list[str]) -> Column:
-    """Jensen-Shannon distance of two histograms; null if one of them is empty."""
-    def shares(names):
-        total = sum((F.col(c) for c in names), F.lit(0))
-        return [F.col(c) / F.when(total > 0, total) for c in names]
-
-    terms = F.lit(0.0)
-    for p, q in zip(shares(own), shares(ref), strict=True):
+    counted = [q("n_symbols"), *(q(c) for c in list(CLASSES)[1:])]
+    chars = F.array(*counted, q("n_chars") - q("word_chars"), q("word_chars") - sum(counted[1:], counted[0]))
+    # An unknown language's list is empty, and so is its histogram.
+    common = F.transform(q("common"), lambda n, k: F.when(k < F.size(q("common")) - 1, n.cast("long")).when(F.size(q("common")) > 1, q("n_words") - n).otherwise(F.lit(0).cast("long")))
+    common = F.concat(common, F.array_repeat(F.lit(0).cast("long"), F.greatest(F.lit(len(COMMONS)) - F.size(q("common")), F.lit(0))))
+    return measured.withColumn("_chars", chars).withColumn("_commons", common)
+
+
+def distance(own: str, ref: str) -> Column:
+    """Jensen-Shannon distance of two histograms; null if one of them is empty or missing."""
+
+    def shares(name: str) -> Column:
+        total = F.aggregate(F.col(name), F.lit(0).cast("long"), lambda x, y: x + y)
+        return let(F.when(total > 0, total), lambda n: F.transform(F.col(name), lambda x: x / n))
+
+    def term(p: Column, q: Column) -> Column:
         m = (p + q) / 2
-        for x in (p, q):
-            terms = terms + F.when(x > 0, x * F.log2(x / m) / 2).when(x.isNotNull(), 0.0)
-    return F.sqrt(F.greatest(terms, F.lit(0.0)))
+        return F.when(p > 0, p * F.log2(p / m) / 2).when(p.isNotNull(), 0.0) + F.when(q > 0, q * F.log2(q / m) / 2).when(q.isNotNull(), 0.0)
+
+    total = F.aggregate(F.zip_with(shares(own), shares(ref), term), F.lit(0.0), lambda x, y: x + y)
+    return F.sqrt(F.greatest(total, F.when(total.isNotNull(), F.lit(0.0))))
 
 
 def references(histogram: DataFrame) -> DataFrame:
     """Sums of the histograms over each language's documents of prose: they pass the base rules with few symbols and capitals."""
-    sums = [F.sum(f"_h_{c}").alias(f"_r_{c}") for c in CHARS + COMMONS]
-    prose = (F.col("_h_symbol") * 100 <= F.col("_quality.n_chars") * SYMBOL_PERCENT) & (F.col("_h_upper") * 100 <= F.col("_quality.n_chars") * UPPER_PERCENT)
-    return histogram.where(~base_failed() & prose).groupBy(F.col("_quality.lang").alias("_lang")).agg(*sums)
+    capitals, symbols, n = F.col("_quality.upper"), F.col("_quality.n_symbols"), F.col("_quality.n_chars")
+    prose = (symbols * 100 <= n * SYMBOL_PERCENT) & (capitals * 100 <= n * UPPER_PERCENT)
+    sums = lambda name, of: F.array(*(F.sum(F.get(name, F.lit(k))) for k in range(len(of))))
+    return histogram.where(~base_failed() & prose).groupBy(F.col("_quality.lang").alias("_lang")).agg(sums("_chars", CHARS).alias("_ref_chars"), sums("_commons", COMMONS).alias("_ref_commons"))
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_quality`` (measures), ``_base_failed``, ``_kept`` and both distances."""
-    measured = cut(measure(docs), "measures")
+def judge(measured: DataFrame, refs: DataFrame) -> DataFrame:
+    """``measured`` with ``_base_failed``, ``_kept`` and both distances."""
     held = histograms(measured)
-    refs = cut(references(held), "references")
     small = refs.count() <= LANGUAGES
     joined = held.join(F.broadcast(refs) if small else refs, F.col("_quality.lang") == F.col("_lang"), "left")
-    joined = joined.withColumn("_base_failed", base_failed())
-    joined = joined.withColumn("_char_distance", distance([f"_h_{c}" for c in CHARS], [f"_r_{c}" for c in CHARS]))
-    joined = joined.withColumn("_common_distance", distance([f"_h_{c}" for c in COMMONS], [f"_r_{c}" for c in COMMONS]))
+    joined = joined.withColumn("_base_failed", base_failed()).withColumn("_char_distance", distance("_chars", "_ref_chars")).withColumn("_common_distance", distance("_commons", "_ref_commons"))
     odd_chars = F.coalesce(F.col("_char_distance") > CHAR_DISTANCE, F.lit(False))
     odd_words = F.coalesce((F.col("_common_distance") > COMMON_DISTANCE) & (F.col("_quality.n_words") >= COMMON_MIN_WORDS), F.lit(False))
     joined = joined.withColumn("_kept", ~F.col("_base_failed") & ~odd_chars & ~odd_words)
-    return joined.drop(*(f"_{k}_{c}" for k in "hr" for c in CHARS + COMMONS), "_lang")
+    return joined.drop("_chars", "_commons", "_ref_chars", "_ref_commons", "_lang")
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
-    """doc_id, the base measures, base_failed and kept."""
-    judged = judge(docs.select("doc_id", "text", "lang"))
-    return judged.select("doc_id", *(F.col(f"_quality.{c}").alias(c) for c in BASE), F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.col("_char_distance").alias("char_distance"), F.col("_common_distance").alias("common_distance"))
+    """doc_id, the base measures, base_failed, kept and both distances.
+
+    Texts are measured once; their measures are kept as a table, without the texts.
+    """
+    measured = cut(measure(docs.select("doc_id", "text", "lang")).select("doc_id", "_quality"), "measures")
+    judged = judge(measured, cut(references(histograms(measured)), "references"))
+    base = [F.col(f"_quality.{c}").alias(c) for c in BASE]
+    return judged.select("doc_id", *base, F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.col("_char_distance").alias("char_distance"), F.col("_common_distance").alias("common_distance"))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept."""
-    return judge(docs).where("_kept").select(*docs.columns)
+    """The rows of ``docs`` that are kept.
+
+    Texts are measured twice, for the references and for the verdicts, as that
+    takes neither a copy of them nor a join.
+    """
+    measured = measure(docs)
+    return judge(measured, cut(references(histograms(measured)), "references")).where("_kept").select(*docs.columns)

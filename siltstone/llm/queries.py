@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import media, mixing, oracles, packing, pu_quality, quality_rules, simhash, toxicity, transcripts, warc
+from siltstone.llm import line_dedup, media, mixing, oracles, packing, pu_quality, quality_rules, simhash, toxicity, transcripts, warc
 from siltstone.llm.common import table
 
 #: Names of the tokenizer's files, to be found in the folder of public tokenizers.
@@ -45,6 +45,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), *tokenizer_paths())
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    doc_id = F.when(F.col("doc") < line_dedup.LAST, F.col("doc"))
+    return found.select(doc_id.alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -65,7 +71,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_pages(table(spark, sf_dir, "pages"))
+    found = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -74,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": op2_toxicity,
         "op3_quality_rules": op3_quality_rules,
         "op4_packing": op4_packing,
+        "op5_line_dedup": op5_line_dedup,
         "op6_simhash": op6_simhash,
         "op7_pu_quality": op7_pu_quality,
         "op8_transcripts": op8_transcripts,
@@ -83,4 +91,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": oracles.quality(), "op9_mixing": oracles.mixture(MIX_WEIGHTS)}
+    return {
+        "op3_quality_rules": oracles.quality(),
+        "op5_line_dedup": oracles.line_dedup(),
+        "op9_mixing": oracles.mixture(MIX_WEIGHTS),
+        "op10_warc": oracles.warc_captures(),
+    }
