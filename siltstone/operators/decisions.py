@@ -9,12 +9,13 @@ from pyspark.sql import types as T
 from siltstone.contracts import COMPLETENESS, FORBIDDEN_NAMES, OBSERVED_ACTION, RECONSTRUCTION_LEVELS, DecisionContract
 
 
-def decision_samples(events: DataFrame, contract: DecisionContract) -> DataFrame:
+def decision_samples(events: DataFrame, contract: DecisionContract, carry: tuple[str, ...] = ()) -> DataFrame:
     """A row for each decision: sample_key, input, label, post_decision and statuses.
 
     ``input`` holds the declared safe fields alone, of rows before the decision:
     the last known value of each, and a bounded history.  Rows of a game lie in
-    one task, sorted; only ``history`` of them are held.
+    one task, sorted; only ``history`` of them are held.  ``carry`` names columns, as
+    of provenance, to keep as they are.
     """
     game, position = contract.game, contract.position
     order = Window.partitionBy(game).orderBy(position)
@@ -40,6 +41,7 @@ def decision_samples(events: DataFrame, contract: DecisionContract) -> DataFrame
         F.struct(action.alias("observed_action"), F.lit("source_direct").alias("origin")).alias("label"),
         F.struct(F.col("_next").alias("next_action"), *(F.col(c) for c in contract.outcome)).alias("post_decision"),
         *([F.col(contract.actor).alias("actor")] if contract.actor else []),
+        *(F.col(c) for c in carry),
         F.lit(contract.level).alias("reconstruction_level"),
         complete.alias("information_completeness"),
         F.lit("unknown").alias("legal_actions_status"),
