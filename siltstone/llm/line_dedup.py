@@ -13,15 +13,18 @@ length filter, the positional filter, and a bound on their difference from 64
 parity bits of each line's tokens, which none as similar as asked can fail; the
 Jaccard similarity of those left is verified.
 
-The join asks which lines have an earlier match, not for all pairs.  So each line
-is first held against the earliest line of each of its tokens, which settles
-nearly all of a group of copies however large; only lines not settled then are
-joined with all earlier lines of their tokens.
+The join asks which lines have an earlier match, not for all pairs.  So in each
+token's list every line is first held against the earliest one, and against the
+earliest of those that it does not settle; in a group of copies, however large,
+that leaves few.  The others are joined with all earlier lines of the list.  Lines
+that were held against such leaders alone, and whose pairs fail verification, are
+joined in full once more, so no match is lost.
 
 All of it is SQL functions; a token is a word's 32-bit hash, a line's identity the
 XXH64 of its text.  Null text is the empty text, whose one line is kept.  Very long
-lines and texts are sets of words like others.  Rows that repeat a doc_id share
-their lines' places and do not remove each other's.  A null doc_id comes last.
+lines and texts are sets of words like others.  Rows of one doc_id are one document:
+equal lines at one place do not remove each other, and if one at a place goes, so do
+the others.  Null doc_ids are one document, the last.
 No documents give no rows.  Extra columns are kept by ``dedup_lines``.
 """
 
@@ -36,35 +39,77 @@ from siltstone.llm.common import GAP, cut, let
 
 MIN_TOKENS = 5
 BUCKETS = 1 << 16
-#: Keys of lines are broadcast up to so many, 8 bytes each.
-KEYS = 1_000_000
-#: A token's list is dealt out in parts of about so many lines.
-LIST_PART = 4096
-LAST = (1 << 63) - 1
+#: Places, keys and tokens are broadcast up to so many, 16 bytes each.
+FEW = 1_000_000
+SPACES = "\t\x0b\x0c\r"
+
+
+def is_few(table: DataFrame) -> bool:
+    """Whether a cut table's rows may be broadcast."""
+    return table.count() <= FEW
 
 
 def numbered_lines(docs: DataFrame) -> DataFrame:
-    """(doc, line, key, text): each line of each document; equal lines have equal keys."""
+    """(doc, line, text): each line of each document."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.posexplode(F.split(text, "\n")).alias("line", "text"))
-    return rows.withColumn("key", F.xxhash64("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.posexplode(F.split(text, "\n")).alias("line", "text"))
+
+
+def placed(lines: DataFrame) -> DataFrame:
+    """(doc, line, key, place), cut: ``key`` is of a line's text, ``place`` puts lines in order.
+
+    Places are packed in one long, as doc_ids and line numbers of real corpora fit;
+    for ids that lie too far apart, documents are numbered first.
+    """
+    found = cut(lines.select("doc", "line", F.xxhash64("text").alias("key")), "lines")
+    low, high, most = found.agg(F.min("doc"), F.max("doc"), F.max("line")).first()
+    low, high, width = low or 0, high or 0, int(most or 0).bit_length()
+    if (high - low + 1).bit_length() + width <= 63:
+        rank = F.coalesce(F.col("doc") - F.lit(low), F.lit(high - low + 1))
+        return found.withColumn("place", F.shiftleft(rank, width).bitwiseOR(F.col("line").cast("long")))
+    ids = found.select("doc").distinct().repartitionByRange(F.col("doc").asc_nulls_last()).sortWithinPartitions(F.col("doc").asc_nulls_last())
+    ids = cut(ids.withColumn("part", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "doc-order")
+    before, starts = 0, {}
+    for part, n in sorted(ids.groupBy("part").count().collect()):  # one row a partition
+        starts[part], before = before, before + n
+    start = F.element_at(F.create_map(*(F.lit(x) for kv in starts.items() for x in kv)), F.col("part"))
+    ranks = ids.select(F.col("doc").alias("_doc"), (start + F.col("nth")).alias("_rank"))
+    ranked = found.join(ranks, F.col("doc").eqNullSafe(F.col("_doc")))
+    return cut(ranked.select("doc", "line", "key", F.shiftleft("_rank", width).bitwiseOR(F.col("line").cast("long")).alias("place")), "lines-placed")
 
 
 def tokens_of(text: Column) -> Column:
-    words = F.filter(F.split(text, GAP), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.hash(w)))
+    odd = F.lit(False)
+    for c in SPACES:
+        odd = odd | F.contains(text, F.lit(c))
+    words = F.when(odd, F.split(text, GAP)).otherwise(F.split(text, " "))
+    return F.array_distinct(F.transform(F.array_remove(words, ""), lambda w: F.hash(w)))
 
 
 def parity(tokens: Column) -> Column:
     """64 bits, each the parity of how many tokens fall on it."""
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 16).bitwiseAND(F.lit(63)))
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 16))  # noqa: E731  the shift takes the lowest six bits
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(bit(t)))
 
 
-def different_lines(lines: DataFrame) -> DataFrame:
-    """(key, doc, line, tokens, n, bits) of the first of each group of equal lines, cut."""
-    firsts = lines.where(F.length("text") >= 2 * MIN_TOKENS - 1).groupBy("key").agg(F.min(F.struct("doc", "line")).alias("at"), F.first("text").alias("text"))
-    sets = firsts.select("key", "at.doc", "at.line", tokens_of(F.col("text")).alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
+def repeated_keys(places: DataFrame) -> DataFrame:
+    """(key, first) of the texts that stand at more than one place, cut."""
+    found = places.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
+    return cut(found.select("key", "first"), "repeated-keys")
+
+
+def different_lines(docs: DataFrame, places: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(place, tokens, n, bits) of the first of each group of equal lines, cut."""
+    low, high, most = places.agg(F.min("doc"), F.max("doc"), F.max("line")).first()
+    lines = numbered_lines(docs).where(F.length("text") >= 2 * MIN_TOKENS - 1).withColumn("key", F.xxhash64("text"))
+    width = int(most or 0).bit_length()
+    if ((high or 0) - (low or 0) + 1).bit_length() + width <= 63:
+        rank = F.coalesce(F.col("doc") - F.lit(low or 0), F.lit((high or 0) - (low or 0) + 1))
+        lines = lines.withColumn("place", F.shiftleft(rank, width).bitwiseOR(F.col("line").cast("long")))
+    else:
+        lines = lines.join(places.select(F.col("doc").alias("_doc"), F.col("line").alias("_line"), "place"), F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("line") == F.col("_line"))).dropDuplicates(["place", "key"])
+    lines = lines.join(F.broadcast(repeated) if is_few(repeated) else repeated, "key", "left").where("first IS NULL OR first = place")
+    sets = lines.select("place", tokens_of(F.col("text")).alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
     return cut(sets.withColumn("n", F.size("tokens")).withColumn("bits", parity(F.col("tokens"))), "different-lines")
 
 
@@ -79,71 +124,89 @@ def rarity(different: DataFrame) -> list[int]:
 
 
 def postings(different: DataFrame) -> DataFrame:
-    """(token, part, key, doc, line, n, k, bits): each line's prefix, k its position in order of rarity.
+    """(token, place, nk, bits), cut: each line's prefix.
 
-    ``part`` deals out a list that may be long, going by the count of its bucket.
+    ``nk`` holds the line's number of tokens and, in its lower half, the token's
+    position in order of rarity.
     """
     ranks = F.split(F.lit(",".join(map(str, rarity(different)))), ",").cast("array<int>")
     ordered = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(F.element_at(ranks, t.bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("long"), 32).bitwiseOR(t.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))))
     prefix = F.slice(ordered, 1, F.col("n") - F.floor((F.col("n") * 4 + 4) / 5).cast("int") + 1)
-    rows = different.select("key", "doc", "line", "n", "bits", F.posexplode(prefix).alias("k", "token"))
-    parts = F.greatest(F.lit(1), F.floor(F.pow(2.0, F.shiftright("token", 32) / 2) / LIST_PART).cast("long"))
-    return rows.withColumn("part", F.pmod("key", parts))
+    rows = different.select("place", "n", "bits", F.posexplode(prefix).alias("k", "token"))
+    return cut(rows.select("token", "place", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("k").cast("long")).alias("nk"), "bits"), "postings")
 
 
 def may_match(a: str, b: str) -> Column:
     """Length, positional and parity filters of two postings of one token."""
-    x = lambda side, name: F.col(f"{side}.{name}")
-    total = x(a, "n") + x(b, "n")
-    shared = F.floor((total * 4 + 8) / 9).cast("int")  # tokens that the two must share
+    n = lambda side: F.shiftright(F.col(f"{side}.nk"), 32)
+    after = lambda side: n(side) - F.col(f"{side}.nk").bitwiseAND(F.lit(0xFFFFFFFF))  # noqa: E731  tokens from this one on
+    total = n(a) + n(b)
+    # The two must share 4/9 of their tokens' number.
     return (
-        (x(a, "n") * 5 >= x(b, "n") * 4)
-        & (x(b, "n") * 5 >= x(a, "n") * 4)
-        & (F.least(x(a, "n") - x(a, "k"), x(b, "n") - x(b, "k")) >= shared)
-        & (F.bit_count(x(a, "bits").bitwiseXOR(x(b, "bits"))) <= total - 2 * shared)
+        (F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) * 9 <= total)
+        & (n(a) * 5 >= n(b) * 4)
+        & (n(b) * 5 >= n(a) * 4)
+        & (F.least(after(a), after(b)) * 9 >= total * 4)
     )
 
 
-def only(table: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
-    """``table`` with (or, for ``left_anti``, without) the given keys, a cut table."""
-    return table.join(F.broadcast(keys) if keys.count() <= KEYS else keys, "key", how)
+def verified(pairs: DataFrame, different: DataFrame) -> DataFrame:
+    """(place, cut) of those (later, earlier) pairs' later lines whose Jaccard similarity is at least 0.8."""
+    used = cut(pairs.select(F.explode(F.array("later", "earlier")).alias("place")).distinct(), "paired")
+    sets = different.select("place", "tokens").join(F.broadcast(used) if is_few(used) else used, "place", "left_semi")
+    both = pairs.join(sets.select(F.col("place").alias("later"), F.col("tokens").alias("a")), "later").join(sets.select(F.col("place").alias("earlier"), F.col("tokens").alias("b")), "earlier")
+    shared = F.size(F.array_intersect("a", "b"))
+    return cut(both.where(shared * 9 >= (F.size("a") + F.size("b")) * 4).select(F.col("later").alias("place")).distinct(), "verified")
 
 
-def verified(pairs: DataFrame, different: DataFrame, name: str) -> DataFrame:
-    """Keys (of ``later``) of those (later, earlier) pairs whose Jaccard similarity is at least 0.8."""
-    pairs = cut(pairs.distinct(), name)
-    used = cut(pairs.select(F.col("later").alias("key")).union(pairs.select("earlier")).distinct(), name + "-keys")
-    sets = only(different.select("key", "tokens"), used)
-    both = pairs.join(sets.select(F.col("key").alias("later"), F.col("tokens").alias("a")), "later").join(sets.select(F.col("key").alias("earlier"), F.col("tokens").alias("b")), "earlier")
-    shared = F.size(F.array_intersect("a", "b"))
-    return cut(both.where(shared * 9 >= (F.size("a") + F.size("b")) * 4).select(F.col("later").alias("key")).distinct(), name + "-found")
+def joined(some: DataFrame, rows: DataFrame) -> DataFrame:
+    """(later, earlier, led) candidates of some postings among all earlier ones of their tokens."""
+    pairs = some.alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.place") < F.col("x.place")) & may_match("x", "y"))
+    return pairs.select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier"), F.lit(False).alias("led"))
 
 
-def matched_keys(different: DataFrame) -> DataFrame:
-    """Keys of the different lines that have an earlier match."""
+def matched_places(different: DataFrame) -> DataFrame:
+    """Places of the different lines that have an earlier match, cut."""
     rows = postings(different)
-    here = F.struct("key", "n", "k", "bits")
-    first = F.first(here).over(Window.partitionBy("token", "part").orderBy("doc", "line", "key"))
-    led = rows.select(here.alias("own"), first.alias("lead")).where((F.col("own.key") != F.col("lead.key")) & may_match("own", "lead"))
-    settled = verified(led.select(F.col("own.key").alias("later"), F.col("lead.key").alias("earlier")), different, "led")
-    rows = rows.drop("part")
-    rest = only(rows, settled, "left_anti").alias("x")
-    earlier = rows.alias("y")
-    before = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.line") < F.col("x.line")))
-    pairs = rest.join(earlier.hint("merge"), (F.col("x.token") == F.col("y.token")) & before & may_match("x", "y"))
-    others = verified(pairs.select(F.col("x.key").alias("later"), F.col("y.key").alias("earlier")), different, "rest")
-    return cut(settled.unionByName(others), "matched")
+    order = Window.partitionBy("token").orderBy("place")
+    here = F.struct("place", "nk", "bits")
+    marked = rows.select("*", here.alias("own"), F.first(here).over(order).alias("lead"))
+    marked = marked.withColumn("led", (F.col("place") != F.col("lead.place")) & may_match("own", "lead"))
+    # The second leader: the earliest but the first that the first does not settle.
+    free = F.when(~F.col("led") & (F.col("place") != F.col("lead.place")), F.col("own"))
+    marked = marked.withColumn("next", F.first(free, ignorenulls=True).over(order))
+    again = ~F.col("led") & F.coalesce((F.col("place") != F.col("next.place")) & may_match("own", "next"), F.lit(False))
+    by_lead = marked.where("led").select(F.col("place").alias("later"), F.col("lead.place").alias("earlier"), F.lit(True).alias("led"))
+    by_next = marked.where(again).select(F.col("place").alias("later"), F.col("next.place").alias("earlier"), F.lit(True).alias("led"))
+    rest = marked.where(~F.col("led") & ~again).select("token", "place", "nk", "bits")
+    pairs = by_lead.unionByName(by_next).unionByName(joined(rest, rows))
+    pairs = cut(pairs.groupBy("later", "earlier").agg(F.max("led").alias("led")), "candidates")
+    found = verified(pairs, different)
+    # Lines that leaders seemed to settle but did not: their lists in full.
+    open_lines = cut(pairs.where("led").select(F.col("later").alias("place")).distinct().join(found, "place", "left_anti"), "open-lines")
+    if not open_lines.head(1):
+        return found
+    some = cut(rows.join(F.broadcast(open_lines) if is_few(open_lines) else open_lines, "place", "left_semi"), "open-postings")
+    lists = some.select("token").distinct()
+    few = is_few(some)
+    near = rows.join(F.broadcast(lists) if few else lists, "token", "left_semi")
+    more = cut(joined(F.broadcast(some) if few else some, near).select("later", "earlier").distinct(), "open-candidates")
+    return cut(found.unionByName(verified(more, different)), "matched")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc, n_lines, removed): each document's removed line numbers, in order."""
-    lines = numbered_lines(docs)
-    different = different_lines(lines)
-    # A line goes if its text came before, or if its text's first line has an earlier match.
-    known = different.select("key", F.col("doc").alias("first_doc"), F.col("line").alias("first_line")).join(matched_keys(different).withColumn("matched", F.lit(True)), "key", "left")
-    places = lines.select("doc", "line", "key").join(known, "key", "left")
-    gone = F.coalesce(F.col("matched") | (F.col("doc") > F.col("first_doc")) | ((F.col("doc") == F.col("first_doc")) & (F.col("line") > F.col("first_line"))), F.lit(False))
-    return places.groupBy("doc").agg((F.max("line") + 1).cast("long").alias("n_lines"), F.sort_array(F.collect_set(F.when(gone, F.col("line")))).alias("removed"))
+    places = placed(numbered_lines(docs))
+    repeated = repeated_keys(places)
+    different = different_lines(docs, places, repeated)
+    # A text that came before goes, and a line that has an earlier match; of the
+    # match's own repeats, all stand later.
+    long_enough = places.join(different.select("place"), "place", "left_semi").select("key").distinct()
+    again = cut(repeated.join(long_enough, "key", "left_semi"), "repeated-long")
+    gone = matched_places(different).withColumn("matched", F.lit(True))
+    marked = places.join(F.broadcast(again) if is_few(again) else again, "key", "left").join(F.broadcast(gone) if is_few(gone) else gone, "place", "left")
+    out = F.coalesce("matched", F.lit(False)) | F.coalesce(F.col("place") > F.col("first"), F.lit(False))
+    return marked.groupBy("doc").agg((F.max("line") + 1).cast("long").alias("n_lines"), F.sort_array(F.collect_set(F.when(out, F.col("line")))).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -151,8 +214,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     A null text stays null.
     """
-    found = cut(removed_lines(docs).where(F.size("removed") > 0).select("doc", "removed"), "removed-lines")
-    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).join(found.select(F.col("doc").alias("_doc"), F.col("removed").alias("_removed")), "_doc", "left")
+    found = cut(removed_lines(docs).where(F.size("removed") > 0).select(F.col("doc").alias("_doc"), F.col("removed").alias("_removed")), "removed-lines")
+    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).join(found, F.col("_id").eqNullSafe(F.col("_doc")), "left")
     lines = F.split(F.col("text"), "\n")
     kept = let(F.col("_removed"), lambda gone: F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n"))
     return keyed.withColumn("text", F.when(F.col("_removed").isNull() | F.col("text").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)

@@ -58,7 +58,7 @@ def shares(text: str | None) -> list[float]:
 
 def steps(found: np.ndarray) -> np.ndarray:
     """Step features of rows of shares, and a constant."""
-    over = (found[:, :, None] > np.array(STEPS)).reshape(len(found), -1)
+    over = (found[:, :, None] > np.array(STEPS)).reshape(len(found), found.shape[1] * len(STEPS))
     return np.column_stack([over, np.ones(len(found))]).astype(np.float64)
 
 

@@ -47,8 +47,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
-    doc_id = F.when(F.col("doc") < line_dedup.LAST, F.col("doc"))
-    return found.select(doc_id.alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+    return found.select(F.col("doc").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
