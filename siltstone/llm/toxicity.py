@@ -36,6 +36,8 @@ WINDOW = 8
 ORDINARY_BYTES, TOXIC_BYTES = 8_192, 4_096
 #: A beginning tells if it is in this share of the toxic documents, and so many times as common there.
 LEAST_SHARE, RATIO = 0.015, 12
+#: A clean document called toxic costs as much as so many toxic ones missed, in shares of either.
+CLEAN_WEIGHT = 3
 #: Beginnings of words of these lengths are candidates for what tells toxic text.
 PIECES = range(4, 9)
 FEATURES = 3
@@ -129,7 +131,7 @@ def telling_words(toxic: list[str], ordinary: list[str]) -> list[bytes]:
         return Counter({p: len(x) for p, x in found.items()})
 
     of_toxic, of_ordinary = begun(toxic), begun(ordinary)
-    least = max(3, LEAST_SHARE * len(toxic))
+    least = max(5, LEAST_SHARE * len(toxic))
     telling = {p for p, n in of_toxic.items() if n >= least and n * len(ordinary) > RATIO * (of_ordinary[p] + 0.25) * len(toxic)}
 
     def tells(w: bytes) -> bool:
@@ -171,12 +173,12 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         rest = np.arange(len(y))
     x = np.array([model.features(texts[k]) for k in rest])
     w = logistic(x, y[rest])
-    # Of the cuts between classes, that with the best balanced accuracy gets the score THRESHOLD.
+    # Of the cuts between classes, the best by both shares of right ones, CLEAN_WEIGHT for clean ones, gets the score THRESHOLD.
     z = x @ w
     order = np.sort(np.unique(z))
     cuts = (order[1:] + order[:-1]) / 2 if len(order) > 1 else order
     # equally good cuts: the middle one
-    good = np.array([np.mean(z[y[rest] == 1] >= c) + np.mean(z[y[rest] == 0] < c) for c in cuts])
+    good = np.array([np.mean(z[y[rest] == 1] >= c) + CLEAN_WEIGHT * np.mean(z[y[rest] == 0] < c) for c in cuts])
     best = cuts[np.flatnonzero(good >= good.max() - 1e-12)]
     model.weights = (*w[:-1], w[-1] - (best[0] + best[-1]) / 2 + np.log(THRESHOLD / (1 - THRESHOLD)))
     return model
