@@ -10,15 +10,15 @@ rarity: by the corpus counts of 65,536 hash buckets of words, over all different
 lines.  Two lines as similar as asked share a token of their prefixes (the rarest
 tokens, one more than may be missing).  Pairs with a shared prefix token pass the
 length filter, the positional filter, and a bound on their difference from 64
-parity bits of each line's tokens, which none as similar as asked can fail; the
+to 192 parity bits of each line's tokens, which none as similar as asked can fail; the
 Jaccard similarity of those left is verified.
 
 The join asks which lines have an earlier match, not for all pairs.  So in each
 token's list every line is first held against the earliest one, and against the
-earliest of those that it does not settle; in a group of copies, however large,
-that leaves few.  The others are joined with all earlier lines of the list.  Lines
-that were held against such leaders alone, and whose pairs fail verification, are
-joined in full once more, so no match is lost.
+earliest of those that it does not settle; lines whose match is verified are
+settled, which in a group of copies, however large, leaves few.  The others are
+joined with all earlier lines of their lists.  The lists are a table bucketed by
+token, which both steps read without another shuffle.
 
 All of it is SQL functions; a token is a word's 32-bit hash, a line's identity the
 XXH64 of its text.  Null text is the empty text, whose one line is kept.  Very long
@@ -35,10 +35,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import GAP, cut, let
+from siltstone.llm.common import GAP, cut, fresh_path, let
+from siltstone.llm.simhash import spark_partitions
 
 MIN_TOKENS = 5
 BUCKETS = 1 << 16
+#: Lines of up to so many tokens have 64 and 128 parity bits, longer ones 192.
+LANE_TOKENS = (48, 144)
+BITS = ["bits0", "bits1", "bits2"]
 #: Places, keys and tokens are broadcast up to so many, 16 bytes each.
 FEW = 1_000_000
 SPACES = "\t\x0b\x0c\r"
@@ -86,10 +90,19 @@ def tokens_of(text: Column) -> Column:
     return F.array_distinct(F.transform(F.array_remove(words, ""), lambda w: F.hash(w)))
 
 
-def parity(tokens: Column) -> Column:
-    """64 bits, each the parity of how many tokens fall on it."""
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 16))  # noqa: E731  the shift takes the lowest six bits
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(bit(t)))
+def lanes(n: Column) -> Column:
+    """How many longs hold a line's parity bits: more tokens need more bits."""
+    return F.when(n <= LANE_TOKENS[0], 1).when(n <= LANE_TOKENS[1], 2).otherwise(3)
+
+
+def parity(tokens: Column, n: Column) -> list[Column]:
+    """Three longs of bits, each the parity of how many tokens fall on it; unused ones are zero."""
+    # A shift takes the lowest six bits of its count.
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 16))
+    of = lambda found: F.aggregate(found, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(bit(t)))
+    lane = lambda k: F.filter(tokens, lambda t: F.pmod(F.shiftright(t, 22), lanes(n)) == k)
+    first = F.when(lanes(n) == 1, of(tokens)).otherwise(of(lane(0)))
+    return [first, *(F.when(lanes(n) > k, of(lane(k))).otherwise(F.lit(0).cast("long")) for k in (1, 2))]
 
 
 def repeated_keys(places: DataFrame) -> DataFrame:
@@ -99,7 +112,7 @@ def repeated_keys(places: DataFrame) -> DataFrame:
 
 
 def different_lines(docs: DataFrame, places: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(place, tokens, n, bits) of the first of each group of equal lines, cut."""
+    """(place, tokens, n, BITS) of the first of each group of equal lines, cut."""
     low, high, most = places.agg(F.min("doc"), F.max("doc"), F.max("line")).first()
     lines = numbered_lines(docs).where(F.length("text") >= 2 * MIN_TOKENS - 1).withColumn("key", F.xxhash64("text"))
     width = int(most or 0).bit_length()
@@ -110,7 +123,8 @@ def different_lines(docs: DataFrame, places: DataFrame, repeated: DataFrame) ->
         lines = lines.join(places.select(F.col("doc").alias("_doc"), F.col("line").alias("_line"), "place"), F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("line") == F.col("_line"))).dropDuplicates(["place", "key"])
     lines = lines.join(F.broadcast(repeated) if is_few(repeated) else repeated, "key", "left").where("first IS NULL OR first = place")
     sets = lines.select("place", tokens_of(F.col("text")).alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
-    return cut(sets.withColumn("n", F.size("tokens")).withColumn("bits", parity(F.col("tokens"))), "different-lines")
+    sets = sets.withColumn("n", F.size("tokens"))
+    return cut(sets.withColumns(dict(zip(BITS, parity(F.col("tokens"), F.col("n")), strict=True))), "different-lines")
 
 
 def rarity(different: DataFrame) -> list[int]:
@@ -123,17 +137,23 @@ def rarity(different: DataFrame) -> list[int]:
     return ranks
 
 
-def postings(different: DataFrame) -> DataFrame:
-    """(token, place, nk, bits), cut: each line's prefix.
+def postings(different: DataFrame) -> str:
+    """Name of a table (token, place, nk, BITS), bucketed by token: each line's prefix.
 
     ``nk`` holds the line's number of tokens and, in its lower half, the token's
     position in order of rarity.
     """
+    spark, parts = different.sparkSession, spark_partitions(different)
     ranks = F.split(F.lit(",".join(map(str, rarity(different)))), ",").cast("array<int>")
     ordered = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(F.element_at(ranks, t.bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("long"), 32).bitwiseOR(t.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))))
     prefix = F.slice(ordered, 1, F.col("n") - F.floor((F.col("n") * 4 + 4) / 5).cast("int") + 1)
-    rows = different.select("place", "n", "bits", F.posexplode(prefix).alias("k", "token"))
-    return cut(rows.select("token", "place", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("k").cast("long")).alias("nk"), "bits"), "postings")
+    rows = different.select("place", "n", *BITS, F.posexplode(prefix).alias("k", "token"))
+    rows = rows.select("token", "place", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("k").cast("long")).alias("nk"), *BITS)
+    path = fresh_path(spark, "postings")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    dealt = rows.repartition(parts, "token").sortWithinPartitions("token", "place")
+    dealt.write.bucketBy(parts, "token").sortBy("token", "place").option("path", path).option("compression", "zstd").saveAsTable(name)
+    return name
 
 
 def may_match(a: str, b: str) -> Column:
@@ -141,9 +161,13 @@ def may_match(a: str, b: str) -> Column:
     n = lambda side: F.shiftright(F.col(f"{side}.nk"), 32)
     after = lambda side: n(side) - F.col(f"{side}.nk").bitwiseAND(F.lit(0xFFFFFFFF))  # noqa: E731  tokens from this one on
     total = n(a) + n(b)
+    differ = [F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")) for c in BITS]
+    # Of lines with other numbers of longs, all longs taken together compare.
+    folded = F.bit_count(differ[0].bitwiseXOR(differ[1]).bitwiseXOR(differ[2]))
+    apart = F.when(lanes(n(a)) == lanes(n(b)), sum((F.bit_count(x) for x in differ[1:]), F.bit_count(differ[0]))).otherwise(folded)
     # The two must share 4/9 of their tokens' number.
     return (
-        (F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) * 9 <= total)
+        (apart * 9 <= total)
         & (n(a) * 5 >= n(b) * 4)
         & (n(b) * 5 >= n(a) * 4)
         & (F.least(after(a), after(b)) * 9 >= total * 4)
@@ -159,39 +183,26 @@ def verified(pairs: DataFrame, different: DataFrame) -> DataFrame:
     return cut(both.where(shared * 9 >= (F.size("a") + F.size("b")) * 4).select(F.col("later").alias("place")).distinct(), "verified")
 
 
-def joined(some: DataFrame, rows: DataFrame) -> DataFrame:
-    """(later, earlier, led) candidates of some postings among all earlier ones of their tokens."""
-    pairs = some.alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.place") < F.col("x.place")) & may_match("x", "y"))
-    return pairs.select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier"), F.lit(False).alias("led"))
-
-
 def matched_places(different: DataFrame) -> DataFrame:
     """Places of the different lines that have an earlier match, cut."""
-    rows = postings(different)
+    name = postings(different)
+    rows = different.sparkSession.table(name)
     order = Window.partitionBy("token").orderBy("place")
-    here = F.struct("place", "nk", "bits")
-    marked = rows.select("*", here.alias("own"), F.first(here).over(order).alias("lead"))
+    own = F.struct("place", "nk", *BITS)
+    marked = rows.select("place", own.alias("own"), F.first(own).over(order).alias("lead"), "token")
     marked = marked.withColumn("led", (F.col("place") != F.col("lead.place")) & may_match("own", "lead"))
-    # The second leader: the earliest but the first that the first does not settle.
     free = F.when(~F.col("led") & (F.col("place") != F.col("lead.place")), F.col("own"))
     marked = marked.withColumn("next", F.first(free, ignorenulls=True).over(order))
-    again = ~F.col("led") & F.coalesce((F.col("place") != F.col("next.place")) & may_match("own", "next"), F.lit(False))
-    by_lead = marked.where("led").select(F.col("place").alias("later"), F.col("lead.place").alias("earlier"), F.lit(True).alias("led"))
-    by_next = marked.where(again).select(F.col("place").alias("later"), F.col("next.place").alias("earlier"), F.lit(True).alias("led"))
-    rest = marked.where(~F.col("led") & ~again).select("token", "place", "nk", "bits")
-    pairs = by_lead.unionByName(by_next).unionByName(joined(rest, rows))
-    pairs = cut(pairs.groupBy("later", "earlier").agg(F.max("led").alias("led")), "candidates")
-    found = verified(pairs, different)
-    # Lines that leaders seemed to settle but did not: their lists in full.
-    open_lines = cut(pairs.where("led").select(F.col("later").alias("place")).distinct().join(found, "place", "left_anti"), "open-lines")
-    if not open_lines.head(1):
-        return found
-    some = cut(rows.join(F.broadcast(open_lines) if is_few(open_lines) else open_lines, "place", "left_semi"), "open-postings")
-    lists = some.select("token").distinct()
-    few = is_few(some)
-    near = rows.join(F.broadcast(lists) if few else lists, "token", "left_semi")
-    more = cut(joined(F.broadcast(some) if few else some, near).select("later", "earlier").distinct(), "open-candidates")
-    return cut(found.unionByName(verified(more, different)), "matched")
+    again = F.coalesce((F.col("place") != F.col("next.place")) & may_match("own", "next"), F.lit(False))
+    leader = F.when(F.col("led"), F.col("lead.place")).when(again, F.col("next.place"))
+    led = marked.select(F.col("place").alias("later"), leader.alias("earlier")).where("earlier IS NOT NULL")
+    settled = verified(cut(led.distinct(), "led"), different)
+    rest = rows.join(F.broadcast(settled) if is_few(settled) else settled, "place", "left_anti").alias("x")
+    pairs = rest.join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.place") < F.col("x.place")) & may_match("x", "y"))
+    pairs = cut(pairs.select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier")).distinct(), "candidates")
+    found = cut(settled.unionByName(verified(pairs, different)), "matched")
+    different.sparkSession.sql(f"DROP TABLE {name}")
+    return found
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
