@@ -226,7 +226,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     A null text stays null.
     """
     found = cut(removed_lines(docs).where(F.size("removed") > 0).select(F.col("doc").alias("_doc"), F.col("removed").alias("_removed")), "removed-lines")
-    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).join(found, F.col("_id").eqNullSafe(F.col("_doc")), "left")
+    total = found.agg(F.coalesce(F.sum(F.size("_removed")), F.lit(0))).first()[0]
+    small = is_few(found) and total <= 4 * FEW  # else documents are shuffled to their removals
+    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).join(F.broadcast(found) if small else found, F.col("_id").eqNullSafe(F.col("_doc")), "left")
     lines = F.split(F.col("text"), "\n")
     kept = let(F.col("_removed"), lambda gone: F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n"))
     return keyed.withColumn("text", F.when(F.col("_removed").isNull() | F.col("text").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)

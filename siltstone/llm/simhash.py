@@ -38,10 +38,14 @@ from siltstone.llm.common import cut
 
 BITS = 64
 BUDGET = 4
+#: Bits in which documents may differ that count as copies of each other.
+NEAR_BUDGET = 8
 SEED = 42
 GROUP_ROWS = 8192
 #: Node pairs handled at once; their arrays take about 100 MB.
 FRONTIER = 1_000_000
+#: Ids of copies are broadcast up to so many, 8 bytes each.
+BROADCAST_IDS = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -269,10 +273,13 @@ def candidates_at(budget: int, agree: int) -> int:
     return comb(budget + agree, agree)
 
 
-def keep_first(docs: DataFrame, shingle: int = 5, budget: int = BUDGET) -> DataFrame:
+def keep_first(docs: DataFrame, shingle: int = 5, budget: int = NEAR_BUDGET) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest doc_id.
 
+    The budget is wider than that of plain links: texts that share nine tenths of
+    their five-word shingles differ in six bits on average, unrelated ones in 32.
     Repeated rows of the kept doc_id are all kept, as is a null doc_id.
     """
-    lone = components(docs, shingle, budget).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(lone, "doc_id", "left_anti").select(*docs.columns)
+    lone = cut(components(docs, shingle, budget).where("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    few = lone.count() <= BROADCAST_IDS  # else documents are shuffled to them
+    return docs.join(F.broadcast(lone) if few else lone, "doc_id", "left_anti").select(*docs.columns)

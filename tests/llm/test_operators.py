@@ -344,3 +344,21 @@ def test_roles_are_recovered(spark):
 
 def test_sql_of_the_mixture_names_every_source():
     assert "'src0'" in oracles.mixture(queries.MIX_WEIGHTS)
+
+
+def test_stage_keeps_one_of_near_copies_and_all_others(spark):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(3000)]
+    rows, kept = [], set()
+    for g in range(30):
+        base = rng.choices(words, k=250)
+        for c in range(4):
+            copy = list(base)
+            for _ in range(c):
+                copy[rng.randrange(250)] = rng.choice(words)
+            rows.append((g * 10 + c, " ".join(copy)))
+        kept.add(g * 10)
+    out = {r["doc_id"] for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # Three changed words in 250 turn 7 bits on average, up to 13; most such copies go, none of the others.
+    assert kept <= out and len(out) <= len(kept) + 15
+    assert not out & {g * 10 + 1 for g in range(30)}
