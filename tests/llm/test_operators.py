@@ -159,7 +159,7 @@ def test_components_of_documents(spark):
     for k, r in zip(label, rows, strict=True):
         least[k] = min(least.get(k, r["doc_id"]), r["doc_id"])
     assert all(r["component_id"] == least[k] for k, r in zip(label, rows, strict=True))
-    assert simhash.keep_first(docs, shingle=4).count() == len(least)
+    assert simhash.keep_first(docs, shingle=4, budget=simhash.BUDGET).count() == len(least)
 
 
 # --- line deduplication
