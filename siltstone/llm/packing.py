@@ -26,9 +26,10 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.llm import mixing
 from siltstone.llm.common import cut
 
 CAPACITY = 2048
@@ -57,11 +58,11 @@ def encoder(ranks_path: str, json_path: str):
     return made, tuple(special)
 
 
-def tokenize(docs: DataFrame, ranks_path: str, json_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def tokenize(docs: DataFrame, ranks_path: str, json_path: str, capacity: int = CAPACITY, end_id: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
     """Pieces of each document: its ids (little-endian unsigned 32-bit), then ``end_id``.
 
     Only documents over ``capacity`` are cut, so that all pieces but the first
-    are full.
+    are full.  Columns named in ``carry`` go with each piece.
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +71,8 @@ def tokenize(docs: DataFrame, ranks_path: str, json_path: str, capacity: int = C
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 out: list[tuple] = []
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                of: list[int] = []
+                for nth, (doc_id, text) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True)):
                     text = text or ""
                     ids = made.encode(text, allowed_special="all") if any(s in text for s in special) else made.encode_ordinary(text)
                     ids.append(end_id)
@@ -78,12 +80,14 @@ def tokenize(docs: DataFrame, ranks_path: str, json_path: str, capacity: int = C
                     first = len(flat) % capacity or capacity
                     edges = [0, *range(first, len(flat) + 1, capacity)]
                     out += [(doc_id, k, a, b - a, flat[a:b].tobytes()) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
+                    of += [nth] * (len(edges) - 1)
                 columns = list(zip(*out, strict=True))
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids"])
+                taken = [part.column(c).take(pa.array(of, pa.int64())) for c in carry]
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, k) for x, k in zip(columns, kinds, strict=True)), *taken], ["doc_id", "piece", "start", "length", "ids", *carry])
 
-    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return lean.mapInArrow(pieces, PIECES)
+    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    return lean.mapInArrow(pieces, ", ".join([PIECES, *(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carry)]))
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -141,10 +145,18 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return out
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 64) -> DataFrame:
+def place_bucket(rows: DataFrame, place: str, buckets: int) -> Column:
+    """Ranges of ``place`` of one width, in its order."""
+    most = rows.agg(F.max(place)).first()[0] or 0
+    return F.floor(F.col(place) / F.lit(most // buckets + 1)).cast("long")
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 64, place: str | None = None) -> DataFrame:
     """``pieces`` (doc_id, piece, length and any more) with sequence_id and offset.
 
     ``pieces`` is read more than once; cut it first if it is dear to compute.
+    Pieces of one length go by the column ``place`` (long, 0 or more), if it is named,
+    and else by hash.
     """
     spark = pieces.sparkSession
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # one row a length, capacity at most
@@ -153,10 +165,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 64) -> Data
     placed = plan(counts, capacity)
     # More buckets as pieces grow in number: about a million pieces at most in one of one length.
     buckets = max(buckets, sum(counts.values()) // 1_000_000)
-    keyed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    if place:
+        keyed = pieces.withColumn("_bucket", place_bucket(pieces, place, buckets))
+    else:
+        keyed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = keyed.groupBy("length", "_bucket").count().select("length", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece")
+    within = Window.partitionBy("length", "_bucket").orderBy(*([place] if place else []), "doc_id", "piece")
     ranked = keyed.withColumn("_row", F.row_number().over(within)).join(bases.hint("shuffle_merge"), ["length", "_bucket"])
     ranked = ranked.withColumn("_rank", F.col("_base") + F.col("_row") - 1)
     rows = spark.createDataFrame(placed, "_length long, _low long, _high long, _sequence long, _offset long, _each long")
@@ -176,3 +191,34 @@ def pack_documents(docs: DataFrame, ranks_path: str, json_path: str, capacity: i
     pieces = tokenize(docs, ranks_path, json_path, capacity)
     lean = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return pack(cut(lean, "pieces"), capacity)
+
+
+def numbered_by_place(packed: DataFrame, place: str, buckets: int = 1024) -> DataFrame:
+    """``packed`` with its sequences numbered by the least ``place`` that each holds.
+
+    ``packed`` is read more than once, and is a cut table.
+    """
+    firsts = cut(packed.groupBy("sequence_id").agg(F.min(place).alias("_first")), "sequence-places")
+    keyed = firsts.withColumn("_bucket", place_bucket(firsts, "_first", buckets))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = keyed.groupBy("_bucket").count().select("_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))  # 1024 rows
+    within = Window.partitionBy("_bucket").orderBy("_first", "sequence_id")
+    numbers = keyed.withColumn("_row", F.row_number().over(within)).join(F.broadcast(bases), "_bucket")
+    numbers = numbers.select("sequence_id", (F.col("_base") + F.col("_row") - 1).cast("long").alias("_number"))
+    return packed.join(numbers, "sequence_id").withColumn("sequence_id", F.col("_number")).select(*packed.columns)
+
+
+def pack_mixture(docs: DataFrame, ranks_path: str, json_path: str, weights: dict[str, int], capacity: int = CAPACITY) -> DataFrame:
+    """As ``pack_documents``, in the order of the mixture of the documents' sources.
+
+    Each document's place in the mixture ranks its pieces among those of their length,
+    and sequences are numbered by the first place that they hold; no row is left out.
+    """
+    rows = docs.select("doc_id", "text", F.col("source").cast("string").alias("source")).withColumn("_doc", F.monotonically_increasing_id())
+    pieces = tokenize(rows, ranks_path, json_path, capacity, carry=("source", "_doc"))
+    lean = cut(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "source", "_doc"), "pieces")
+    places = mixing.mix(lean.where("piece = 0").select("_doc", "doc_id", "source"), weights)
+    places = places.select("_doc", (F.col("slot") * mixing.BLOCK + F.col("place_in_block")).alias("place"))
+    placed = cut(lean.drop("source").join(places, "_doc").drop("_doc"), "placed-pieces")
+    packed = cut(pack(placed, capacity, place="place"), "packed")
+    return numbered_by_place(packed, "place").drop("place")

@@ -2,7 +2,8 @@
 
 import random
 
-from siltstone.llm import shingle_sets
+import corpus_pipeline
+from siltstone.llm import queries, shingle_sets
 from tests.llm.test_operators import SF_MORE
 
 
@@ -57,3 +58,16 @@ def test_near_copies_of_documents(spark):
     docs = spark.read.parquet(f"{SF_MORE}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert {r["doc_id"] for r in shingle_sets.keep_first(docs).collect()} == plain_kept(rows)
+
+
+def test_sequences_follow_the_weights(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "word " * 1200, "en", f"src{k % 2}", 1) for k in range(768)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    source = lambda r: f"src{r['doc_id'] % 2}"
+    seen = {}
+    for weights, want in (({"src0": 8, "src1": 4}, 256), ({"src0": 1, "src1": 1}, 192)):
+        monkeypatch.setattr(queries, "MIX_WEIGHTS", weights)
+        rows = sorted(corpus_pipeline.sequences(spark, corpus_pipeline.mixture(spark, docs, ""), "").collect(), key=lambda r: r["sequence_id"])
+        assert [r["sequence_id"] for r in rows] == list(range(768)) and {r["doc_id"] for r in rows} == set(range(768))
+        assert sum(source(r) == "src0" for r in rows[:384]) == want
+        seen[want] = [r["doc_id"] for r in rows]
+    assert seen[256] != seen[192]
