@@ -2,8 +2,10 @@
 
 A line's tokens are its different words.  A line is removed if an earlier line,
 by doc_id and then line number, has a Jaccard similarity of at least 0.8 with it;
-whether that one is itself removed does not matter.  Lines of fewer than
-``MIN_TOKENS`` different words are never removed nor matched.
+whether that one is itself removed does not matter.  Lines of fewer different words
+than ``least`` are never removed nor matched: ``MIN_TOKENS`` in the query and its SQL,
+one in ``dedup_lines``, where every line with a word takes part.  Up to three different
+words only equal sets are as similar as asked; a group-by on the set finds the first.
 
 Equal lines are one to the join, represented by the first.  Tokens are ordered by
 rarity: by the corpus counts of 65,536 hash buckets of words, over all different
@@ -39,6 +41,8 @@ from siltstone.llm.common import GAP, cut, fresh_path, let
 from siltstone.llm.simhash import spark_partitions
 
 MIN_TOKENS = 5
+#: Sets of fewer tokens are as similar as asked only if they are equal.
+JOINED_TOKENS = 4
 BUCKETS = 1 << 16
 #: Lines of up to so many tokens have 64 and 128 parity bits, longer ones 192.
 LANE_TOKENS = (48, 144)
@@ -82,12 +86,16 @@ def placed(lines: DataFrame) -> DataFrame:
     return cut(ranked.select("doc", "line", "key", F.shiftleft("_rank", width).bitwiseOR(F.col("line").cast("long")).alias("place")), "lines-placed")
 
 
-def tokens_of(text: Column) -> Column:
+def words_of(text: Column) -> Column:
     odd = F.lit(False)
     for c in SPACES:
         odd = odd | F.contains(text, F.lit(c))
     words = F.when(odd, F.split(text, GAP)).otherwise(F.split(text, " "))
-    return F.array_distinct(F.transform(F.array_remove(words, ""), lambda w: F.hash(w)))
+    return F.array_remove(words, "")
+
+
+def tokens_of(text: Column) -> Column:
+    return F.array_distinct(F.transform(words_of(text), lambda w: F.hash(w)))
 
 
 def lanes(n: Column) -> Column:
@@ -111,10 +119,13 @@ def repeated_keys(places: DataFrame) -> DataFrame:
     return cut(found.select("key", "first"), "repeated-keys")
 
 
-def different_lines(docs: DataFrame, places: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(place, tokens, n, BITS) of the first of each group of equal lines, cut."""
+def different_lines(docs: DataFrame, places: DataFrame, repeated: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
+    """(place, tokens, n, same, BITS) of the first of each group of equal lines, cut.
+
+    ``same`` is the XXH64 of the words' set where it is too small to be joined.
+    """
     low, high, most = places.agg(F.min("doc"), F.max("doc"), F.max("line")).first()
-    lines = numbered_lines(docs).where(F.length("text") >= 2 * MIN_TOKENS - 1).withColumn("key", F.xxhash64("text"))
+    lines = numbered_lines(docs).where(F.length("text") >= 2 * least - 1).withColumn("key", F.xxhash64("text"))
     width = int(most or 0).bit_length()
     if ((high or 0) - (low or 0) + 1).bit_length() + width <= 63:
         rank = F.coalesce(F.col("doc") - F.lit(low or 0), F.lit((high or 0) - (low or 0) + 1))
@@ -122,8 +133,12 @@ def different_lines(docs: DataFrame, places: DataFrame, repeated: DataFrame) ->
     else:
         lines = lines.join(places.select(F.col("doc").alias("_doc"), F.col("line").alias("_line"), "place"), F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("line") == F.col("_line"))).dropDuplicates(["place", "key"])
     lines = lines.join(F.broadcast(repeated) if is_few(repeated) else repeated, "key", "left").where("first IS NULL OR first = place")
-    sets = lines.select("place", tokens_of(F.col("text")).alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
+    sets = lines.select("place", "text", tokens_of(F.col("text")).alias("tokens")).where(F.size("tokens") >= least)
     sets = sets.withColumn("n", F.size("tokens"))
+    # By the words: different words with one token would make a small set equal to another.
+    words = F.sort_array(F.array_distinct(words_of(F.col("text"))))
+    same = F.when(F.col("n") < JOINED_TOKENS, F.xxhash64(F.array_join(words, " "))) if least < JOINED_TOKENS else F.lit(None).cast("long")
+    sets = sets.select("place", "tokens", "n", same.alias("same"))
     return cut(sets.withColumns(dict(zip(BITS, parity(F.col("tokens"), F.col("n")), strict=True))), "different-lines")
 
 
@@ -205,27 +220,40 @@ def matched_places(different: DataFrame) -> DataFrame:
     return found
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def equal_sets(different: DataFrame) -> DataFrame:
+    """Places of the lines of few words whose set an earlier line has, cut."""
+    small = different.where("same IS NOT NULL").select("place", "same")
+    firsts = small.groupBy("same").agg(F.min("place").alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("same", "_first")
+    firsts = cut(firsts, "small-sets")
+    return cut(small.join(F.broadcast(firsts) if is_few(firsts) else firsts, "same").where("place > _first").select("place"), "small-matched")
+
+
+def removed_lines(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
     """(doc, n_lines, removed): each document's removed line numbers, in order."""
     places = placed(numbered_lines(docs))
     repeated = repeated_keys(places)
-    different = different_lines(docs, places, repeated)
+    different = different_lines(docs, places, repeated, least)
     # A text that came before goes, and a line that has an earlier match; of the
     # match's own repeats, all stand later.
     long_enough = places.join(different.select("place"), "place", "left_semi").select("key").distinct()
     again = cut(repeated.join(long_enough, "key", "left_semi"), "repeated-long")
-    gone = matched_places(different).withColumn("matched", F.lit(True))
+    gone = matched_places(different.where("same IS NULL"))
+    if least < JOINED_TOKENS:
+        gone = gone.unionByName(equal_sets(different))
+    gone = gone.withColumn("matched", F.lit(True))
     marked = places.join(F.broadcast(again) if is_few(again) else again, "key", "left").join(F.broadcast(gone) if is_few(gone) else gone, "place", "left")
     out = F.coalesce("matched", F.lit(False)) | F.coalesce(F.col("place") > F.col("first"), F.lit(False))
     return marked.groupBy("doc").agg((F.max("line") + 1).cast("long").alias("n_lines"), F.sort_array(F.collect_set(F.when(out, F.col("line")))).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = 1) -> DataFrame:
     """``docs`` without the removed lines in ``text``; documents left without a line are kept, empty.
 
+    Lines without a word are no repeats of each other.
+
     A null text stays null.
     """
-    found = cut(removed_lines(docs).where(F.size("removed") > 0).select(F.col("doc").alias("_doc"), F.col("removed").alias("_removed")), "removed-lines")
+    found = cut(removed_lines(docs, least).where(F.size("removed") > 0).select(F.col("doc").alias("_doc"), F.col("removed").alias("_removed")), "removed-lines")
     total = found.agg(F.coalesce(F.sum(F.size("_removed")), F.lit(0))).first()[0]
     small = is_few(found) and total <= 4 * FEW  # else documents are shuffled to their removals
     keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).join(F.broadcast(found) if small else found, F.col("_id").eqNullSafe(F.col("_doc")), "left")

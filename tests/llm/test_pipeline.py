@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from siltstone.llm import queries, shingle_sets
+from siltstone.llm import line_dedup, queries, shingle_sets
 from tests.llm.test_operators import SF_MORE
 
 
@@ -71,3 +71,22 @@ def test_sequences_follow_the_weights(spark, monkeypatch):
         assert sum(source(r) == "src0" for r in rows[:384]) == want
         seen[want] = [r["doc_id"] for r in rows]
     assert seen[256] != seen[192]
+
+
+def test_short_lines_equal_brute_force(spark):
+    rng = random.Random(2)
+    lines = ["Les.", "Les.  Les.", "a b", "b a", "a b a", "a c", "x", "X", "", " \t", "plumless buckeroo", "a\tb c"]
+    by = {d: [rng.choice(lines) if rng.random() < 0.4 else " ".join(rng.choices("pqrstuvw", k=rng.randint(1, 7))) for _ in range(6)] for d in range(60)}
+    earlier, want = [], {}
+    for d in sorted(by):
+        want[d] = []
+        for k, line in enumerate(by[d]):
+            w = set(line.split())
+            if w:
+                if any(len(w & x) * 9 >= 4 * (len(w) + len(x)) for x in earlier):
+                    want[d].append(k)
+                earlier.append(w)
+    docs = spark.createDataFrame([(d, "\n".join(x)) for d, x in by.items()], "doc_id long, text string").repartition(3)
+    assert {r["doc"]: r["removed"] for r in line_dedup.removed_lines(docs, least=1).collect()} == want
+    kept = {d: "\n".join(line for k, line in enumerate(x) if k not in want[d]) for d, x in by.items()}
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, "").collect()} == kept
