@@ -2,54 +2,61 @@
 
 A line's tokens are its different words.  A line is removed if an earlier line,
 by doc_id and then line number, has a Jaccard similarity of at least 0.8 with it;
-whether that one is itself removed does not matter.  Lines of fewer different words
-than ``least`` are never removed nor matched: ``MIN_TOKENS`` in the query and its SQL,
-one in ``dedup_lines``, where every line with a word takes part.  Up to three different
-words only equal sets are as similar as asked; a group-by on the set finds the first.
+whether that one is itself removed does not matter.  Every line with a word takes
+part.  Up to three different words only equal sets are as similar as asked; a
+group-by on the set finds the first.
 
 Equal lines are one to the join, represented by the first.  Tokens are ordered by
-rarity: by the corpus counts of 65,536 hash buckets of words, over all different
-lines.  Two lines as similar as asked share a token of their prefixes (the rarest
-tokens, one more than may be missing).  Pairs with a shared prefix token pass the
-length filter, the positional filter, and a bound on their difference from 64
-to 192 parity bits of each line's tokens, which none as similar as asked can fail; the
-Jaccard similarity of those left is verified.
-
-The join asks which lines have an earlier match, not for all pairs.  So in each
-token's list every line is first held against the earliest one, and against the
-earliest of those that it does not settle; lines whose match is verified are
-settled, which in a group of copies, however large, leaves few.  The others are
-joined with all earlier lines of their lists.  The lists are a table bucketed by
-token, which both steps read without another shuffle.
-
-All of it is SQL functions; a token is a word's 32-bit hash, a line's identity the
-XXH64 of its text.  Null text is the empty text, whose one line is kept.  Very long
-lines and texts are sets of words like others.  Rows of one doc_id are one document:
-equal lines at one place do not remove each other, and if one at a place goes, so do
-the others.  Null doc_ids are one document, the last.
-No documents give no rows.  Extra columns are kept by ``dedup_lines``.
+rarity: by the counts of a million hash buckets of words, over all texts.  Two lines
+as similar as asked share a token of their prefixes (the rarest tokens, one more
+than may be missing).  Pairs with a shared prefix token pass the length filter, the
+positional filter, and a bound on their difference from 64 or 128 parity bits of
+each line's tokens, which none as similar as asked can fail; the Jaccard similarity
+of those left is verified on their words.
+
+The join asks which lines have an earlier match, not for all pairs.  So each line is
+first held against the earliest with one of its two rarest tokens; lines whose
+match is verified are settled, which in a group of copies, however large, leaves
+few.  The others are joined with all earlier lines that share a prefix token: a plain join
+of one shuffle with itself, whose large keys adaptive execution deals out in blocks.
+
+Lines become tokens, prefixes and parity bits in Arrow batches, as SQL's functions of
+arrays take too much time for that; all else is SQL functions.  A token is 56 bits of a
+word's XXH3, equal lines are told by the XXH64, Murmur hash and length of their texts.
+
+Null text is the empty text, whose one line is kept.  Very long lines and texts are
+sets of words like others.  Rows of one doc_id with other texts are documents of their
+own, in order of the texts' hashes; rows that repeat both doc_id and text are
+one document, whose lines go in all of them or in none.  Null doc_ids come last.
+No documents give no rows.  Extra columns of any name are kept by ``dedup_lines``.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import GAP, cut, fresh_path, let
+from siltstone.llm.common import GAP, WORD, cut, let
 from siltstone.llm.simhash import spark_partitions
 
-MIN_TOKENS = 5
 #: Sets of fewer tokens are as similar as asked only if they are equal.
 JOINED_TOKENS = 4
-BUCKETS = 1 << 16
-#: Lines of up to so many tokens have 64 and 128 parity bits, longer ones 192.
-LANE_TOKENS = (48, 144)
-BITS = ["bits0", "bits1", "bits2"]
-#: Places, keys and tokens are broadcast up to so many, 16 bytes each.
+#: Counts of words are kept for so many hash buckets, in so many parts.
+BUCKETS, CHUNKS = 1 << 20, 64
+#: Lines of more tokens than this have 128 parity bits, others 64.
+LANE_TOKENS = 64
+#: Lines are first held against the earliest with one of so many rarest tokens.
+LEADING = 2
+#: Places, keys and tokens are broadcast up to so many, 24 bytes each at most.
 FEW = 1_000_000
-SPACES = "\t\x0b\x0c\r"
+HASH_BITS = 56
 
 
 def is_few(table: DataFrame) -> bool:
@@ -57,118 +64,152 @@ def is_few(table: DataFrame) -> bool:
     return table.count() <= FEW
 
 
-def numbered_lines(docs: DataFrame) -> DataFrame:
-    """(doc, line, text): each line of each document."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.posexplode(F.split(text, "\n")).alias("line", "text"))
+def maybe_broadcast(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if is_few(table) else table
 
 
-def placed(lines: DataFrame) -> DataFrame:
-    """(doc, line, key, place), cut: ``key`` is of a line's text, ``place`` puts lines in order.
+def numbered_lines(docs: DataFrame) -> DataFrame:
+    """(doc, version, line, text): each line of each document; ``version`` tells texts of one doc_id apart."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("version"), F.posexplode(F.split(text, "\n")).alias("line", "text"))
 
-    Places are packed in one long, as doc_ids and line numbers of real corpora fit;
-    for ids that lie too far apart, documents are numbered first.
-    """
-    found = cut(lines.select("doc", "line", F.xxhash64("text").alias("key")), "lines")
-    low, high, most = found.agg(F.min("doc"), F.max("doc"), F.max("line")).first()
-    low, high, width = low or 0, high or 0, int(most or 0).bit_length()
-    if (high - low + 1).bit_length() + width <= 63:
-        rank = F.coalesce(F.col("doc") - F.lit(low), F.lit(high - low + 1))
-        return found.withColumn("place", F.shiftleft(rank, width).bitwiseOR(F.col("line").cast("long")))
-    ids = found.select("doc").distinct().repartitionByRange(F.col("doc").asc_nulls_last()).sortWithinPartitions(F.col("doc").asc_nulls_last())
-    ids = cut(ids.withColumn("part", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "doc-order")
-    before, starts = 0, {}
-    for part, n in sorted(ids.groupBy("part").count().collect()):  # one row a partition
-        starts[part], before = before, before + n
-    start = F.element_at(F.create_map(*(F.lit(x) for kv in starts.items() for x in kv)), F.col("part"))
-    ranks = ids.select(F.col("doc").alias("_doc"), (start + F.col("nth")).alias("_rank"))
-    ranked = found.join(ranks, F.col("doc").eqNullSafe(F.col("_doc")))
-    return cut(ranked.select("doc", "line", "key", F.shiftleft("_rank", width).bitwiseOR(F.col("line").cast("long")).alias("place")), "lines-placed")
 
+def keyed(lines: DataFrame) -> DataFrame:
+    """``lines`` with what tells their texts: two hashes and the length, in (key, check)."""
+    check = F.shiftleft(F.hash("text").cast("long"), 32).bitwiseOR(F.length("text").cast("long"))
+    return lines.withColumn("key", F.xxhash64("text")).withColumn("check", check)
 
-def words_of(text: Column) -> Column:
-    odd = F.lit(False)
-    for c in SPACES:
-        odd = odd | F.contains(text, F.lit(c))
-    words = F.when(odd, F.split(text, GAP)).otherwise(F.split(text, " "))
-    return F.array_remove(words, "")
 
+@dataclass
+class Order:
+    """How documents are numbered: by doc_id less ``low``, or by the table ``ranks``."""
 
-def tokens_of(text: Column) -> Column:
-    return F.array_distinct(F.transform(words_of(text), lambda w: F.hash(w)))
+    low: int
+    high: int
+    width: int
+    ranks: DataFrame | None
 
+    def place(self, lines: DataFrame) -> DataFrame:
+        """``lines`` with ``place``, which puts them in order in one long."""
+        if self.ranks is None:
+            rank = F.coalesce(F.col("doc") - F.lit(self.low), F.lit(self.high - self.low + 1))
+            return lines.withColumn("place", F.shiftleft(rank, self.width).bitwiseOR(F.col("line").cast("long")))
+        same = F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("version") == F.col("of_version"))
+        return lines.join(self.ranks, same).withColumn("place", F.shiftleft("rank", self.width).bitwiseOR(F.col("line").cast("long"))).drop("of_doc", "of_version", "rank")
 
-def lanes(n: Column) -> Column:
-    """How many longs hold a line's parity bits: more tokens need more bits."""
-    return F.when(n <= LANE_TOKENS[0], 1).when(n <= LANE_TOKENS[1], 2).otherwise(3)
 
+def order_of(lines: DataFrame) -> Order:
+    """Ids of real corpora fit in a place as they are.
 
-def parity(tokens: Column, n: Column) -> list[Column]:
-    """Three longs of bits, each the parity of how many tokens fall on it; unused ones are zero."""
-    # A shift takes the lowest six bits of its count.
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 16))
-    of = lambda found: F.aggregate(found, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(bit(t)))
-    lane = lambda k: F.filter(tokens, lambda t: F.pmod(F.shiftright(t, 22), lanes(n)) == k)
-    first = F.when(lanes(n) == 1, of(tokens)).otherwise(of(lane(0)))
-    return [first, *(F.when(lanes(n) > k, of(lane(k))).otherwise(F.lit(0).cast("long")) for k in (1, 2))]
+    Where they lie too far apart, or one has several texts, documents are numbered first.
+    """
+    heads = lines.where("line = 0").groupBy("doc").agg(F.min("version").alias("a"), F.max("version").alias("b"))
+    several = heads.where("a < b").limit(1).count() > 0
+    low, high, most = lines.agg(F.min("doc"), F.max("doc"), F.max("line")).first()
+    low, high, width = low or 0, high or 0, int(most or 0).bit_length()
+    if not several and (high - low + 1).bit_length() + width <= 63:
+        return Order(low, high, width, None)
+    by = [F.col("doc").asc_nulls_last(), F.col("version")]
+    ids = lines.where("line = 0").select("doc", "version").distinct().repartitionByRange(*by).sortWithinPartitions(*by)
+    ids = cut(ids.withColumn("part", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "doc-order")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = ids.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    ranks = ids.join(F.broadcast(starts), "part").select(F.col("doc").alias("of_doc"), F.col("version").alias("of_version"), (F.col("start") + F.col("nth")).alias("rank"))
+    return Order(low, high, width, cut(ranks, "doc-ranks"))
 
 
 def repeated_keys(places: DataFrame) -> DataFrame:
-    """(key, first) of the texts that stand at more than one place, cut."""
-    found = places.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
-    return cut(found.select("key", "first"), "repeated-keys")
+    """(key, check, first) of the texts that stand at more than one place, cut."""
+    found = places.groupBy("key", "check").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
+    return cut(found.select("key", "check", "first"), "repeated-keys")
+
+
+def hashes(words: Iterable[bytes], n: int) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
+
+
+def rarity(docs: DataFrame) -> np.ndarray:
+    """For each bucket of words twice the binary logarithm of its count in all texts."""
+    width = BUCKETS // CHUNKS
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 1024):
+                words = b" ".join(t.encode() for t in batch.column("text").slice(low, 1024).to_pylist() if t).split()
+                total += np.bincount((hashes(words, len(words)) & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([x.tobytes() for x in total.reshape(CHUNKS, width)], pa.binary())], ["chunk", "counts"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                totals[chunk] = totals.get(chunk, 0) + np.frombuffer(counts, np.int64)
+        ranks = [(2 * np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes() for x in totals.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(ranks, pa.binary())], ["chunk", "ranks"])
+
+    kinds = "chunk int, counts binary"
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(counted, kinds).repartition(CHUNKS, "chunk")
+    ranks = np.zeros((CHUNKS, width), np.uint8)
+    for chunk, found in counts.mapInArrow(summed, "chunk int, ranks binary").collect():  # CHUNKS rows, a byte for each bucket
+        ranks[chunk] = np.frombuffer(found, np.uint8)
+    return ranks.ravel()
+
+
+def tokenized(texts: list[str], ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
+    """Of lines with a word: numbers of tokens, two longs of parity bits, ends of prefixes, prefixes, small sets' keys."""
+    found = [set(t.encode().split()) for t in texts]  # of bytes: white space is 32 and 9 to 13
+    n = np.fromiter(map(len, found), np.int64, len(found))
+    ends = np.cumsum(n)
+    starts = ends - n
+    raw = hashes(chain.from_iterable(found), int(n.sum()))
+    tokens = (ranks[(raw & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(HASH_BITS)) | (raw & np.uint64((1 << HASH_BITS) - 1))
+    bit = np.uint64(1) << ((tokens >> np.uint64(26)) & np.uint64(63))
+    second = ((tokens >> np.uint64(32)) & np.uint64(1)).astype(bool) & np.repeat(n > LANE_TOKENS, n)
+    none = np.uint64(0)
+    bits0, bits1 = (np.bitwise_xor.reduceat(np.where(second, x, y), starts) for x, y in ((none, bit), (bit, none)))
+    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+        tokens[a:b].sort()
+    length = n - (4 * n + 4) // 5 + 1
+    within = np.arange(len(tokens)) - np.repeat(starts, n) < np.repeat(length, n)
+    same = [xxhash.xxh3_64_intdigest(b" ".join(sorted(w))) - (1 << 63) if len(w) < JOINED_TOKENS else None for w in found]
+    return n, bits0, bits1, np.cumsum(length), tokens[within], same
+
+
+def different_lines(docs: DataFrame, order: Order, repeated: DataFrame) -> DataFrame:
+    """(place, n, bits0, bits1, prefix, same) of the first of each group of equal lines, cut.
+
+    ``prefix``: the rarest tokens, in order.  ``same`` is the hash of the words' set
+    where that is too small to be joined.
+    """
+    ranks = rarity(docs)
 
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 2048):
+                part = batch.slice(low, 2048)
+                n, bits0, bits1, ends, prefix, same = tokenized(part.column("text").to_pylist(), ranks)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(prefix.view(np.int64)))
+                columns = [part.column("place"), pa.array(n.astype(np.int32)), pa.array(bits0.view(np.int64)), pa.array(bits1.view(np.int64)), lists, pa.array(same, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["place", "n", "bits0", "bits1", "prefix", "same"])
 
-def different_lines(docs: DataFrame, places: DataFrame, repeated: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
-    """(place, tokens, n, same, BITS) of the first of each group of equal lines, cut.
+    lines = order.place(keyed(numbered_lines(docs).where(F.col("text").rlike(WORD))))
+    lines = lines.join(maybe_broadcast(repeated), ["key", "check"], "left").where("first IS NULL OR first = place")
+    return cut(lines.select("place", "text").mapInArrow(made, "place long, n int, bits0 long, bits1 long, prefix array<long>, same long"), "different-lines")
 
-    ``same`` is the XXH64 of the words' set where it is too small to be joined.
-    """
-    low, high, most = places.agg(F.min("doc"), F.max("doc"), F.max("line")).first()
-    lines = numbered_lines(docs).where(F.length("text") >= 2 * least - 1).withColumn("key", F.xxhash64("text"))
-    width = int(most or 0).bit_length()
-    if ((high or 0) - (low or 0) + 1).bit_length() + width <= 63:
-        rank = F.coalesce(F.col("doc") - F.lit(low or 0), F.lit((high or 0) - (low or 0) + 1))
-        lines = lines.withColumn("place", F.shiftleft(rank, width).bitwiseOR(F.col("line").cast("long")))
-    else:
-        lines = lines.join(places.select(F.col("doc").alias("_doc"), F.col("line").alias("_line"), "place"), F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("line") == F.col("_line"))).dropDuplicates(["place", "key"])
-    lines = lines.join(F.broadcast(repeated) if is_few(repeated) else repeated, "key", "left").where("first IS NULL OR first = place")
-    sets = lines.select("place", "text", tokens_of(F.col("text")).alias("tokens")).where(F.size("tokens") >= least)
-    sets = sets.withColumn("n", F.size("tokens"))
-    # By the words: different words with one token would make a small set equal to another.
-    words = F.sort_array(F.array_distinct(words_of(F.col("text"))))
-    same = F.when(F.col("n") < JOINED_TOKENS, F.xxhash64(F.array_join(words, " "))) if least < JOINED_TOKENS else F.lit(None).cast("long")
-    sets = sets.select("place", "tokens", "n", same.alias("same"))
-    return cut(sets.withColumns(dict(zip(BITS, parity(F.col("tokens"), F.col("n")), strict=True))), "different-lines")
-
-
-def rarity(different: DataFrame) -> list[int]:
-    """For each bucket of words twice the binary logarithm of its count: one row a bucket."""
-    bucket = F.col("t").bitwiseAND(F.lit(BUCKETS - 1))
-    counts = different.select(F.explode("tokens").alias("t")).groupBy(bucket.alias("b")).count().collect()
-    ranks = [0] * BUCKETS
-    for b, n in counts:
-        ranks[b] = int(2 * math.log2(n))
-    return ranks
-
-
-def postings(different: DataFrame) -> str:
-    """Name of a table (token, place, nk, BITS), bucketed by token: each line's prefix.
+
+def postings(lines: DataFrame, prefix: Column, *more: Column) -> DataFrame:
+    """(token, place, nk, bits0, bits1) and ``more``: a row for each token of ``prefix``.
 
     ``nk`` holds the line's number of tokens and, in its lower half, the token's
     position in order of rarity.
     """
-    spark, parts = different.sparkSession, spark_partitions(different)
-    ranks = F.split(F.lit(",".join(map(str, rarity(different)))), ",").cast("array<int>")
-    ordered = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(F.element_at(ranks, t.bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("long"), 32).bitwiseOR(t.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))))
-    prefix = F.slice(ordered, 1, F.col("n") - F.floor((F.col("n") * 4 + 4) / 5).cast("int") + 1)
-    rows = different.select("place", "n", *BITS, F.posexplode(prefix).alias("k", "token"))
-    rows = rows.select("token", "place", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("k").cast("long")).alias("nk"), *BITS)
-    path = fresh_path(spark, "postings")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
-    dealt = rows.repartition(parts, "token").sortWithinPartitions("token", "place")
-    dealt.write.bucketBy(parts, "token").sortBy("token", "place").option("path", path).option("compression", "zstd").saveAsTable(name)
-    return name
+    rows = lines.select("place", "n", "bits0", "bits1", *more, F.posexplode(prefix).alias("k", "t"))
+    # 32 bits of a token are enough to list lines by: those that share a list by chance fail the later filters.
+    token = F.shiftright(F.shiftleft("t", 32), 32).cast("int")
+    nk = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("k").cast("long"))
+    return rows.select(token.alias("token"), "place", nk.alias("nk"), *(c for c in rows.columns if c not in ("place", "n", "k", "t")))
 
 
 def may_match(a: str, b: str) -> Column:
@@ -176,87 +217,85 @@ def may_match(a: str, b: str) -> Column:
     n = lambda side: F.shiftright(F.col(f"{side}.nk"), 32)
     after = lambda side: n(side) - F.col(f"{side}.nk").bitwiseAND(F.lit(0xFFFFFFFF))  # noqa: E731  tokens from this one on
     total = n(a) + n(b)
-    differ = [F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")) for c in BITS]
+    differ = [F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")) for c in ("bits0", "bits1")]
+    alike = (n(a) > LANE_TOKENS) == (n(b) > LANE_TOKENS)
     # Of lines with other numbers of longs, all longs taken together compare.
-    folded = F.bit_count(differ[0].bitwiseXOR(differ[1]).bitwiseXOR(differ[2]))
-    apart = F.when(lanes(n(a)) == lanes(n(b)), sum((F.bit_count(x) for x in differ[1:]), F.bit_count(differ[0]))).otherwise(folded)
+    apart = F.when(alike, F.bit_count(differ[0]) + F.bit_count(differ[1])).otherwise(F.bit_count(differ[0].bitwiseXOR(differ[1])))
     # The two must share 4/9 of their tokens' number.
-    return (
-        (apart * 9 <= total)
-        & (n(a) * 5 >= n(b) * 4)
-        & (n(b) * 5 >= n(a) * 4)
-        & (F.least(after(a), after(b)) * 9 >= total * 4)
-    )
+    near = (n(a) * 5 >= n(b) * 4) & (n(b) * 5 >= n(a) * 4)
+    return near & (apart * 9 <= total) & (F.least(after(a), after(b)) * 9 >= total * 4)
 
 
-def verified(pairs: DataFrame, different: DataFrame) -> DataFrame:
-    """(place, cut) of those (later, earlier) pairs' later lines whose Jaccard similarity is at least 0.8."""
+def verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
+    """(place, cut) of those (later, earlier) pairs' later lines whose words' Jaccard similarity is at least 0.8."""
+    pairs = cut(pairs.distinct(), "pairs")
     used = cut(pairs.select(F.explode(F.array("later", "earlier")).alias("place")).distinct(), "paired")
-    sets = different.select("place", "tokens").join(F.broadcast(used) if is_few(used) else used, "place", "left_semi")
-    both = pairs.join(sets.select(F.col("place").alias("later"), F.col("tokens").alias("a")), "later").join(sets.select(F.col("place").alias("earlier"), F.col("tokens").alias("b")), "earlier")
-    shared = F.size(F.array_intersect("a", "b"))
-    return cut(both.where(shared * 9 >= (F.size("a") + F.size("b")) * 4).select(F.col("later").alias("place")).distinct(), "verified")
-
-
-def matched_places(different: DataFrame) -> DataFrame:
-    """Places of the different lines that have an earlier match, cut."""
-    name = postings(different)
-    rows = different.sparkSession.table(name)
-    order = Window.partitionBy("token").orderBy("place")
-    own = F.struct("place", "nk", *BITS)
-    marked = rows.select("place", own.alias("own"), F.first(own).over(order).alias("lead"), "token")
-    marked = marked.withColumn("led", (F.col("place") != F.col("lead.place")) & may_match("own", "lead"))
-    free = F.when(~F.col("led") & (F.col("place") != F.col("lead.place")), F.col("own"))
-    marked = marked.withColumn("next", F.first(free, ignorenulls=True).over(order))
-    again = F.coalesce((F.col("place") != F.col("next.place")) & may_match("own", "next"), F.lit(False))
-    leader = F.when(F.col("led"), F.col("lead.place")).when(again, F.col("next.place"))
-    led = marked.select(F.col("place").alias("later"), leader.alias("earlier")).where("earlier IS NOT NULL")
-    settled = verified(cut(led.distinct(), "led"), different)
-    rest = rows.join(F.broadcast(settled) if is_few(settled) else settled, "place", "left_anti").alias("x")
-    pairs = rest.join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.place") < F.col("x.place")) & may_match("x", "y"))
-    pairs = cut(pairs.select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier")).distinct(), "candidates")
-    found = cut(settled.unionByName(verified(pairs, different)), "matched")
-    different.sparkSession.sql(f"DROP TABLE {name}")
-    return found
+    lines = order.place(numbered_lines(docs)).join(maybe_broadcast(used), "place", "left_semi")
+    texts = cut(lines.select("place", "text").dropDuplicates(["place"]), "paired-lines")
+    both = pairs.join(texts.select(F.col("place").alias("later"), F.col("text").alias("a")), "later").join(texts.select(F.col("place").alias("earlier"), F.col("text").alias("b")), "earlier")
+    of = lambda c: F.array_distinct(F.array_remove(F.split(F.col(c), GAP), ""))
+    found = both.select("later", F.explode(F.array(F.struct(of("a").alias("a"), of("b").alias("b")))).alias("w"))
+    shared = F.size(F.array_intersect("w.a", "w.b"))
+    return cut(found.where(shared * 9 >= (F.size("w.a") + F.size("w.b")) * 4).select(F.col("later").alias("place")).distinct(), "verified")
+
+
+def led(joined: DataFrame) -> DataFrame:
+    """(later, earlier): each line with the earliest of those that it shares one of its rarest tokens with."""
+    rows = postings(joined, F.slice("prefix", 1, LEADING))
+    first = [F.min_by(c, "place").alias(c) for c in ("nk", "bits0", "bits1")]
+    leads = rows.groupBy("token").agg(F.min("place").alias("place"), F.max("place").alias("last"), *first).where("place < last")
+    both = rows.alias("x").join(leads.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.place") < F.col("x.place")) & may_match("x", "y"))
+    return both.select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier"))
+
+
+def matched_places(different: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
+    """Places of the different lines that have an earlier match."""
+    joined = different.where(F.col("n") >= JOINED_TOKENS)
+    settled = verified(led(joined), docs, order)
+    marked = joined.join(maybe_broadcast(settled.withColumn("done", F.lit(True))), "place", "left")
+    rows = postings(marked, F.col("prefix"), F.col("done").isNull().alias("open")).repartition(spark_partitions(different), "token")
+    # The condition on ``open`` mentions both sides, so that both are one shuffle.
+    later = F.when(F.col("y.place") < F.col("x.place"), F.col("x.open")).otherwise(F.lit(False))
+    pairs = rows.alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & later & may_match("x", "y"))
+    return settled.unionByName(verified(pairs.select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier")), docs, order))
 
 
 def equal_sets(different: DataFrame) -> DataFrame:
-    """Places of the lines of few words whose set an earlier line has, cut."""
+    """Places of the lines of few words whose set an earlier line has."""
     small = different.where("same IS NOT NULL").select("place", "same")
-    firsts = small.groupBy("same").agg(F.min("place").alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("same", "_first")
-    firsts = cut(firsts, "small-sets")
-    return cut(small.join(F.broadcast(firsts) if is_few(firsts) else firsts, "same").where("place > _first").select("place"), "small-matched")
-
-
-def removed_lines(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
-    """(doc, n_lines, removed): each document's removed line numbers, in order."""
-    places = placed(numbered_lines(docs))
-    repeated = repeated_keys(places)
-    different = different_lines(docs, places, repeated, least)
+    firsts = small.groupBy("same").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").select("same", "first")
+    return small.join(maybe_broadcast(cut(firsts, "small-sets")), "same").where("place > first").select("place")
+
+
+def removed_lines(docs: DataFrame) -> DataFrame:
+    """(doc, version, n_lines, removed): each document's removed line numbers, in order."""
+    lines = cut(keyed(numbered_lines(docs)).select("doc", "version", "line", "key", "check", F.col("text").rlike(WORD).alias("worded")), "lines")
+    order = order_of(lines)
+    places = order.place(lines)
+    # Lines without a word are no repeats of each other.
+    repeated = repeated_keys(places.where("worded"))
+    different = different_lines(docs, order, repeated)
     # A text that came before goes, and a line that has an earlier match; of the
     # match's own repeats, all stand later.
-    long_enough = places.join(different.select("place"), "place", "left_semi").select("key").distinct()
-    again = cut(repeated.join(long_enough, "key", "left_semi"), "repeated-long")
-    gone = matched_places(different.where("same IS NULL"))
-    if least < JOINED_TOKENS:
-        gone = gone.unionByName(equal_sets(different))
-    gone = gone.withColumn("matched", F.lit(True))
-    marked = places.join(F.broadcast(again) if is_few(again) else again, "key", "left").join(F.broadcast(gone) if is_few(gone) else gone, "place", "left")
+    gone = matched_places(different, docs, order).unionByName(equal_sets(different)).withColumn("matched", F.lit(True))
+    gone = cut(gone, "gone")
+    marked = places.join(maybe_broadcast(repeated), ["key", "check"], "left").join(maybe_broadcast(gone), "place", "left")
     out = F.coalesce("matched", F.lit(False)) | F.coalesce(F.col("place") > F.col("first"), F.lit(False))
-    return marked.groupBy("doc").agg((F.max("line") + 1).cast("long").alias("n_lines"), F.sort_array(F.collect_set(F.when(out, F.col("line")))).alias("removed"))
+    return marked.groupBy("doc", "version").agg((F.max("line") + 1).cast("long").alias("n_lines"), F.sort_array(F.collect_set(F.when(out, F.col("line")))).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, least: int = 1) -> DataFrame:
+def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the removed lines in ``text``; documents left without a line are kept, empty.
 
-    Lines without a word are no repeats of each other.
-
-    A null text stays null.
+    Lines without a word are no repeats of each other.  A null text stays null.
     """
-    found = cut(removed_lines(docs, least).where(F.size("removed") > 0).select(F.col("doc").alias("_doc"), F.col("removed").alias("_removed")), "removed-lines")
-    total = found.agg(F.coalesce(F.sum(F.size("_removed")), F.lit(0))).first()[0]
+    found = cut(removed_lines(docs).where(F.size("removed") > 0).select("doc", "version", "removed"), "removed-lines")
+    total = found.agg(F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()[0]
     small = is_few(found) and total <= 4 * FEW  # else documents are shuffled to their removals
-    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).join(F.broadcast(found) if small else found, F.col("_id").eqNullSafe(F.col("_doc")), "left")
-    lines = F.split(F.col("text"), "\n")
-    kept = let(F.col("_removed"), lambda gone: F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n"))
-    return keyed.withColumn("text", F.when(F.col("_removed").isNull() | F.col("text").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc")) & (F.xxhash64(F.col("row.text").cast("string")) == F.col("version"))
+    joined = whole.join(F.broadcast(found) if small else found, same, "left")
+    lines = F.split(F.col("row.text"), "\n")
+    kept = let(F.col("removed"), lambda gone: F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n"))
+    text = F.when(F.col("removed").isNull() | F.col("row.text").isNull(), F.col("row.text")).otherwise(kept)
+    return joined.select(*(text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))

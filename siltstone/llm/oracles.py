@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from siltstone.llm import line_dedup as line_dedup_operator
 from siltstone.llm import mixing, quality_rules
 
 LIST_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -95,12 +94,11 @@ FROM placed JOIN turns ON turns.source = placed.source AND turns.turn = block %
 
 
 def line_dedup() -> str:
-    least = line_dedup_operator.MIN_TOKENS
-    return f"""
+    return """
 WITH l AS (
   SELECT doc_id, unnest(range(0, len(x))) AS line, unnest(x) AS t FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)
 ), s AS (
-  SELECT t, min(({{'d': doc_id, 'l': line}})) AS pos, any_value(w) AS w FROM (SELECT *, list_distinct(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS w FROM l) WHERE len(w) >= {least} GROUP BY t
+  SELECT t, min({'d': doc_id, 'l': line}) AS pos, any_value(w) AS w FROM (SELECT *, list_distinct(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS w FROM l) WHERE len(w) >= 1 GROUP BY t
 ), u AS (
   SELECT pos, unnest(w) AS tok, len(w) AS n FROM s
 ), f AS (
@@ -113,7 +111,7 @@ WITH l AS (
   SELECT DISTINCT later AS pos FROM c JOIN s a ON a.pos = later JOIN s b ON b.pos = earlier
   WHERE 9 * len(list_intersect(a.w, b.w)) >= 4 * (len(a.w) + len(b.w))
 ), r AS (
-  SELECT l.doc_id, l.line, coalesce({{'d': l.doc_id, 'l': l.line}} > s.pos OR m.pos IS NOT NULL, false) AS gone FROM l LEFT JOIN s ON l.t = s.t LEFT JOIN m ON m.pos = s.pos
+  SELECT l.doc_id, l.line, coalesce({'d': l.doc_id, 'l': l.line} > s.pos OR m.pos IS NOT NULL, false) AS gone FROM l LEFT JOIN s ON l.t = s.t LEFT JOIN m ON m.pos = s.pos
 )
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed, coalesce(string_agg(line::VARCHAR, ',' ORDER BY line) FILTER (gone), '') AS removed
 FROM r GROUP BY doc_id"""

@@ -181,7 +181,7 @@ def check_lines(docs, by):
         want[d] = []
         for k, line in enumerate(by[d]):
             w = set(line.split())
-            if len(w) >= line_dedup.MIN_TOKENS:
+            if w:
                 if any(len(w & x) * 9 >= 4 * (len(w) + len(x)) for x in earlier):
                     want[d].append(k)
                 earlier.append(w)
