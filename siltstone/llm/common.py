@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Rows of small tables are broadcast up to so many, of a few numbers each.
+FEW = 1_000_000
+
 #: White space that separates words: space and the characters 9 to 13.
 WORD = "[^\\x20\\x09-\\x0D]+"
 GAP = "[\\x20\\x09-\\x0D]+"
@@ -16,11 +20,14 @@ GAP = "[\\x20\\x09-\\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is the one named in ``spark.checkpoint.dir``.  Only where that is unset
-    (a single machine, as in tests) a temporary folder is made and named there.
+    It is the one named in ``spark.checkpoint.dir``.  Only where that is unset and
+    the master is local (as in tests) a temporary folder is made and named there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir names no shared folder, and {master} is no local master")
         found = "file://" + tempfile.mkdtemp(prefix="siltstone-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -58,3 +65,26 @@ def let(value: Column, body) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def is_few(table: DataFrame) -> bool:
+    """Whether a cut table's rows may be broadcast."""
+    return table.count() <= FEW
+
+
+def maybe_broadcast(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if is_few(table) else table
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one struct, so that no name of theirs clashes with another."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
+def numbered(rows: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """``rows`` with ``nth``, their number from 0 in the order of ``by``, cut: many tasks number them."""
+    dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    dealt = cut(dealt.withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), name)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = dealt.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    return dealt.join(F.broadcast(starts), "part").withColumn("nth", F.col("start") + F.col("row")).drop("part", "row", "start")

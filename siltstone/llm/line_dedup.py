@@ -7,22 +7,24 @@ part.  Up to three different words only equal sets are as similar as asked; a
 group-by on the set finds the first.
 
 Equal lines are one to the join, represented by the first.  Tokens are ordered by
-rarity: by the counts of a million hash buckets of words, over all texts.  Two lines
+rarity: by the counts of 65,536 hash buckets of words, over all texts.  Two lines
 as similar as asked share a token of their prefixes (the rarest tokens, one more
 than may be missing).  Pairs with a shared prefix token pass the length filter, the
 positional filter, and a bound on their difference from 64 or 128 parity bits of
 each line's tokens, which none as similar as asked can fail; the Jaccard similarity
 of those left is verified on their words.
 
-The join asks which lines have an earlier match, not for all pairs.  So each line is
-first held against the earliest with one of its two rarest tokens; lines whose
-match is verified are settled, which in a group of copies, however large, leaves
-few.  The others are joined with all earlier lines that share a prefix token: a plain join
-of one shuffle with itself, whose large keys adaptive execution deals out in blocks.
+The join asks which lines have an earlier match, not for all pairs.  So in each
+token's list every line is first held against the earliest one, and against the
+earliest of those that may not match that; lines whose match is verified are
+settled, which in a group of copies, however large, leaves few.  The others are
+joined with all earlier lines of their lists.  The lists are a table bucketed by
+token, which both steps read without another shuffle.  A list over ``HOT_LIST`` is
+held against its earliest line by a join, and then dealt out in blocks, each pair
+of which is a group of its own.
 
-Lines become tokens, prefixes and parity bits in Arrow batches, as SQL's functions of
-arrays take too much time for that; all else is SQL functions.  A token is 56 bits of a
-word's XXH3, equal lines are told by the XXH64, Murmur hash and length of their texts.
+All of it is SQL functions; a token is 56 bits of a word's XXH64, equal lines are told by
+the XXH64, Murmur hash and length of their texts.
 
 Null text is the empty text, whose one line is kept.  Very long lines and texts are
 sets of words like others.  Rows of one doc_id with other texts are documents of their
@@ -33,41 +35,28 @@ No documents give no rows.  Extra columns of any name are kept by ``dedup_lines`
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import math
 from dataclasses import dataclass
-from itertools import chain
 
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import GAP, WORD, cut, let
+from siltstone.llm.common import FEW, GAP, WORD, cut, fresh_path, is_few, let, maybe_broadcast, numbered, whole_row
 from siltstone.llm.simhash import spark_partitions
 
 #: Sets of fewer tokens are as similar as asked only if they are equal.
 JOINED_TOKENS = 4
-#: Counts of words are kept for so many hash buckets, in so many parts.
-BUCKETS, CHUNKS = 1 << 20, 64
+#: Counts of words are kept for so many hash buckets.
+BUCKETS = 1 << 16
 #: Lines of more tokens than this have 128 parity bits, others 64.
 LANE_TOKENS = 64
-#: Lines are first held against the earliest with one of so many rarest tokens.
-LEADING = 2
-#: Places, keys and tokens are broadcast up to so many, 24 bytes each at most.
-FEW = 1_000_000
+BITS = ["bits0", "bits1"]
+#: Lists over so many lines are dealt out in blocks of about as many.
+HOT_LIST = 20_000
+SPACES = "\t\x0b\x0c\r"
 HASH_BITS = 56
 
 
-def is_few(table: DataFrame) -> bool:
-    """Whether a cut table's rows may be broadcast."""
-    return table.count() <= FEW
-
-
-def maybe_broadcast(table: DataFrame) -> DataFrame:
-    return F.broadcast(table) if is_few(table) else table
-
-
 def numbered_lines(docs: DataFrame) -> DataFrame:
     """(doc, version, line, text): each line of each document; ``version`` tells texts of one doc_id apart."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -110,11 +99,8 @@ def order_of(lines: DataFrame) -> Order:
     if not several and (high - low + 1).bit_length() + width <= 63:
         return Order(low, high, width, None)
     by = [F.col("doc").asc_nulls_last(), F.col("version")]
-    ids = lines.where("line = 0").select("doc", "version").distinct().repartitionByRange(*by).sortWithinPartitions(*by)
-    ids = cut(ids.withColumn("part", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "doc-order")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    starts = ids.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
-    ranks = ids.join(F.broadcast(starts), "part").select(F.col("doc").alias("of_doc"), F.col("version").alias("of_version"), (F.col("start") + F.col("nth")).alias("rank"))
+    ids = numbered(lines.where("line = 0").select("doc", "version").distinct(), by, "doc-order")
+    ranks = ids.select(F.col("doc").alias("of_doc"), F.col("version").alias("of_version"), F.col("nth").alias("rank"))
     return Order(low, high, width, cut(ranks, "doc-ranks"))
 
 
@@ -124,92 +110,71 @@ def repeated_keys(places: DataFrame) -> DataFrame:
     return cut(found.select("key", "check", "first"), "repeated-keys")
 
 
-def hashes(words: Iterable[bytes], n: int) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
-
-
-def rarity(docs: DataFrame) -> np.ndarray:
-    """For each bucket of words twice the binary logarithm of its count in all texts."""
-    width = BUCKETS // CHUNKS
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 1024):
-                words = b" ".join(t.encode() for t in batch.column("text").slice(low, 1024).to_pylist() if t).split()
-                total += np.bincount((hashes(words, len(words)) & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([x.tobytes() for x in total.reshape(CHUNKS, width)], pa.binary())], ["chunk", "counts"])
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                totals[chunk] = totals.get(chunk, 0) + np.frombuffer(counts, np.int64)
-        ranks = [(2 * np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes() for x in totals.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(ranks, pa.binary())], ["chunk", "ranks"])
-
-    kinds = "chunk int, counts binary"
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(counted, kinds).repartition(CHUNKS, "chunk")
-    ranks = np.zeros((CHUNKS, width), np.uint8)
-    for chunk, found in counts.mapInArrow(summed, "chunk int, ranks binary").collect():  # CHUNKS rows, a byte for each bucket
-        ranks[chunk] = np.frombuffer(found, np.uint8)
-    return ranks.ravel()
-
-
-def tokenized(texts: list[str], ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
-    """Of lines with a word: numbers of tokens, two longs of parity bits, ends of prefixes, prefixes, small sets' keys."""
-    found = [set(t.encode().split()) for t in texts]  # of bytes: white space is 32 and 9 to 13
-    n = np.fromiter(map(len, found), np.int64, len(found))
-    ends = np.cumsum(n)
-    starts = ends - n
-    raw = hashes(chain.from_iterable(found), int(n.sum()))
-    tokens = (ranks[(raw & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(HASH_BITS)) | (raw & np.uint64((1 << HASH_BITS) - 1))
-    bit = np.uint64(1) << ((tokens >> np.uint64(26)) & np.uint64(63))
-    second = ((tokens >> np.uint64(32)) & np.uint64(1)).astype(bool) & np.repeat(n > LANE_TOKENS, n)
-    none = np.uint64(0)
-    bits0, bits1 = (np.bitwise_xor.reduceat(np.where(second, x, y), starts) for x, y in ((none, bit), (bit, none)))
-    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-        tokens[a:b].sort()
-    length = n - (4 * n + 4) // 5 + 1
-    within = np.arange(len(tokens)) - np.repeat(starts, n) < np.repeat(length, n)
-    same = [xxhash.xxh3_64_intdigest(b" ".join(sorted(w))) - (1 << 63) if len(w) < JOINED_TOKENS else None for w in found]
-    return n, bits0, bits1, np.cumsum(length), tokens[within], same
+def words_of(text: Column) -> Column:
+    odd = F.lit(False)
+    for c in SPACES:
+        odd = odd | F.contains(text, F.lit(c))
+    words = F.when(odd, F.split(text, GAP)).otherwise(F.split(text, " "))
+    return F.array_remove(words, "")
+
+
+def rarity(docs: DataFrame) -> Column:
+    """For each bucket of words twice the binary logarithm of its count in all texts: one array, whatever the corpus."""
+    word = F.explode(words_of(F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(" ")))).alias("word")
+    counts = docs.select(word).groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count().collect()  # one row a bucket
+    ranks = [0] * BUCKETS
+    for b, n in counts:
+        ranks[b] = int(2 * math.log2(n))
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<tinyint>")
+
+
+def parity(tokens: Column, n: Column) -> list[Column]:
+    """Two longs of bits, each the parity of how many tokens fall on it; lines of few tokens use one."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 26).bitwiseAND(F.lit(63)).cast("int"))
+    lane = lambda t: F.shiftright(t, 32).bitwiseAND(F.lit(1)) == 0
+    of = lambda step: F.aggregate(tokens, F.lit(0).cast("long"), step)
+    long = n > LANE_TOKENS
+    first = F.when(long, of(lambda bits, t: F.when(lane(t), bits.bitwiseXOR(bit(t))).otherwise(bits)))
+    second = F.when(long, of(lambda bits, t: F.when(lane(t), bits).otherwise(bits.bitwiseXOR(bit(t)))))
+    return [first.otherwise(of(lambda bits, t: bits.bitwiseXOR(bit(t)))).alias("bits0"), second.otherwise(F.lit(0).cast("long")).alias("bits1")]
 
 
 def different_lines(docs: DataFrame, order: Order, repeated: DataFrame) -> DataFrame:
     """(place, n, bits0, bits1, prefix, same) of the first of each group of equal lines, cut.
 
-    ``prefix``: the rarest tokens, in order.  ``same`` is the hash of the words' set
+    ``prefix``: the rarest tokens, in order.  ``same`` is the XXH64 of the words' set
     where that is too small to be joined.
     """
     ranks = rarity(docs)
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 2048):
-                part = batch.slice(low, 2048)
-                n, bits0, bits1, ends, prefix, same = tokenized(part.column("text").to_pylist(), ranks)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(prefix.view(np.int64)))
-                columns = [part.column("place"), pa.array(n.astype(np.int32)), pa.array(bits0.view(np.int64)), pa.array(bits1.view(np.int64)), lists, pa.array(same, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["place", "n", "bits0", "bits1", "prefix", "same"])
-
     lines = order.place(keyed(numbered_lines(docs).where(F.col("text").rlike(WORD))))
     lines = lines.join(maybe_broadcast(repeated), ["key", "check"], "left").where("first IS NULL OR first = place")
-    return cut(lines.select("place", "text").mapInArrow(made, "place long, n int, bits0 long, bits1 long, prefix array<long>, same long"), "different-lines")
+    mask = F.lit((1 << HASH_BITS) - 1)
+    hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
+    token = lambda h: F.shiftleft(F.element_at(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1).cast("long"), HASH_BITS).bitwiseOR(h.bitwiseAND(mask))
+    # A generator's output is evaluated once, however many expressions mention it.
+    sets = lines.select("place", "text", F.explode(F.array(F.sort_array(F.array_distinct(F.transform(hashes, token))))).alias("tokens"))
+    n = F.size("tokens")
+    prefix = F.slice("tokens", 1, n - F.floor((n * 4 + 4) / 5).cast("int") + 1)
+    same = F.when(n < JOINED_TOKENS, F.xxhash64(F.array_join(F.sort_array(F.array_distinct(words_of(F.col("text")))), " ")))
+    return cut(sets.select("place", n.alias("n"), *parity(F.col("tokens"), n), prefix.alias("prefix"), same.alias("same")), "different-lines")
 
 
-def postings(lines: DataFrame, prefix: Column, *more: Column) -> DataFrame:
-    """(token, place, nk, bits0, bits1) and ``more``: a row for each token of ``prefix``.
+def postings(different: DataFrame) -> str:
+    """Name of a table (token, place, nk, BITS), bucketed by token: each line's prefix.
 
     ``nk`` holds the line's number of tokens and, in its lower half, the token's
     position in order of rarity.
     """
-    rows = lines.select("place", "n", "bits0", "bits1", *more, F.posexplode(prefix).alias("k", "t"))
+    spark, parts = different.sparkSession, spark_partitions(different)
+    rows = different.where(F.col("n") >= JOINED_TOKENS).select("place", "n", *BITS, F.posexplode("prefix").alias("k", "t"))
     # 32 bits of a token are enough to list lines by: those that share a list by chance fail the later filters.
     token = F.shiftright(F.shiftleft("t", 32), 32).cast("int")
-    nk = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("k").cast("long"))
-    return rows.select(token.alias("token"), "place", nk.alias("nk"), *(c for c in rows.columns if c not in ("place", "n", "k", "t")))
+    rows = rows.select(token.alias("token"), "place", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("k").cast("long")).alias("nk"), *BITS)
+    path = fresh_path(spark, "postings")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    dealt = rows.repartition(parts, "token").sortWithinPartitions("token", "place")
+    dealt.write.bucketBy(parts, "token").option("path", path).option("compression", "zstd").saveAsTable(name)
+    return name
 
 
 def may_match(a: str, b: str) -> Column:
@@ -217,7 +182,7 @@ def may_match(a: str, b: str) -> Column:
     n = lambda side: F.shiftright(F.col(f"{side}.nk"), 32)
     after = lambda side: n(side) - F.col(f"{side}.nk").bitwiseAND(F.lit(0xFFFFFFFF))  # noqa: E731  tokens from this one on
     total = n(a) + n(b)
-    differ = [F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")) for c in ("bits0", "bits1")]
+    differ = [F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")) for c in BITS]
     alike = (n(a) > LANE_TOKENS) == (n(b) > LANE_TOKENS)
     # Of lines with other numbers of longs, all longs taken together compare.
     apart = F.when(alike, F.bit_count(differ[0]) + F.bit_count(differ[1])).otherwise(F.bit_count(differ[0].bitwiseXOR(differ[1])))
@@ -239,25 +204,57 @@ def verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
     return cut(found.where(shared * 9 >= (F.size("w.a") + F.size("w.b")) * 4).select(F.col("later").alias("place")).distinct(), "verified")
 
 
-def led(joined: DataFrame) -> DataFrame:
-    """(later, earlier): each line with the earliest of those that it shares one of its rarest tokens with."""
-    rows = postings(joined, F.slice("prefix", 1, LEADING))
-    first = [F.min_by(c, "place").alias(c) for c in ("nk", "bits0", "bits1")]
-    leads = rows.groupBy("token").agg(F.min("place").alias("place"), F.max("place").alias("last"), *first).where("place < last")
-    both = rows.alias("x").join(leads.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.place") < F.col("x.place")) & may_match("x", "y"))
-    return both.select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier"))
-
-
-def matched_places(different: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
-    """Places of the different lines that have an earlier match."""
-    joined = different.where(F.col("n") >= JOINED_TOKENS)
-    settled = verified(led(joined), docs, order)
-    marked = joined.join(maybe_broadcast(settled.withColumn("done", F.lit(True))), "place", "left")
-    rows = postings(marked, F.col("prefix"), F.col("done").isNull().alias("open")).repartition(spark_partitions(different), "token")
-    # The condition on ``open`` mentions both sides, so that both are one shuffle.
-    later = F.when(F.col("y.place") < F.col("x.place"), F.col("x.open")).otherwise(F.lit(False))
-    pairs = rows.alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & later & may_match("x", "y"))
-    return settled.unionByName(verified(pairs.select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier")), docs, order))
+def led(rows: DataFrame) -> DataFrame:
+    """(later, earlier): each line of a list with the list's earliest, or with the earliest that may not match that."""
+    order = Window.partitionBy("token").orderBy("place")
+    own = F.struct("place", "nk", *BITS)
+    marked = rows.select("place", own.alias("own"), F.first(own).over(order).alias("lead"), "token")
+    marked = marked.withColumn("led", (F.col("place") != F.col("lead.place")) & may_match("own", "lead"))
+    free = F.when(~F.col("led") & (F.col("place") != F.col("lead.place")), F.col("own"))
+    marked = marked.withColumn("next", F.first(free, ignorenulls=True).over(order))
+    again = F.coalesce((F.col("place") != F.col("next.place")) & may_match("own", "next"), F.lit(False))
+    leader = F.when(F.col("led"), F.col("lead.place")).when(again, F.col("next.place"))
+    return marked.select(F.col("place").alias("later"), leader.alias("earlier")).where("earlier IS NOT NULL")
+
+
+def led_in_hot(rows: DataFrame) -> DataFrame:
+    """As ``led``, of lists of any length: with the list's earliest line."""
+    first = [F.min_by(c, "place").alias(c) for c in ("nk", *BITS)]
+    return earlier_pairs(rows, rows.groupBy("token").agg(F.min("place").alias("place"), *first), ["token"])
+
+
+def earlier_pairs(later: DataFrame, rows: DataFrame, by: list[str]) -> DataFrame:
+    """(later, earlier) of postings that share ``by`` and pass the filters."""
+    same = (F.col("y.place") < F.col("x.place")) & may_match("x", "y")
+    for c in by:
+        same = (F.col(f"x.{c}") == F.col(f"y.{c}")) & same
+    return later.alias("x").join(rows.alias("y"), same).select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier"))
+
+
+def blocks(rows: DataFrame, hot: DataFrame, mine: str, other: str, size: int) -> DataFrame:
+    """``rows`` of hot lists in their block ``mine``, once for each block ``other`` of the list."""
+    n = F.ceil(F.col("length") / size).cast("int")
+    dealt = rows.join(maybe_broadcast(hot), "token").withColumn(mine, F.pmod(F.xxhash64("place"), n))
+    return dealt.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))).drop("length")
+
+
+def matched_places(different: DataFrame, docs: DataFrame, order: Order, hot_list: int = HOT_LIST) -> DataFrame:
+    """Places of the different lines that have an earlier match, cut."""
+    name = postings(different)
+    rows = different.sparkSession.table(name)
+    hot = cut(rows.groupBy("token").agg(F.count("*").alias("length")).where(F.col("length") > hot_list), "hot-lists")
+    short, firsts, any_hot = rows, led(rows), hot.limit(1).count() > 0
+    if any_hot:
+        short = rows.join(maybe_broadcast(hot), "token", "left_anti")
+        firsts = led(short).unionByName(led_in_hot(rows.join(maybe_broadcast(hot), "token", "left_semi")))
+    settled = verified(firsts, docs, order)
+    rest = lambda listed: listed.join(maybe_broadcast(settled), "place", "left_anti")
+    pairs = earlier_pairs(rest(short), short, ["token"])
+    if any_hot:
+        pairs = pairs.unionByName(earlier_pairs(blocks(rest(rows), hot, "i", "j", hot_list), blocks(rows, hot, "j", "i", hot_list), ["token", "i", "j"]))
+    found = cut(settled.unionByName(verified(pairs, docs, order)), "matched")
+    different.sparkSession.sql(f"DROP TABLE {name}")
+    return found
 
 
 def equal_sets(different: DataFrame) -> DataFrame:
@@ -292,7 +289,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     found = cut(removed_lines(docs).where(F.size("removed") > 0).select("doc", "version", "removed"), "removed-lines")
     total = found.agg(F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()[0]
     small = is_few(found) and total <= 4 * FEW  # else documents are shuffled to their removals
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    whole = docs.select(whole_row(docs).alias("row"))
     same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc")) & (F.xxhash64(F.col("row.text").cast("string")) == F.col("version"))
     joined = whole.join(F.broadcast(found) if small else found, same, "left")
     lines = F.split(F.col("row.text"), "\n")

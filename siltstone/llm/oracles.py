@@ -63,34 +63,40 @@ FROM j"""
 
 def mixture(weights: dict[str, int], default: int = 1, block: int = mixing.BLOCK) -> str:
     weight = "CASE source " + " ".join(f"WHEN '{s}' THEN {w}" for s, w in weights.items()) + f" ELSE {default} END"
+    named = "source IN (" + ", ".join(f"'{s}'" for s in weights) + ")"
     return f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(doc_id::VARCHAR, '')) AS digest FROM documents
 ), s AS (
-  SELECT source, n, {weight} AS weight FROM (SELECT source, count(*) AS n FROM d GROUP BY source)
+  SELECT source, n, {weight} AS weight, CASE WHEN {named} THEN '=' || source ELSE '~' END AS entity,
+    CASE WHEN {named} THEN 1 ELSE count(*) FILTER (NOT {named}) OVER () END AS step,
+    CASE WHEN {named} THEN 0 ELSE row_number() OVER (PARTITION BY {named} ORDER BY source) - 1 END AS nth
+  FROM (SELECT source, count(*) AS n FROM d GROUP BY source)
+), e AS (
+  SELECT entity, sum(weight)::BIGINT AS weight FROM s GROUP BY entity
 ), a AS (
-  SELECT list(source ORDER BY source) AS names, list(weight ORDER BY source) AS ws, sum(weight)::BIGINT AS total FROM s
+  SELECT list(entity ORDER BY entity) AS names, list(weight ORDER BY entity) AS ws, sum(weight)::BIGINT AS total FROM e
 ), fold AS (
-  SELECT -1::BIGINT AS slot, list_transform((SELECT ws FROM a), lambda w: 0::BIGINT) AS turns, NULL::STRUCT(due BIGINT, i BIGINT, turn BIGINT, rel BIGINT) AS p
+  SELECT -1::BIGINT AS slot, list_transform((SELECT ws FROM a), lambda w: 0::BIGINT) AS turns, NULL::STRUCT(due BIGINT, i BIGINT, turn BIGINT) AS p
   UNION ALL
   SELECT slot, list_transform(turns, lambda k, i: CASE WHEN i = p.i THEN k + 1 ELSE k END), p FROM (
     SELECT slot + 1 AS slot, turns, list_min(list_filter(list_transform(turns, lambda k, i:
       CASE WHEN (k * a.total) // a.ws[i] <= slot + 1
-        THEN {{'due': ((k + 1) * a.total + a.ws[i] - 1) // a.ws[i], 'i': i::BIGINT, 'turn': k, 'rel': (k * a.total) // a.ws[i]}} END), lambda x: x IS NOT NULL)) AS p
+        THEN {{'due': ((k + 1) * a.total + a.ws[i] - 1) // a.ws[i], 'i': i::BIGINT, 'turn': k}} END), lambda x: x IS NOT NULL)) AS p
     FROM fold, a WHERE slot + 1 < a.total)
 ), turns AS (
-  SELECT a.names[p.i] AS source, p.turn AS turn, slot, p.rel AS rel, p.due AS due FROM fold, a WHERE slot >= 0
+  SELECT a.names[p.i] AS entity, p.turn AS turn, slot FROM fold, a WHERE slot >= 0
 ), stop AS (
   SELECT min(blocks // weight * total + slot) AS stop FROM (SELECT *, (n + {block - 1}) // {block} AS blocks FROM s) x, a, turns
-  WHERE turns.source = x.source AND turn = blocks % weight
+  WHERE turns.entity = x.entity AND turn = (blocks % weight) * step + nth
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY digest, doc_id) - 1 AS rank FROM d
 ), placed AS (
-  SELECT ranked.*, weight, rank // {block} AS block, (rank // {block}) // weight * total AS since FROM ranked JOIN s USING (source), a
+  SELECT ranked.*, weight, entity, step, nth, total, rank // {block} AS block FROM ranked JOIN s USING (source), a
 )
-SELECT placed.doc_id, placed.source, (since + slot)::BIGINT AS slot, (rank % {block})::BIGINT AS place_in_block, block::BIGINT AS block,
-  (since + rel)::BIGINT AS release, (since + due)::BIGINT AS deadline, since + slot < stop.stop AS in_mix
-FROM placed JOIN turns ON turns.source = placed.source AND turns.turn = block % weight, stop"""
+SELECT placed.doc_id, placed.source, (block // weight * total + slot)::BIGINT AS slot, (rank % {block})::BIGINT AS place_in_block, block::BIGINT AS block,
+  (block * total // weight)::BIGINT AS release, (((block + 1) * total + weight - 1) // weight)::BIGINT AS deadline, block // weight * total + slot < stop.stop AS in_mix
+FROM placed JOIN turns ON turns.entity = placed.entity AND turns.turn = (block % weight) * step + nth, stop"""
 
 
 def line_dedup() -> str:
@@ -123,10 +129,16 @@ def warc_captures() -> str:
     digits = " || ".join(f"substr('{alphabet}', ((({part(k)} >> {shift}) & 31) + 1)::INT, 1)" for k in range(8) for shift in (15, 10, 5, 0))
     return f"""
 WITH p AS (
-  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h,
+    strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id % 1000000000), '%Y%m%d%H%M%S') AS timestamp,
+    string_split(regexp_replace(lower(regexp_extract(trim(url), '^[A-Za-z]+://([^/?#:]+)', 1)), '^www\\.', ''), '.') AS host,
+    regexp_extract(trim(url), '^[A-Za-z]+://[^/?#]+([^?#]*)', 1) AS path, regexp_extract(trim(url), '^[^?#]*([?][^#]+)?', 1) AS query FROM pages
+), k AS (
+  SELECT *, array_to_string(list_reverse(host), ',') || ')' || CASE path WHEN '' THEN '/' ELSE path END || query AS urlkey FROM p
 ), f AS (
-  SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first,
+    row_number() OVER (ORDER BY urlkey, timestamp, page_id) - 1 AS capture_place, row_number() OVER (PARTITION BY urlkey ORDER BY timestamp, page_id) - 1 AS history_place FROM k
 )
 SELECT page_id, payload_bytes, {digits} AS payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN page_id > first THEN first END AS refers_to
+  CASE WHEN page_id > first THEN first END AS refers_to, urlkey, timestamp, capture_place, history_place
 FROM f"""

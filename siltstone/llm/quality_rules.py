@@ -11,7 +11,8 @@ words has no histogram, and fails the base rules.  A null language is a language
 of its own; one without a list of common words is judged by characters alone.
 If no document of a language passes the base rules there is no reference and the
 base rules alone decide.  Repeated rows are judged each; extra columns of the
-input are kept by ``measure``, ``judge`` and ``kept_documents``.
+input, of any name, are kept by ``kept_documents``; ``measure`` and ``judge`` keep
+those that do not begin with an underscore.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import GAP, WORD, cut, let
+from siltstone.llm.common import GAP, WORD, cut, let, whole_row
 
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
@@ -186,10 +187,11 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept.
+    """The rows of ``docs`` that are kept, with columns of any name.
 
-    Texts are measured twice, for the references and for the verdicts, as that
-    takes neither a copy of them nor a join.
+    Rows are written with their measures, so that texts are measured once.
     """
-    measured = measure(docs)
-    return judge(measured, cut(references(histograms(measured)), "references")).where("_kept").select(*docs.columns)
+    rows = docs.select(whole_row(docs).alias("row"), "text", "lang")
+    measured = cut(measure(rows).select("row", "_quality"), "measured-rows")
+    kept = judge(measured, cut(references(histograms(measured.select("_quality"))), "references")).where("_kept")
+    return kept.select(*(F.col(f"row.`{c}`") for c in docs.columns))

@@ -30,7 +30,7 @@ def tokenizer_paths() -> tuple[str, str]:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.read_media(media.store_media(table(spark, sf_dir, "documents"))).withColumn("tile_bytes", F.octet_length("tile")).drop("tile")
+    return media.read_media(media.store_media(table(spark, sf_dir, "documents")))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.archive_pages(table(spark, sf_dir, "pages"))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "capture_place", "history_place")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -26,7 +26,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import partial
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut
+from siltstone.llm.common import cut, maybe_broadcast, whole_row
 
 BITS = 64
 BUDGET = 4
@@ -42,10 +41,12 @@ BUDGET = 4
 NEAR_BUDGET = 8
 SEED = 42
 GROUP_ROWS = 8192
+#: Fingerprints that agree on the chosen blocks are about so many at least, where there are as many.
+GROUP_AIM = 512
+#: Node pairs of so many pairs of fingerprints are leaves.
+LEAF_PAIRS = 2
 #: Node pairs handled at once; their arrays take about 100 MB.
 FRONTIER = 1_000_000
-#: Ids of copies are broadcast up to so many, 8 bytes each.
-BROADCAST_IDS = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -80,19 +81,25 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     return lean.mapInArrow(hashed, "doc_id long, fp long")
 
 
-def block_masks(budget: int, agree: int) -> list[int]:
-    """For each choice of ``agree`` of budget + agree blocks of the bits, its mask."""
+def block_masks(budget: int, agree: int, width: int = BITS) -> list[int]:
+    """For each choice of ``agree`` of budget + agree blocks of the bits, its mask: ``width`` bits at most of each block."""
     edges = np.linspace(0, BITS, budget + agree + 1).round().astype(int)
-    blocks = [((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
+    blocks = [((1 << int(min(b, a + width))) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
     return [sum(chosen) for chosen in combinations(blocks, agree)]
 
 
-def blocks_to_agree(n: int, budget: int, group: int = 256) -> int:
-    """The fewest blocks that leave about ``group`` of n even fingerprints together."""
-    for agree in range(1, 5):
-        if n >> (BITS * agree // (budget + agree)) < group:
-            return agree
-    return 4
+def dealing(n: int, budget: int, aim: int = GROUP_AIM) -> tuple[int, int]:
+    """Blocks that must agree, and how many bits of each are compared, so that n even fingerprints lie in groups of about ``aim``.
+
+    The fewest blocks that can part them so: each fingerprint is dealt out once for each
+    choice of blocks.  Three are enough for any corpus, as they part 2**27 times as many.
+    """
+    bits = max(0, (n // aim).bit_length() - 1)
+    for agree in (1, 2, 3):
+        width = -(-bits // agree)
+        if width <= BITS // (budget + agree):
+            return agree, width
+    return 3, BITS
 
 
 class Forest:
@@ -130,7 +137,7 @@ def trie_join(values: np.ndarray, left: np.ndarray, right: np.ndarray, budget: i
             stack += [now[at : at + FRONTIER // 2] for at in range(0, len(now), FRONTIER // 2)]
             continue
         na, nb = now[:, 1] - now[:, 0], now[:, 3] - now[:, 2]
-        small = na * nb <= 64
+        small = na * nb <= LEAF_PAIRS
         few = now[small]
         if len(few):
             size = (na * nb)[small]
@@ -206,8 +213,8 @@ def links(distinct: DataFrame, budget: int = BUDGET, group_rows: int = GROUP_ROW
 
     ``distinct``: a cut table with different fp values.
     """
-    agree = agree or blocks_to_agree(distinct.count(), budget)
-    masks = block_masks(budget, agree)
+    agree, width = (agree, BITS) if agree else dealing(distinct.count(), budget)
+    masks = block_masks(budget, agree, width)
     signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
     table = F.explode(F.array(*(F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(signed))))
     keyed = distinct.select("fp", table.alias("g")).select("fp", F.xxhash64("g.t", "g.key").alias("group"))
@@ -268,11 +275,6 @@ def components(docs: DataFrame, shingle: int = 4, budget: int = BUDGET, group_ro
     return marked.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
 
-def candidates_at(budget: int, agree: int) -> int:
-    """How many times each fingerprint is dealt out."""
-    return comb(budget + agree, agree)
-
-
 def keep_first(docs: DataFrame, shingle: int = 5, budget: int = NEAR_BUDGET) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest doc_id.
 
@@ -280,6 +282,7 @@ def keep_first(docs: DataFrame, shingle: int = 5, budget: int = NEAR_BUDGET) ->
     their five-word shingles differ in six bits on average, unrelated ones in 32.
     Repeated rows of the kept doc_id are all kept, as is a null doc_id.
     """
-    lone = cut(components(docs, shingle, budget).where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    few = lone.count() <= BROADCAST_IDS  # else documents are shuffled to them
-    return docs.join(F.broadcast(lone) if few else lone, "doc_id", "left_anti").select(*docs.columns)
+    lone = cut(components(docs, shingle, budget).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "copies")
+    rows = docs.select(whole_row(docs).alias("row"))
+    # Beyond what may be broadcast, documents are shuffled to the ids that go.
+    return rows.join(maybe_broadcast(lone), F.col("row.doc_id").cast("long") == F.col("gone"), "left_anti").select(*(F.col(f"row.`{c}`") for c in docs.columns))

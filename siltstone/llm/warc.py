@@ -2,9 +2,9 @@
 
 ``write_archives`` writes a record per page into archives of bounded size in the
 shared folder.  Each archive's index entries are sorted by URL key, time and page:
-one capture run.  ``merge_runs`` deals the runs out by key ranges and merges those
-of each range with a loser tree, so that the ranges in order are one index of
-capture histories.  ``read_archives`` reads every record back.
+one capture run.  ``merge_runs`` deals the runs out by key ranges of bounded size and merges
+those of each range with a loser tree, so that the ranges in order are one index of
+capture histories; every capture gets its place in it and in its URL's history.  ``read_archives`` reads every record back.
 
 Of records with equal payloads, the one with the smallest page_id is a response
 and the others revisit it; ``min_revisit`` sets below how many bytes all are
@@ -32,15 +32,18 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, fresh_path, shared_dir
+from siltstone.llm.common import cut, fresh_path, maybe_broadcast, shared_dir
+from siltstone.llm.simhash import spark_partitions
 
 #: Archives end after so many bytes.
 ARCHIVE_BYTES = 256 << 20
 #: Revisits of up to so many pages are broadcast to the writers, 16 bytes each.
 REVISITS = 1_000_000
+#: Index entries merged in one task, about.
+RANGE_ENTRIES = 250_000
 #: Pages carry no time of capture; they are one second apart from here.
 EPOCH = datetime(2024, 1, 1, tzinfo=UTC)
 
@@ -101,6 +104,8 @@ def parse(raw: bytes) -> tuple[int | None, int, str, str, int | None]:
 
 
 def file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
+    """Arrow's file system and path of what Hadoop names; object stores' schemes differ there."""
+    path = re.sub(r"^(s3a|s3n)://", "s3://", path)
     return pa.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path) if ":" in path else "file://" + path)
 
 
@@ -202,11 +207,12 @@ class LoserTree:
             self.play(best)
 
 
-def merge_runs(runs: DataFrame) -> DataFrame:
-    """The runs' entries with their place (range, place) in the global order.
+def merge_runs(runs: DataFrame, range_entries: int = RANGE_ENTRIES) -> DataFrame:
+    """The runs' entries with ``capture_place`` in the global order, and ``history_place`` in that of their URL.
 
-    Entries are dealt out in ranges of (urlkey, timestamp, page_id), so that
-    captures of one URL, however many, can lie in several ranges.
+    Entries are dealt out in ranges of (urlkey, timestamp, page_id) of about
+    ``range_entries``, as many ranges as that takes, so that captures of one URL, however
+    many, can lie in several ranges.  A task merges one range.
     """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,15 +223,34 @@ def merge_runs(runs: DataFrame) -> DataFrame:
             return
         part = TaskContext.get().partitionId()
         table = pa.Table.from_batches(rows)  # one range's entries; arrives sorted by run and seq
-        keys = list(zip(*(table.column(c).to_pylist() for c in ("urlkey", "timestamp")), (-1 if x is None else x for x in table.column("page_id").to_pylist()), range(table.num_rows), strict=True))
+        urls, times = (table.column(c).to_pylist() for c in ("urlkey", "timestamp"))
+        keys = list(zip(urls, times, (-1 if x is None else x for x in table.column("page_id").to_pylist()), range(len(urls)), strict=True))
         run = table.column("run").to_pylist()
         edges = [k for k in range(len(run)) if k == 0 or run[k] != run[k - 1]] + [len(run)]
         order = [key[3] for key in LoserTree([keys[a:b] for a, b in zip(edges, edges[1:], strict=False)])]
-        merged = table.take(pa.array(order, pa.int64())).append_column("range", pa.array([part] * len(order), pa.int32())).append_column("place", pa.array(range(len(order)), pa.int64()))
+        nth, seen = [], 0
+        for k, at in enumerate(order):  # in merged order a URL's captures follow each other
+            seen = seen + 1 if k and urls[at] == urls[order[k - 1]] else 0
+            nth.append(seen)
+        merged = table.take(pa.array(order, pa.int64())).append_column("range", pa.array([part] * len(order), pa.int32()))
+        merged = merged.append_column("place", pa.array(range(len(order)), pa.int64())).append_column("nth", pa.array(nth, pa.int64()))
         yield from merged.combine_chunks().to_batches()
 
-    dealt = runs.repartitionByRange("urlkey", "timestamp", "page_id").sortWithinPartitions("run", "seq")
-    return dealt.mapInArrow(merge, ENTRIES + ", range int, place long")
+    n = max(spark_partitions(runs), -(-runs.count() // range_entries))
+    dealt = runs.repartitionByRange(n, "urlkey", "timestamp", "page_id").sortWithinPartitions("run", "seq")
+    merged = cut(dealt.mapInArrow(merge, ENTRIES + ", range int, place long, nth long"), "merged-index")
+    # What lies in the ranges before: of all captures, and of a URL that an earlier range ends with. A row for each range.
+    sizes = merged.groupBy("range").agg(F.count("*").alias("size"), F.min_by("urlkey", "place").alias("opens"), F.max_by("urlkey", "place").alias("closes"), F.max_by("nth", "place").alias("last"))
+    lower = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("size").over(lower), F.lit(0)))
+    # A URL's captures in an earlier range are those at its end; ranges that it fills follow each other.
+    same = Window.partitionBy("closes").orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = sizes.select(F.col("range").alias("of"), F.col("closes").alias("url"), F.sum(F.col("last") + 1).over(same).alias("had"))
+    carried = sizes.join(ends, (F.col("url") == F.col("opens")) & (F.col("of") < F.col("range")), "left").groupBy("range", "before", "opens").agg(F.coalesce(F.max("had"), F.lit(0)).alias("carried"))
+    carried = maybe_broadcast(cut(carried, "range-sizes"))
+    place = (F.col("before") + F.col("place")).alias("capture_place")
+    history = (F.col("nth") + F.when(F.col("urlkey") == F.col("opens"), F.col("carried")).otherwise(0)).alias("history_place")
+    return merged.join(carried, "range").select(*(x.split()[0] for x in ENTRIES.split(", ")), place, history)
 
 
 def read_archives(runs: DataFrame) -> DataFrame:
@@ -254,8 +279,8 @@ def read_archives(runs: DataFrame) -> DataFrame:
         if rows:
             yield batch()
 
-    files = runs.select("run").distinct().repartition("run")
-    return files.mapInArrow(read, RECORDS)
+    files = cut(runs.select("run").distinct(), "archives")
+    return files.repartition(max(1, files.count())).mapInArrow(read, RECORDS)  # an archive for each task
 
 
 def records_of(source, chunk: int = 1 << 20) -> Iterator[tuple[int, bytes]]:
@@ -281,5 +306,7 @@ def records_of(source, chunk: int = 1 << 20) -> Iterator[tuple[int, bytes]]:
 def archive_pages(pages: DataFrame, min_revisit: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write the pages, merge the index, read the archives back: a row per capture."""
     runs = write_archives(pages, min_revisit, archive_bytes)
-    index = merge_runs(runs).select("run", "offset", "urlkey", "timestamp", "range", "place")
-    return index.join(read_archives(runs), ["run", "offset"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "range", "place")
+    index = merge_runs(runs).select("run", "offset", "urlkey", "timestamp", "capture_place", "history_place")
+    # Both sides grow with the pages: neither is broadcast.
+    both = index.join(read_archives(runs).hint("merge"), ["run", "offset"])
+    return both.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "capture_place", "history_place")

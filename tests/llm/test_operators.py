@@ -234,9 +234,29 @@ def test_mixture_is_whole(spark):
         assert abs(len({r["slot"] for r in inside if r["source"] == s}) - n * w / 6) < 1
     out = mixing.mixed_documents(docs, {"s0": 3}, block=8)
     assert out.columns == docs.columns and out.count() == 2000
-    for bad in ({"s0": 0}, {"s0": 10**6}):
-        with pytest.raises(ValueError):
-            mixing.mix(docs, bad)
+    with pytest.raises(ValueError):
+        mixing.mix(docs, {"s0": 0})
+
+
+def test_many_sources(spark):
+    docs = spark.range(200_100).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 100, "big").otherwise(F.concat(F.lit("s"), F.col("id"))).alias("source"))
+    placed = mixing.mix(docs, {"big": 1000}, block=1)
+    found = placed.agg(F.count("*"), F.countDistinct("slot"), F.min("slot"), F.sum((F.col("release") <= F.col("slot")).cast("int")), F.sum((F.col("slot") < F.col("deadline")).cast("int"))).first()
+    assert tuple(found) == (200_100, 200_100, 0, 200_100, 200_100)
+
+
+@pytest.mark.parametrize("default", [1, 3])
+def test_sources_of_the_default_weight_deviate_by_less_than_a_block(spark, default):
+    docs = spark.createDataFrame([(k, f"s{k % 9}") for k in range(9 * 40)], "doc_id long, source string")
+    weights = {"s0": 7, "s1": 2}
+    total = 9 + 7 * default
+    rows = sorted(mixing.mix(docs, weights, default=default, block=1).where("in_mix").collect(), key=lambda r: r["slot"])
+    had = {f"s{k}": 0 for k in range(9)}
+    assert [r["slot"] for r in rows] == list(range(len(rows))) and len(rows) > 30
+    for t, r in enumerate(rows, 1):
+        had[r["source"]] += 1
+        assert r["release"] <= r["slot"] < r["deadline"]
+        assert all(abs(n - weights.get(s, default) * t / total) < 1 for s, n in had.items())
 
 
 # --- classifiers
@@ -309,7 +329,12 @@ def test_loser_tree_merges(lists):
 def test_archives_in_small_pieces_have_one_global_order(spark):
     pages = spark.read.parquet(f"{SF_MORE}/pages.parquet").repartition(5)
     whole = warc.archive_pages(pages.unionByName(pages.withColumn("page_id", F.col("page_id") + 1000)), archive_bytes=20_000)
-    rows = whole.orderBy("range", "place").collect()
+    rows = whole.orderBy("capture_place").collect()
+    assert [r["capture_place"] for r in rows] == list(range(500))
+    had = {}
+    for r in rows:
+        assert r["history_place"] == had.get(r["urlkey"], 0)
+        had[r["urlkey"]] = r["history_place"] + 1
     keys = [(r["urlkey"], r["timestamp"], r["page_id"]) for r in rows]
     assert keys == sorted(keys, key=lambda k: (k[0].encode(), *k[1:])) and len(rows) == 500
     assert sum(r["record_type"] == "revisit" for r in rows) == 250
