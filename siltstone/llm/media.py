@@ -7,7 +7,9 @@ by integral images, and gives NPY tiles and difference hashes.
 Null text counts as empty.  Every payload has at least one block, so the empty
 text is a block of 255s.  Very long texts give tall images.  Equal texts, and
 repeated rows, give equal values; null ids are carried.  Extra columns are left
-out.  An image that is damaged raises ``ValueError``.
+out.  ``decode_image`` raises ``ValueError`` for a damaged image; ``read_media`` says so in
+``status``, and leaves what it can't know null.  A clash of names can't arise, as only
+doc_id and text are read; ties have no part in it.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ WIDTH = 24
 TILE = 8
 
 STORED = "doc_id long, n_bytes long, media binary"
-FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary"
+FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary, tile_sha256 string, status string"
 
 
 def payload_of(text: str | None) -> tuple[int, bytes]:
@@ -56,30 +58,53 @@ def encode_image(payload: bytes) -> bytes:
     return head + info + pixels
 
 
-NETPBM = re.compile(rb"P([56])(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)\s")
+def netpbm_header(media: bytes) -> tuple[list[int], int]:
+    """Width, height and largest sample, and where the samples begin; one pass over the header."""
+    numbers: list[int] = []
+    at = 2
+    while len(numbers) < 3:
+        token = HEADER_TOKEN.match(media, at)
+        if not token:
+            raise ValueError("the Netpbm header is damaged")
+        at = token.end()
+        if token[1] is not None:
+            numbers.append(int(token[1]))
+            if len(numbers) < 3 and not (media[at : at + 1].isspace() or media[at : at + 1] == b"#"):
+                raise ValueError("the Netpbm header is damaged")
+    if not media[at : at + 1].isspace():
+        raise ValueError("the Netpbm header is damaged")
+    return numbers, at + 1
+
+
+#: A number of at most nine digits, one blank, or a comment line.
+HEADER_TOKEN = re.compile(rb"(\d{1,9})(?!\d)|\s|#[^\n]*\n")
 
 
 def decode_image(media: bytes) -> np.ndarray:
     """Height x width (grey) or height x width x 3 (RGB) samples of eight bits."""
     if media[:2] == b"BM":
+        if len(media) < 54:
+            raise ValueError("the BMP header is cut short")
         at, size = struct.unpack_from("<I", media, 10)[0], struct.unpack_from("<I", media, 14)[0]
         width, height = struct.unpack_from("<ii", media, 18)
         depth, packed = struct.unpack_from("<H", media, 28)[0], struct.unpack_from("<I", media, 30)[0]
-        if size < 40 or depth != 24 or packed:
-            raise ValueError("only uncompressed 24-bit BMP is read")
+        if size < 40 or depth != 24 or packed or width < 1 or not height:
+            raise ValueError("only uncompressed 24-bit BMP with pixels is read")
         step = -(-width * 3 // 4) * 4  # rows end on a multiple of four bytes
         if len(media) < at + step * abs(height):
             raise ValueError("BMP pixels are cut short")
         rows = np.frombuffer(media, np.uint8, step * abs(height), at).reshape(abs(height), step)
         rgb = rows[:, : width * 3].reshape(abs(height), width, 3)[:, :, ::-1]
         return rgb[::-1] if height > 0 else rgb
-    head = NETPBM.match(media)
-    if not head or int(head[4]) > 255:
-        raise ValueError("neither BMP nor eight-bit binary Netpbm")
-    width, height, depth = int(head[2]), int(head[3]), 3 if head[1] == b"6" else 1
-    if len(media) < head.end() + width * height * depth:
+    if media[:2] not in (b"P5", b"P6") or not (media[2:3].isspace() or media[2:3] == b"#"):
+        raise ValueError("neither BMP nor binary Netpbm")
+    (width, height, most), at = netpbm_header(media)
+    if not 0 < most < 256 or not width or not height:
+        raise ValueError("only eight-bit Netpbm with samples is read")
+    depth = 3 if media[:2] == b"P6" else 1
+    if len(media) < at + width * height * depth:
         raise ValueError("Netpbm samples are cut short")
-    flat = np.frombuffer(media, np.uint8, width * height * depth, head.end())
+    flat = np.frombuffer(media, np.uint8, width * height * depth, at)
     return flat.reshape((height, width, 3) if depth == 3 else (height, width))
 
 
@@ -116,6 +141,16 @@ def features_of(media: bytes) -> tuple[bytes, str, bytes]:
     return payload, bits.tobytes().hex(), out.getvalue()
 
 
+def row_of(media: bytes | None) -> tuple:
+    """What ``read_media`` says of one stored image; of a damaged one, its size, digest and the fault."""
+    whole = (None, None) if media is None else (len(media), hashlib.sha256(media).hexdigest())
+    try:
+        payload, feature, tile = features_of(media or b"")
+    except ValueError as fault:
+        return (None, None, None, *whole, None, None, None, str(fault))
+    return (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), *whole, feature, tile, hashlib.sha256(tile).hexdigest(), "ok")
+
+
 def store_media(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes (of the text) and its stored image, written as a table."""
 
@@ -135,14 +170,10 @@ def read_media(stored: DataFrame) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                out: list[list] = [[] for _ in range(7)]
-                for media in part.column("media").to_pylist():
-                    payload, feature, tile = features_of(media)
-                    row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, tile)
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile"])
+                rows = [row_of(media) for media in part.column("media").to_pylist()]
+                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.string())
+                columns = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), *columns], [x.split()[0] for x in FEATURES.split(", ")])
 
     return stored.select("doc_id", "n_bytes", "media").mapInArrow(decode, FEATURES)
 

@@ -106,6 +106,12 @@ def mix(docs: DataFrame, weights: dict[str, int], default: int = 1, block: int =
 
     Ordered by slot, then place_in_block, they are the mixture.
     """
+    own = [F.col(f"row.`{c}`") for c in docs.columns if c not in ADDED]
+    return placed_rows(docs.select(whole_row(docs).alias("row"), "doc_id", "source"), weights, default, block).select(*own, *ADDED)
+
+
+def placed_rows(docs: DataFrame, weights: dict[str, int], default: int, block: int) -> DataFrame:
+    """(row, doc_id, source) with ADDED."""
     keyed = docs.withColumn("_source", F.coalesce(F.col("source").cast("string"), F.lit(""))).withColumn("_digest", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     keyed = keyed.withColumn("_bucket", F.substring("_digest", 1, BUCKET_DIGITS))
     counts = cut(keyed.groupBy("_source", "_bucket").agg(F.count("*").alias("n")), "source-counts")
@@ -130,7 +136,7 @@ def mix(docs: DataFrame, weights: dict[str, int], default: int = 1, block: int =
     placed = placed.withColumn("_round", F.floor(k / w).cast("long")).join(slot_of, ["_entity", "_entity_turn"])
     slot = F.col("_round") * F.lit(total) + F.col("_slot")
     return placed.select(
-        *(f"`{c}`" for c in docs.columns if c not in ADDED),
+        "row",
         slot.alias("slot"),
         (F.col("_rank") % block).cast("long").alias("place_in_block"),
         k.alias("block"),
@@ -143,5 +149,5 @@ def mix(docs: DataFrame, weights: dict[str, int], default: int = 1, block: int =
 def mixed_documents(docs: DataFrame, weights: dict[str, int], default: int = 1, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs``, dealt out and sorted in the mixture's order."""
     own = docs.columns
-    placed = mix(docs.select(whole_row(docs).alias("row"), "doc_id", "source"), weights, default, block)
+    placed = placed_rows(docs.select(whole_row(docs).alias("row"), "doc_id", "source"), weights, default, block)
     return placed.repartitionByRange("slot", "place_in_block").sortWithinPartitions("slot", "place_in_block").select(*(F.col(f"row.`{c}`") for c in own))

@@ -14,7 +14,8 @@ length that a third of all pieces share is numbered by many tasks.
 
 Null text is the empty text, which is the end token alone.  Repeated rows are
 packed each.  Ties among equal lengths are broken by hash, doc_id and piece.
-No documents give no rows.  Extra columns of ``pack``'s input are kept.
+No documents give no rows.  Extra columns of ``pack``'s input, of any name, are kept;
+those named sequence_id and offset are replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm import mixing
-from siltstone.llm.common import cut
+from siltstone.llm.common import cut, whole_row
 
 CAPACITY = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -158,7 +159,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 64, place:
     Pieces of one length go by the column ``place`` (long, 0 or more), if it is named,
     and else by hash.
     """
-    spark = pieces.sparkSession
+    spark, columns = pieces.sparkSession, [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    used = ["doc_id", "piece", "length", *([place] if place else [])]
+    pieces = pieces.select(whole_row(pieces).alias("row"), *used)
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # one row a length, capacity at most
     if any(n < 1 or n > capacity for n in counts):
         raise ValueError(f"pieces have 1 to {capacity} tokens")
@@ -182,7 +185,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 64, place:
         ranked.join(rows, hit)
         .withColumn("sequence_id", F.col("_sequence") + F.floor(nth / F.col("_each")).cast("long"))
         .withColumn("offset", F.col("_offset") + (nth % F.col("_each")) * F.col("length"))
-        .select(*pieces.columns, "sequence_id", "offset")
+        .select(*(F.col(f"row.`{c}`") for c in columns), "sequence_id", "offset")
     )
 
 

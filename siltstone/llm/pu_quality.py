@@ -110,14 +110,15 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[np.ndarray, float
 def sample_features(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Step features of the sampled positives and unlabelled documents.
 
-    Held-out ids are in neither.  Those of lowest hash of doc_id are taken.
+    Held-out ids are in neither.  Those of lowest hash of doc_id are taken, by another hash for each.
     """
     spark = docs.sparkSession
     order = (F.xxhash64(F.col("doc_id"), F.lit(7)), F.col("doc_id"))
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).where(~held_out(F.col("doc_id")))
     positive = usable.where("y = 1").orderBy(*order).limit(SAMPLE).select("doc_id", F.lit(1).alias("y"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(~held_out(F.col("doc_id")))
-    web = ids.orderBy(*order).limit(2 * SAMPLE).join(positive.select("doc_id"), "doc_id", "left_anti").orderBy(*order).limit(SAMPLE)
+    # Known positives among them stay: the prior is that of all the text, at every size.
+    web = ids.orderBy(F.xxhash64(F.col("doc_id"), F.lit(11)), "doc_id").limit(SAMPLE)
     chosen = positive.unionByName(web.select("doc_id", F.lit(0).alias("y"))).collect()  # 2 x SAMPLE ids
     chosen = spark.createDataFrame(chosen, "doc_id long, y int")
 

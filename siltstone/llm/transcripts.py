@@ -10,7 +10,8 @@ conversation and position and cut in chunks; a chunk gives the best score from
 each state before it to each state at its end (a max-plus product of its steps),
 these are chained per conversation, and then each chunk is decoded between its
 fixed ends.  That is the exact path, and no task holds more than one chunk of
-rows and, per conversation, one small matrix for each chunk.
+rows, with all their lines (a row is never parted), and, per conversation, one small
+matrix for each chunk.
 
 Null text is one empty line.  A null conversation is one of its own; a null
 position sorts first.  Rows that repeat or tie in position follow each other by
@@ -88,9 +89,11 @@ def observed(line: Column) -> Column:
 
 
 def bare_text(line: Column) -> Column:
-    for pattern in MARKERS.values():
-        line = F.regexp_replace(line, pattern, "")
-    return line
+    """The line without the marker that was observed; what follows it stays, like a marker or not."""
+    found = line
+    for pattern in MARKERS.values():  # as in ``observed``, the last that fits
+        found = F.when(line.rlike(pattern), F.regexp_replace(line, pattern, "")).otherwise(found)
+    return found
 
 
 def product(codes: np.ndarray, first: bool, parts: tuple) -> np.ndarray:

@@ -34,7 +34,7 @@ def labels(spark):
 
 def clashing(df):
     """``df`` with columns named like those that operators make."""
-    for name in ("length", "slot", "block", "rank", "fp", "key", "token", "place", "n", "count", "_quality_x", "score", "held_out", "weight"):
+    for name in ("length", "slot", "block", "rank", "fp", "key", "token", "place", "n", "count", "_quality_x", "score", "held_out", "weight", "_id", "_doc", "_source", "_quality", "_bucket", "_rank", "_kept", "_gone", "_removed", "row", "doc", "version", "removed", "gone", "matched", "line", "first", "_digest", "_block", "_slot", "_measures", "sequence_id", "offset", "piece", "start"):
         df = df.withColumn(name, F.lit("clash"))
     return df
 
@@ -82,6 +82,34 @@ def test_stages(spark, docs, name):
         assert stage(spark, clashing(docs), "").columns == clashing(docs).columns
 
 
+def test_clashing_columns_keep_their_values(spark, docs):
+    for name in ("quality", "lines", "near_copies", "mixture"):
+        out = dict(corpus_pipeline.STAGES)[name](spark, clashing(docs), "")
+        made = [c for c in out.columns if c not in docs.columns]
+        assert made and out.where(" OR ".join(f"`{c}` <> 'clash'" for c in made)).count() == 0
+
+
+def test_texts_of_one_id_are_kept_apart(spark):
+    rows = [(0, "a b c d e f"), (1, "a b c d e f"), (1, "quite other words that stand nowhere else"), (None, "null one two three"), (None, "a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(str(r["text"]) for r in line_dedup.dedup_lines(docs).collect())
+    assert out == ["", "", "a b c d e f", "null one two three", "quite other words that stand nowhere else"]
+
+
+def test_short_copies_go(spark):
+    docs = spark.createDataFrame([(k, "Share on Facebook now\nown" + str(k)) for k in range(5)], "doc_id long, text string")
+    assert sum("Share" in r["text"] for r in line_dedup.dedup_lines(docs).collect()) == 1
+
+
+def test_lists_of_any_length_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_LIST", 5)
+    monkeypatch.setattr(line_dedup.matched_places, "__defaults__", (5,))
+    from tests.llm.test_operators import check_lines
+
+    by = {d: [f"common words of all {d % 9} {d % 7} {d % 5}", f"common words of all and {d}"] for d in range(60)}
+    check_lines(spark.createDataFrame([(d, "\n".join(x)) for d, x in by.items()], "doc_id long, text string"), by)
+
+
 def test_line_dedup_of_odd_rows(docs):
     found = {r["doc"]: r["removed"] for r in line_dedup.removed_lines(docs).collect()}
     assert found[1] == [] and found[2] == [] and set(found) == {1, 2, 3, 4, 5, 7, 8, 9, None}

@@ -1,5 +1,7 @@
 """Each operator against a plainer version of the same, an exact round trip, or held-out labels."""
 
+import hashlib
+import io
 import random
 import zlib
 
@@ -48,6 +50,29 @@ def test_other_images_and_damage():
             media.decode_image(bad)
 
 
+def test_damaged_headers_take_no_time_and_jobs_go_on(spark):
+    for bad in (b"P5" + b" " * 5000 + b"x", b"P5\n#" + b"#" * 5000, b"P6 1 1 999999999999\n", b"BM", b"", b"P5 1 1 255"):
+        with pytest.raises(ValueError):
+            media.decode_image(bad)
+    good = media.encode_image(media.payload_of("text")[1])
+    rows = media.read_media(spark.createDataFrame([(1, 4, good), (2, 4, b"P5 broken"), (3, 4, None)], "doc_id long, n_bytes long, media binary")).collect()
+    assert [r["status"] == "ok" for r in sorted(rows, key=lambda r: r["doc_id"])] == [True, False, False]
+
+
+def test_media_features_by_their_definition(spark):
+    text = "".join(chr(33 + k * k % 90) for k in range(1700))
+    (r,) = queries.media.read_media(media.store_media(spark.createDataFrame([(1, text)], "doc_id long, text string"))).collect()
+    payload = text.encode() + b"\xff" * (3 * 576 - 1700)
+    grey = np.frombuffer(payload, np.uint8).reshape(72, 24).astype(float)
+    small = grey.reshape(8, 9, 24).mean(axis=1)
+    fine = np.rint(np.repeat(small, 3, axis=1).reshape(8, 9, 8).mean(axis=2) * 256)
+    bits = "".join("1" if b > a else "0" for row in fine for a, b in zip(row, row[1:], strict=False))
+    assert r["feature"] == f"{int(bits, 2):016x}" and r["tail_crc32"] == zlib.crc32(payload[-32:])
+    assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["media_sha256"] == hashlib.sha256(media.encode_image(payload)).hexdigest()
+    tile = np.load(io.BytesIO(bytes(r["tile"])))
+    assert (tile == np.rint(grey.reshape(8, 9, 8, 3).mean(axis=(1, 3)))).all() and r["tile_sha256"] == hashlib.sha256(bytes(r["tile"])).hexdigest()
+
+
 # --- packing
 
 
@@ -367,6 +392,12 @@ def test_roles_are_recovered(spark):
     assert rows.where("rendered LIKE '<|%' AND turns_begun > 0").count() > 0
 
 
+def test_only_the_observed_marker_goes(spark):
+    turns = spark.createDataFrame([("c", 0, "User: A: the first option"), ("c", 1, "Assistant: Q: what now?")], "conv string, position long, text string")
+    rows = [r["rendered"] for r in transcripts.parse(turns).orderBy("position").collect()]
+    assert [x.split("\n", 1)[1] for x in rows] == ["A: the first option", "Q: what now?"]
+
+
 def test_sql_of_the_mixture_names_every_source():
     assert "'src0'" in oracles.mixture(queries.MIX_WEIGHTS)
 
