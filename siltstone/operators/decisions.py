@@ -16,18 +16,29 @@ def decision_samples(events: DataFrame, contract: DecisionContract, carry: tuple
     the last known value of each, and a bounded history.  Rows of a game lie in
     one task, sorted; only ``history`` of them are held.  ``carry`` names columns, as
     of provenance, to keep as they are.
+
+    Rows at one position know nothing of each other: what was known is of earlier
+    positions alone.  They follow each other by what they hold, not as they come, so that
+    every run gives the same.
     """
     game, position = contract.game, contract.position
-    order = Window.partitionBy(game).orderBy(position)
+    held = [c for c in dict.fromkeys((contract.action, *contract.safe, *contract.outcome, *carry)) if not isinstance(events.schema[c].dataType, T.MapType)]
+    events = events.withColumn("_tie", F.xxhash64(*held))
+    order = Window.partitionBy(game).orderBy(position, "_tie")
     past = order.rowsBetween(Window.unboundedPreceding, -1)
     recent = order.rowsBetween(-contract.history, -1)
+    earlier = lambda of: F.filter(of, lambda x: x["position"] < F.col(position))
+    # The last value before this position: the last of the rows before, of an earlier position than any twin's.
+    same = Window.partitionBy(game, position).orderBy("_tie").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     entry = F.struct(F.col(position).alias("position"), F.col(contract.action).alias("action"), *(F.col(c) for c in contract.safe))
     known = {f"_known_{c}": F.last(F.col(c), ignorenulls=True).over(past) for c in contract.safe}
-    seen = events.withColumns({"_history": F.collect_list(entry).over(recent), "_before": F.count("*").over(past), **known, "_next": F.lead(contract.action).over(order), "_twins": F.count("*").over(Window.partitionBy(game, position))})
+    seen = events.withColumns({"_history": F.collect_list(entry).over(recent), "_before": F.rank().over(Window.partitionBy(game).orderBy(position)).cast("long") - 1, **known, "_next": F.lead(contract.action).over(order), "_twins": F.count("*").over(Window.partitionBy(game, position))})
+    # The first row of a position has nothing but earlier positions before it.
+    seen = seen.withColumns({"_history": earlier(F.col("_history")), **{name: F.first(name).over(same) for name in known}})
     action = F.col(contract.action)
     decided = seen.where(F.coalesce(action.isin(*contract.decisions), F.lit(False)) | action.isNull())
     action_status = F.when(action.isNull(), "missing").when(F.col("_twins") > 1, "ambiguous").otherwise("observed")
-    complete = F.lit("unknown") if contract.unknown_fields else F.when(F.size("_history") < F.least(F.lit(contract.history), F.col("_before")), "partial").otherwise("complete_for_declared_view")
+    complete = F.lit("unknown") if contract.unknown_fields else F.when(F.size("_history") < F.least(F.lit(contract.history).cast("long"), F.col("_before")), "partial").otherwise("complete_for_declared_view")
     flags = F.sort_array(F.array_compact(F.array(
         F.when(F.col("_before") == 0, "no_prior_rows"),
         F.when(F.col(game).isNull(), "no_game"),

@@ -35,6 +35,8 @@ class Evidence:
     #: (source_archive_id or file name, license_status, evidence)
     licenses: dict[str, tuple[str, str]] = field(default_factory=dict)
     privacy_cleared: tuple[tuple[str, str], ...] = ()
+    #: Share of the events' keys that must have a game.
+    least_coverage: float = 0.0
 
 
 @dataclass
@@ -90,7 +92,7 @@ def normalized_units(spark: SparkSession, config: Config, archives: list[dict],
             continue
         unit = units.checkpoint_id(a["sha256"], a["raw_schema_fingerprint"], contract.digest(), STAGE_VERSION, config_digest(config))
         rows, _ = units.run_unit(spark, config.intermediate_root, "normalize", unit, lambda a=a, c=contract: typed_archive(spark, config, a["path"], c))
-        outcomes.append(rows.select("archive", "record_ordinal", "outcome", "reason"))
+        outcomes.append(rows.select("archive", "record_ordinal", "outcome", "reason", "errors"))
         if rows.where("outcome = 'fatal'").head(1):
             excluded.append((a["path"], "fatal source error"))
             continue
@@ -99,6 +101,13 @@ def normalized_units(spark: SparkSession, config: Config, archives: list[dict],
     return kept, reduce(DataFrame.unionByName, outcomes) if outcomes else None, excluded
 
 
+def changed_archives(spark: SparkSession, archives: list[dict]) -> DataFrame:
+    """(source_archive_id, problem) of archives whose bytes are no longer those that were listed before reading."""
+    listed = spark.createDataFrame([(a["path"], a["source_archive_id"], a["sha256"]) for a in archives], "path string, source_archive_id string, listed string")
+    now = registration.hash_archives(listed.select("path")).select("path", F.col("sha256").alias("now"))
+    return listed.join(now, "path", "left").where("NOT (listed <=> now)").select("source_archive_id", F.lit("changed while it was read").alias("problem"))
+
+
 def build(spark: SparkSession, config: Config, evidence: Evidence, execution: dict | None = None) -> Release:
     """The release under its semantic identity; blocked ones are written apart and never promoted."""
     catalog = take_inventory(spark, config)
@@ -116,7 +125,7 @@ def build(spark: SparkSession, config: Config, evidence: Evidence, execution: di
     locator = ["_game", contract.position]
     id_schema = samples.select(*locator).schema
     samples = samples.withColumn("sample_id", canonical.make_id("decision", contract.version, canonical.canonical_encode(id_schema, locator)))
-    samples = samples.withColumn("content_hash", F.sha2(canonical.encode_value(F.col("input"), samples.schema["input"].dataType, 6), 256)).withColumn("provenance", F.struct(F.array("source_archive_id").alias("source_archives"), "record_ordinal", F.lit(config.builder_version).alias("builder_version")))
+    samples = samples.withColumn("content_hash", F.sha2(F.concat(*(canonical.encode_value(F.col(c), samples.schema[c].dataType, 6) for c in ("input", "label"))), 256)).withColumn("provenance", F.struct(F.array("source_archive_id").alias("source_archives"), "record_ordinal", F.lit(config.builder_version).alias("builder_version")))
     collided = duplicates.collisions(samples, "sample_id", "content_hash")
     held = samples.join(collided.select("sample_id"), "sample_id", "left_semi")
     clean = samples.join(collided.select("sample_id"), "sample_id", "left_anti").dropDuplicates(["sample_id"])  # equal contents only
@@ -142,18 +151,26 @@ def build(spark: SparkSession, config: Config, evidence: Evidence, execution: di
     stage = counts.stage_counts(outcomes.where("outcome <> 'fatal'"), "normalize", "archive", "outcome")
     written = spark.read.parquet(os.path.join(top, "decision_imitation"))
     wanted = spark.createDataFrame([(view.count(),)], "accepted long").select(F.lit("decision").alias("stage"), F.lit("all").alias("unit"), F.col("accepted").alias("read"), "accepted", *(F.lit(0).cast("long").alias(o) for o in ("rejected", "quarantined", "skipped")))
+    used = [a for a in archives if a["path"] not in {p for p, _ in excluded}]
+    join_row = spark.createDataFrame([(join_report["cardinality"], join_report["matched_keys"], join_report["left_only_keys"])], "cardinality string, matched_keys long, left_only_keys long")
     found = gates.run_gates([
+        gates.input_integrity(changed_archives(spark, used)),
+        gates.filename(catalog),
+        gates.schema_fingerprint(catalog.where("source_kind IN ('replay', 'game')"), [c.raw_fingerprint for c in evidence.registry.contracts]),
+        gates.type_conversion(outcomes, ["archive", "record_ordinal"]),
+        gates.join_cardinality(join_row, list(evidence.key.allowed), evidence.least_coverage),
+        gates.duplicate_collision(samples, "sample_id", "content_hash", held),
         gates.csv_structure(outcomes.where("outcome = 'rejected'")),
         gates.identifier_uniqueness(written, "sample_id"),
         gates.split_isolation(written, "_game"),
         gates.future_leak(written, "_game", contract.position),
         gates.perspective(written, list(contract.safe)),
-        gates.row_counts(stage, spark.createDataFrame([(stage.agg(F.coalesce(F.sum("accepted"), F.lit(0))).first()[0],)], "rows long")),
+        gates.row_counts(stage, events.select(F.lit(1).alias("rows")).unionByName(games.select(F.lit(1).alias("rows"))).agg(F.sum("rows").alias("rows"))),
         gates.row_counts(wanted, artifacts),
         gates.parquet_readability(spark, files.shard_schema_problems(os.path.join(top, "decision_imitation"), view.schema)),
         gates.manifest(files.verify_manifest(artifacts, files.artifact_manifest(spark, top))),
         gates.provenance(written, "sample_id", catalog.select(F.col("source_archive_id").alias("path"))),
-        gates.privacy(inspection.privacy_holds(inspection.privacy_scan(written.select(F.col("label.observed_action").alias("observed_action")), ["observed_action"]), spark.createDataFrame([(c, p, "cleared") for c, p in evidence.privacy_cleared], "column string, pattern string, decision string"))),
+        gates.privacy(inspection.privacy_holds(inspection.privacy_scan_all(written), spark.createDataFrame([(c, p, "cleared") for c, p in evidence.privacy_cleared], "column string, pattern string, decision string"))),
     ])
     report = os.path.join(resolve_under(config.intermediate_root, "violations"), short)
     found.write.mode("overwrite").parquet(report)

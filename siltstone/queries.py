@@ -18,7 +18,7 @@ from siltstone.contracts import DecisionContract, FieldRule, InterpretationContr
 from siltstone.functions import canonical
 from siltstone.functions.names import recognise
 from siltstone.operators import counts, decisions, duplicates, joins, normalize, splits
-from siltstone.plans import digest, files
+from siltstone.plans import digest, files, gates
 from siltstone.sources import gzcsv, inspection, inventory, manifest, registration
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -475,6 +475,128 @@ def build_comparison(spark, d):
     return digest.compare_builds(events.where("event_type <> 'signup'"), events, ["event_id", "event_type"]).groupBy("side").agg(F.count("*").alias("rows"))
 
 
+# --- gates and rules over tables with findings of each kind
+
+BY_EVENT = SplitContract(contract_id="events-v1", group="event_id")
+SQL_BY_EVENT = f"SELECT user_id, {sql_split('event_id', BY_EVENT)} AS split FROM events"
+
+
+@query(f"SELECT user_id, min(split) AS a, max(split) AS b FROM ({SQL_BY_EVENT}) WHERE user_id IS NOT NULL GROUP BY user_id HAVING count(DISTINCT split) > 1")
+def split_violations(spark, d):
+    """Users whose events a split by event deals out to several parts."""
+    dealt = splits.assign_split(table(spark, d, "events"), BY_EVENT).where("user_id IS NOT NULL")
+    return splits.split_isolation(dealt, "user_id").select("user_id", "a", "b")
+
+
+@query("SELECT user_id, event_id // 3 AS pos, event_type AS observed_action, count(*) OVER (PARTITION BY user_id, event_id // 3) > 1 AS tied, (rank() OVER (PARTITION BY user_id ORDER BY event_id // 3) - 1)::BIGINT AS prior_rows FROM events QUALIFY event_type IN ('purchase', 'signup')")
+def decision_ties(spark, d):
+    """Decisions where three events share a position: tied ones are ambiguous and know earlier positions alone."""
+    events = table(spark, d, "events").withColumn("pos", F.floor(F.col("event_id") / 3).cast("long"))
+    contract = DecisionContract("ties-v1", "user_id", "pos", "event_type", ("purchase", "signup"), ("value",), history=3)
+    found = decisions.decision_samples(events, contract)
+    return found.select("user_id", "pos", F.col("label.observed_action").alias("observed_action"), (F.col("observed_action_status") == "ambiguous").alias("tied"), F.col("input.prior_rows").alias("prior_rows"))
+
+
+@query("SELECT user_id, event_id FROM events WHERE event_id % 5 = 0")
+def leaks_found(spark, d):
+    """Samples whose history was made to reach their own position, one in five."""
+    own = F.when(F.col("event_id") % 5 == 0, F.col("event_id")).otherwise(F.col("event_id") - 1)
+    samples = table(spark, d, "events").select("user_id", "event_id", F.struct(F.array(F.struct(own.alias("position"))).alias("history")).alias("input"))
+    return decisions.leaks(samples, "user_id", "event_id")
+
+
+@query("SELECT 'load' AS stage, event_type AS unit, (count(*) + 1)::BIGINT AS read, count(*)::BIGINT AS accepted, 0::BIGINT AS rejected, 0::BIGINT AS quarantined, 0::BIGINT AS skipped, 1::BIGINT AS unexplained FROM events WHERE event_type <> 'signup' GROUP BY event_type")
+def unexplained_counts(spark, d):
+    """A stage that says it read one row more than it accounts for, in all units but one."""
+    rows = table(spark, d, "events").withColumn("outcome", F.lit("accepted"))
+    stage = counts.stage_counts(rows, "load", "event_type", "outcome")
+    return counts.conserve(stage.withColumn("read", F.col("read") + (F.col("unit") != "signup").cast("long")))
+
+
+@query("""
+SELECT 'identifier_uniqueness' AS gate, 'release_blocking' AS disposition, count(*)::BIGINT AS violations FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'duplicate_collision', 'quarantined', count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_partkey) > 1 AND l_orderkey % 2 = 1)
+UNION ALL SELECT 'provenance', 'release_blocking', count(*) FROM orders WHERE o_custkey % 3 <> 0
+UNION ALL SELECT 'input_integrity', 'fatal_source', count(*) FROM supplier WHERE s_suppkey % 4 = 0
+UNION ALL SELECT 'filename', 'warning', count(*) FROM supplier
+UNION ALL SELECT 'schema_fingerprint', 'unsupported', count(*) FROM nation WHERE n_regionkey > 1
+UNION ALL SELECT 'csv_structure', 'rejected', count(*) FROM part WHERE p_partkey % 7 = 0
+UNION ALL SELECT 'type_conversion', 'rejected', count(*) FROM documents
+UNION ALL SELECT 'join_cardinality', 'release_blocking', 1
+UNION ALL SELECT 'row_counts', 'release_blocking', 1
+UNION ALL SELECT 'manifest', 'release_blocking', count(*) FROM region
+UNION ALL SELECT 'perspective', 'release_blocking', 1
+UNION ALL SELECT 'parquet_readability', 'release_blocking', 2
+UNION ALL SELECT 'future_leak', 'release_blocking', count(*) FROM events WHERE event_id % 5 = 0
+UNION ALL SELECT 'split_isolation', 'release_blocking', count(*) FROM (SELECT user_id FROM (""" + SQL_BY_EVENT + """) WHERE user_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT split) > 1)
+UNION ALL SELECT 'privacy', 'release_blocking', count(*) FROM (""" + sql_privacy("documents", "text") + """) WHERE hits > 0""")
+def gate_summary(spark, d):
+    """Every gate over a table with violations of its kind, counted by gate and disposition."""
+    lines, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
+    supplier, documents, events = table(spark, d, "supplier"), table(spark, d, "documents"), table(spark, d, "events")
+    archive = F.concat(F.lit("c"), (F.col("o_custkey") % 3).cast("string"))
+    held = lines.where("l_orderkey % 2 = 0").select("l_orderkey").distinct()
+    raw = F.create_map(F.lit("n_chars"), F.col("n_chars").cast("string"), F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source"))
+    own = F.when(F.col("event_id") % 5 == 0, F.col("event_id")).otherwise(F.col("event_id") - 1)
+    samples = events.select("user_id", "event_id", F.struct(F.array(F.struct(own.alias("position"))).alias("history")).alias("input"))
+    stage = counts.stage_counts(events.withColumn("outcome", F.lit("accepted")), "load", "event_type", "outcome")
+    unsafe = events.select(F.struct(F.col("value").alias("undeclared"), F.lit(1).alias("prior_rows")).alias("input"))
+    found = gates.run_gates([
+        gates.identifier_uniqueness(lines, "l_orderkey"),
+        gates.duplicate_collision(lines, "l_orderkey", "l_partkey", held),
+        gates.provenance(orders.select("o_orderkey", F.struct(F.array(archive).alias("source_archives")).alias("provenance")), "o_orderkey", spark.createDataFrame([("c0",)], "path string")),
+        gates.input_integrity(supplier.where("s_suppkey % 4 = 0").select(F.col("s_name").alias("source_archive_id"), F.lit("changed").alias("problem"))),
+        gates.filename(supplier.select(F.col("s_name").alias("path"), F.lit("unknown").alias("source_kind"), F.lit("unrecognised_name").alias("name_diagnostic"))),
+        gates.schema_fingerprint(table(spark, d, "nation").select(F.col("n_name").alias("path"), F.col("n_regionkey").cast("string").alias("raw_schema_fingerprint")), ["0", "1"]),
+        gates.csv_structure(table(spark, d, "part").where("p_partkey % 7 = 0").select(F.lit("parts").alias("archive"), F.col("p_partkey").alias("record_ordinal"), F.lit("field_count").alias("reason"))),
+        gates.type_conversion(normalize.to_typed(documents.select("doc_id", raw.alias("raw")), TYPED), ["doc_id"]),
+        gates.join_cardinality(joins.cardinality(orders.withColumnRenamed("o_custkey", "k"), lines.withColumnRenamed("l_suppkey", "k"), ["k"]), ["1:1"], 0.0),
+        gates.row_counts(stage, orders.agg((F.count("*") + events.count()).alias("rows"))),
+        gates.manifest(table(spark, d, "region").select(F.col("r_name").alias("path"), F.lit("missing").alias("problem"))),
+        gates.perspective(unsafe, ["value"]),
+        gates.parquet_readability(spark, [("a", "no footer"), ("b", "other columns")]),
+        gates.future_leak(samples, "user_id", "event_id"),
+        gates.split_isolation(splits.assign_split(events, BY_EVENT).where("user_id IS NOT NULL"), "user_id"),
+        gates.privacy(inspection.privacy_holds(inspection.privacy_scan(documents, ["text"]), spark.createDataFrame([], "column string, pattern string, decision string"))),
+    ])
+    return gates.dispositions(found)
+
+
+@query(" UNION ALL ".join(f"SELECT * FROM ({sql_privacy(t, c)})" for t, c in (("documents", "text"), ("documents", "lang"), ("documents", "source"))))
+def privacy_scan_fields(spark, d):
+    """Every string field of the documents, at any depth."""
+    return inspection.privacy_scan_all(table(spark, d, "documents"))
+
+
+@query("SELECT s_name AS source_archive_id, CASE s_suppkey % 3 WHEN 0 THEN 'verified' ELSE 'held' END AS state FROM supplier")
+def license_holds(spark, d):
+    """Suppliers as sources, of which one in three has a review: the others are held."""
+    rows = table(spark, d, "supplier")
+    known = rows.select(F.col("s_name").alias("source_archive_id"), F.lit("pending").alias("license_status"))
+    reviews = rows.where("s_suppkey % 3 = 0").select(F.col("s_name").alias("source_archive_id"), F.lit(1).alias("review_no"), F.lit("verified").alias("license_status"), F.lit("letter").alias("evidence"))
+    held = registration.license_holds(registration.license_states(known, reviews)).select("source_archive_id", F.lit("held").alias("state"))
+    return known.select("source_archive_id").join(held, "source_archive_id", "left").select("source_archive_id", F.coalesce("state", F.lit("verified")).alias("state"))
+
+
+@query("SELECT s_name AS id, CASE WHEN s_suppkey % 5 = 0 THEN 'removed' WHEN s_suppkey % 5 = 1 THEN 'changed' WHEN s_suppkey % 5 = 2 THEN 'new_unknown' ELSE 'supported' END AS drift FROM supplier")
+def inventory_drift(spark, d):
+    """Two inventories of the suppliers: of each five one is gone, one changed and one new."""
+    rows = table(spark, d, "supplier").select(F.col("s_name").alias("path"), F.col("s_suppkey").alias("k"), F.sha2("s_name", 256).alias("sha256"))
+    old = rows.where("k % 5 <> 2").select("path", "sha256")
+    new = rows.where("k % 5 <> 0").select("path", F.when(F.col("k") % 5 == 1, F.lit("other")).otherwise(F.col("sha256")).alias("sha256"), F.when(F.col("k") % 5 == 2, F.lit(None)).otherwise(F.lit("supported")).alias("state"))
+    return inventory.reconcile(old, new).select(F.col("path").alias("id"), "drift")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity::DOUBLE AS quantity, l_shipmode AS mode, 0::BIGINT AS n_flags, 'lines-v1' AS contract, 'lineitem' AS archive FROM (SELECT *, l_returnflag AS l_shipmode FROM lineitem)")
+def normalized_events(spark, d):
+    """Lines typed by a contract and put in the normalized groups."""
+    contract = InterpretationContract("lines-v1", 1, "raw:v1:lines", ("quantity", "flag"), (FieldRule("quantity", "quantity", "decimal", required=True, scale=2), FieldRule("mode", "flag")))
+    raw = F.create_map(F.lit("quantity"), F.col("l_quantity").cast("decimal(18,2)").cast("string"), F.lit("flag"), F.col("l_returnflag"))
+    typed = normalize.to_typed(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.lit("lineitem").alias("archive"), raw.alias("raw")), contract)
+    found = normalize.normalize(typed, contract, ["l_orderkey", "l_linenumber"], "1", "normalize")
+    return found.select("provenance.l_orderkey", "provenance.l_linenumber", F.col("normalized.quantity").cast("double").alias("quantity"), F.col("normalized.mode").alias("mode"), F.size("quality.flags").cast("long").alias("n_flags"), F.col("provenance.interpretation_contract_id").alias("contract"), F.element_at("provenance.source_archives", 1).alias("archive"))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that driver and executors can reach: on the cluster's shared one if it names one."""
     top = (spark.conf.get("spark.checkpoint.dir", None) or "").removeprefix("file://")

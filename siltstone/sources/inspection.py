@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.contracts import InterpretationContract
 from siltstone.functions.canonical import LEXICAL, tagged
@@ -189,6 +190,43 @@ def privacy_scan(rows: DataFrame, columns: list[str]) -> DataFrame:
     return one.select(F.inline(F.array(*(F.col(f"c{k}") for k in range(len(counts))))))
 
 
+def text_fields(schema: T.StructType) -> dict[str, Column]:
+    """Every string of a schema by its path: nested ones, and those in arrays joined to one text."""
+    found: dict[str, Column] = {}
+
+    def walk(kind: T.DataType, path: str, at: Column) -> None:
+        if isinstance(kind, T.StringType):
+            found[path] = at
+        elif isinstance(kind, T.StructType):
+            for f in kind.fields:
+                walk(f.dataType, f"{path}.{f.name}" if path else f.name, at[f.name])
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+            found[path] = F.array_join(at, " ")
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            for f in kind.elementType.fields:
+                inner = T.ArrayType(f.dataType)
+                walk(inner, f"{path}.{f.name}", at.getField(f.name))
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
+            walk(kind.elementType, path, F.flatten(at))
+        elif isinstance(kind, T.MapType):
+            walk(T.ArrayType(kind.keyType), f"{path}.keys", F.map_keys(at))
+            walk(T.ArrayType(kind.valueType), f"{path}.values", F.map_values(at))
+
+    for f in schema.fields:
+        walk(f.dataType, f.name, F.col(f"`{f.name}`"))
+    return found
+
+
+def privacy_scan_all(rows: DataFrame) -> DataFrame:
+    """``privacy_scan`` of every string field of ``rows``, in one pass."""
+    found = text_fields(rows.schema)
+    if not found:
+        return rows.sparkSession.createDataFrame([], "column string, pattern string, hits long")
+    flat = rows.select(*(c.alias(f"c{k}") for k, c in enumerate(found.values())))
+    names = F.create_map(*(F.lit(x) for k, name in enumerate(found) for x in (f"c{k}", name)))
+    return privacy_scan(flat, flat.columns).select(F.element_at(names, F.col("column")).alias("column"), "pattern", "hits")
+
+
 def privacy_holds(scan: DataFrame, reviews: DataFrame) -> DataFrame:
     """Hits without a review row (column, pattern, decision)."""
     return scan.where("hits > 0").join(reviews.where("decision = 'cleared'"), ["column", "pattern"], "left_anti")
