@@ -3,8 +3,9 @@
 import random
 
 import corpus_pipeline
-from siltstone.llm import line_dedup, queries, shingle_sets
-from tests.llm.test_operators import SF_MORE
+from siltstone.llm import line_dedup, oracles, queries, shingle_sets
+from tests.helpers import SF, connection
+from tests.llm.test_operators import SF_MORE, layout
 
 
 def plain_kept(rows):
@@ -90,3 +91,31 @@ def test_short_lines_equal_brute_force(spark):
     assert {r["doc"]: r["removed"] for r in line_dedup.removed_lines(docs).collect()} == want
     kept = {d: "\n".join(line for k, line in enumerate(x) if k not in want[d]) for d, x in by.items()}
     assert {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, "").collect()} == kept
+
+
+def test_run_equals_a_plain_chain(spark):
+    """Rules by SQL, lines and near-copies by brute force, tokens by the JSON tokenizer; leaving a stage out changes the rows."""
+    from tokenizers import Tokenizer
+
+    con = connection(SF)
+    good = {r[0] for r in con.execute(f"SELECT doc_id FROM ({oracles.quality()}) WHERE kept").fetchall()}
+    texts = {d: t for d, t in con.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall()}
+    earlier, kept = [], {}
+    for d in sorted(good):
+        lines = []
+        for line in texts[d].split("\n"):
+            w = set(line.encode().split())
+            if not w or not any(len(w & x) * 9 >= 4 * (len(w) + len(x)) for x in earlier):
+                lines.append(line)
+            if w:
+                earlier.append(w)
+        kept[d] = "\n".join(lines)
+    want = plain_kept(list(kept.items()))
+    assert want < good < set(texts) and any(kept[d] != texts[d] for d in want)
+    rows = corpus_pipeline.run(spark, SF).collect()
+    tokenizer = Tokenizer.from_file(queries.tokenizer_paths()[1])
+    lengths = {}
+    for r in rows:
+        lengths[r["doc_id"]] = lengths.get(r["doc_id"], 0) + r["length"]
+    assert lengths == {d: len(tokenizer.encode(kept[d], add_special_tokens=False).ids) + 1 for d in want}
+    layout(rows, 2048)
