@@ -1,7 +1,11 @@
 """Toxicity by compression distance under two zstandard dictionaries.
 
-One dictionary is trained on windows of ordinary text, one on those windows of
-toxic text that tell it from ordinary text.  Both end in a part of one size,
+One dictionary is trained on windows of ordinary text, one on windows of toxic
+text.  Most of a toxic document is ordinary, so its windows are first told apart by
+compression itself (``toxic_windows``): of two halves of the toxic documents, each
+is judged by a dictionary trained on the other, and those windows stay that it
+shortens far more often than windows of ordinary text; each is then narrowed to that word
+without which it loses most.  Both dictionaries end in a part of one size,
 of toxic or of more ordinary content, and share what lies before, so that common
 words cost the same under both; a window's gain is by how many bytes it gets shorter.  A document's score follows
 from its windows' gains by a calibration that is fitted on labelled documents
@@ -17,7 +21,6 @@ tell apart, and all score 0.  Extra columns are left out.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,15 +34,19 @@ THRESHOLD = 0.7
 #: Labelled documents fitted on: so many of each class at most, of at most so many characters each.
 SAMPLE = 2500
 SAMPLE_CHARS = 20_000
-#: Words in a window.
-WINDOW = 8
-ORDINARY_BYTES, TOXIC_BYTES = 8_192, 4_096
-#: A beginning tells if it is in this share of the toxic documents, and so many times as common there.
-LEAST_SHARE, RATIO = 0.015, 12
+#: Words in a window, and in those that the toxic dictionary is chosen from.
+WINDOW, SPAN = 5, 3
+ORDINARY_BYTES, TOXIC_BYTES = 8_192, 2_048
+#: Sizes of the dictionaries by which windows are chosen, and of ordinary windows held against them.
+BASE_BYTES, CHOICE_BYTES, CHOICE_WINDOWS = 65_536, 16_384, 60_000
+#: Windows are candidates if they cost more, for their length, than this share of ordinary ones.
+COSTLY = 0.8
+#: A gain tells if it is so many times as frequent in toxic windows.  Rounds of choosing.
+ENRICHED, ROUNDS = 8, 5
+#: Bytes that a chosen word gains at least under the other half's dictionary.
+LEAST_GAIN = 3
 #: A clean document called toxic costs as much as so many toxic ones missed, in shares of either.
 CLEAN_WEIGHT = 3
-#: Beginnings of words of these lengths are candidates for what tells toxic text.
-PIECES = range(4, 9)
 FEATURES = 3
 
 
@@ -53,6 +60,8 @@ PARTED = bytes(x if x > 127 or chr(x).isalnum() else 32 for x in range(256))
 #: Stands before each window and at the start of each dictionary, so that every
 #: window can be shortened: a block that cannot is stored as it is, and its length tells nothing.
 LEAD = b"\n" * 64
+#: Stands after each window: matches are not looked for in a block's last bytes.
+TAIL = b"\n" * 12
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -64,12 +73,12 @@ def windows(text: str | None) -> list[bytes]:
     return [b" " + b" ".join(words[k : k + WINDOW]) + b" " for k in range(0, len(words), WINDOW)]
 
 
-def trained(size: int, samples: list[bytes]) -> bytes:
-    """A dictionary's bytes; of few different samples, those themselves."""
+def trained(size: int, samples: list[bytes], segment: int = 32) -> bytes:
+    """A dictionary's bytes, trained in segments of so many; of few different samples, those themselves."""
     distinct = b"".join(dict.fromkeys(samples))
-    if len(distinct) > size and len(samples) > 200:
+    if len(distinct) > segment and len(samples) > 200:
         try:
-            return zstandard.train_dictionary(size, samples, k=32, d=6).as_bytes()
+            return zstandard.train_dictionary(size, samples, k=segment, d=6).as_bytes()[-size:]
         except zstandard.ZstdError:
             pass
     return distinct[-size:]
@@ -88,7 +97,7 @@ class Model:
         if not hasattr(self, "_tools"):
             self._tools = [compressor(self.ordinary), compressor(self.toxic)]
         plain, toxic = self._tools
-        return np.array([len(plain.compress(LEAD + x)) - len(toxic.compress(LEAD + x)) for x in parts], np.float64)
+        return np.array([len(plain.compress(LEAD + x + TAIL)) - len(toxic.compress(LEAD + x + TAIL)) for x in parts], np.float64)
 
     def features(self, text: str | None) -> np.ndarray:
         gains = np.sort(self.gains(windows(text)))[::-1]
@@ -111,34 +120,84 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=kept, compression_params=how)
 
 
-def telling_words(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """Words of toxic text with a beginning that is far more common there.
+def costs(content: bytes, parts: list[bytes]) -> np.ndarray:
+    tool = compressor(content)
+    return np.array([len(tool.compress(LEAD + x + TAIL)) for x in parts], np.float64)
 
-    A beginning counts once for each different word before it, so that a copied
-    text, whose words are all as frequent as its copies, tells nothing.
+
+def paired(plain: bytes, marked: bytes) -> Model:
+    """Two dictionaries of one size: ``marked``, or as much ordinary content, after ``plain``.
+
+    The same content lies equally far from a window under both.
     """
+    return Model(plain + plain[len(LEAD) : len(LEAD) + len(marked)], plain + marked)
+
+
+def enriched(found: np.ndarray, ordinary: np.ndarray) -> float:
+    """The least gain that is ``ENRICHED`` times as frequent in ``found`` as in ``ordinary``, else the most telling one."""
+    ratio = {c: np.mean(found >= c) / ((np.sum(ordinary >= c) + 1) / (len(ordinary) + 1)) for c in range(1, 12)}
+    return next((c for c, r in ratio.items() if r >= ENRICHED), max(ratio, key=ratio.get))
 
-    def begun(texts: list[str]) -> Counter:
-        seen: set[tuple[bytes, bytes]] = set()
-        for text in texts:
-            words = [b"", *words_of(text)]
-            seen.update(zip(words, words[1:], strict=False))
-        found: dict[bytes, set[bytes]] = {}
-        for before, w in seen:
-            for n in PIECES:
-                if len(w) >= n:
-                    found.setdefault(w[:n], set()).add(before)
-        return Counter({p: len(x) for p, x in found.items()})
 
-    of_toxic, of_ordinary = begun(toxic), begun(ordinary)
-    least = max(5, LEAST_SHARE * len(toxic))
-    telling = {p for p, n in of_toxic.items() if n >= least and n * len(ordinary) > RATIO * (of_ordinary[p] + 0.25) * len(toxic)}
+def mixed_order(parts: list[bytes]) -> list[bytes]:
+    """``parts`` in an order that does not depend on their contents' order: training takes segments from each stretch."""
+    parts = sorted(parts)
+    return [parts[k] for k in sorted(range(len(parts)), key=lambda k: zlib.crc32(str(k).encode()))]
 
-    def tells(w: bytes) -> bool:
-        first = next((n for n in PIECES if w[:n] in telling), None)
-        return first is not None and not any(of_ordinary[w[:n]] for n in PIECES if first < n <= len(w))
 
-    return [w for text in toxic for w in words_of(text) if tells(w)]
+def toxic_windows(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """The windows of toxic text that tell, narrowed to one word each, by compressed lengths alone.
+
+    Each half of the documents is judged by what is trained on the other.  Windows
+    that stand in both halves or in ordinary text are left out, so that copied texts do not vouch for themselves.
+    """
+
+    def spans(texts: list[str]) -> set[bytes]:
+        found = (words_of(t) for t in texts)
+        return {b" " + b" ".join(w[k : k + SPAN]) + b" " for w in found for k in range(max(len(w) - SPAN + 1, min(len(w), 1)))}
+
+    plain = LEAD + trained(BASE_BYTES, [w for t in ordinary for w in windows(t)])
+    halves = [spans([t for t in toxic if zlib.crc32(t.encode("utf-8", "replace")) // 3 % 2 == h]) for h in (0, 1)]
+    known = spans(ordinary)
+    halves = [sorted(x - halves[1 - h] - known) for h, x in enumerate(halves)]
+    against = sorted(known)
+    against = against[:: max(1, len(against) // CHOICE_WINDOWS)]
+    if not against or not all(halves):
+        return [w for t in toxic for w in windows(t)]
+
+    # what ordinary content explains well is no candidate
+    of_length = lambda parts: np.array([[len(x), 1.0] for x in parts])
+    cost = costs(plain, against)
+    line = np.linalg.lstsq(of_length(against), cost, rcond=None)[0]
+    excess = lambda parts, cost: cost - of_length(parts) @ line
+    least = np.quantile(excess(against, cost), COSTLY)
+    costly = lambda parts: [w for w, x in zip(parts, excess(parts, costs(plain, parts)), strict=True) if x >= least]
+    against, halves = costly(against), [costly(x) for x in halves]
+
+    def judge(other: list[bytes], size: int, segment: int) -> Model:
+        return paired(plain, trained(size, mixed_order(other), segment))
+
+    chosen = halves
+    for _ in range(ROUNDS):
+        after = []
+        for h in (0, 1):
+            model = judge(chosen[1 - h], CHOICE_BYTES, 16)
+            gains = model.gains(halves[h])
+            least = enriched(gains, model.gains(against)) if len(gains) else 0
+            after.append([w for w, g in zip(halves[h], gains, strict=True) if g >= least])
+        chosen = after
+
+    narrowed = []
+    for h in (0, 1):
+        model = judge(chosen[1 - h], CHOICE_BYTES, 16)
+        words = [w.split() for w in chosen[h]]
+        left = iter(model.gains([b" " + b" ".join(w[:k] + w[k + 1 :]) + b" " for w in words for k in range(len(w))]))
+        narrowed.append([b" " + w[int(np.argmin([next(left) for _ in w]))] + b" " for w in words])
+    kept = []
+    for h in (0, 1):
+        gains = judge(narrowed[1 - h], TOXIC_BYTES, 16).gains(narrowed[h])
+        kept += [w for w, g in zip(narrowed[h], gains, strict=True) if g >= LEAST_GAIN]
+    return kept or [w for t in toxic for w in windows(t)]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-3) -> np.ndarray:
@@ -162,12 +221,8 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     ordinary = [t for t, l, k in zip(texts, labels, part, strict=True) if l == 0 and k]
     if not toxic or not ordinary:
         return Model(b"", b"")
-    telling = telling_words(toxic, ordinary)
     plain = LEAD + trained(ORDINARY_BYTES, [w for t in ordinary for w in windows(t)])
-    marked = trained(TOXIC_BYTES, [b" " + w + b" " for w in telling])
-    # The same content lies equally far from a window under both.
-    model = Model(plain, plain + marked)
-    model.ordinary = plain + plain[len(LEAD) : len(LEAD) + len(marked)]
+    model = paired(plain, trained(TOXIC_BYTES, mixed_order(toxic_windows(toxic, ordinary)), 64))
     rest = np.flatnonzero(part == 0)
     if len(set(y[rest])) < 2:
         rest = np.arange(len(y))
