@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,7 +45,13 @@ def quarantine(df: DataFrame, id_column: str, content: str) -> tuple[DataFrame,
 
 
 def collision_examples(df: DataFrame, id_column: str, content: str, locator: str, k: int = 3) -> DataFrame:
-    """For each collision its first ``k`` locators."""
+    """For each collision its rows and its first ``k`` different locators, in order.
+
+    Ranks over ``k`` are dropped before the shuffle, so that an id's locators are never gathered.
+    """
     _, bad = quarantine(df, id_column, content)
-    least = F.slice(F.sort_array(F.collect_set(locator)), 1, k)
-    return bad.groupBy(id_column).agg(F.count("*").alias("rows"), least.alias("examples"))
+    rank = F.row_number().over(Window.partitionBy(id_column).orderBy(locator))
+    first = bad.where(F.col(locator).isNotNull()).select(id_column, locator).distinct().withColumn("_rank", rank).where(F.col("_rank") <= k)
+    first = first.groupBy(id_column).agg(F.sort_array(F.collect_list(locator)).alias("examples"))  # k each
+    none = F.array().cast(first.schema["examples"].dataType)
+    return collisions(df, id_column, content).select(id_column, "rows").join(first, id_column, "left").select(id_column, "rows", F.coalesce("examples", none).alias("examples"))
