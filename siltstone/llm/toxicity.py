@@ -44,7 +44,7 @@ COSTLY = 0.8
 #: A gain tells if it is so many times as frequent in toxic windows.  Rounds of choosing.
 ENRICHED, ROUNDS = 8, 5
 #: Bytes that a chosen word gains at least under the other half's dictionary.
-LEAST_GAIN = 3
+LEAST_GAIN = 2
 #: A clean document called toxic costs as much as so many toxic ones missed, in shares of either.
 CLEAN_WEIGHT = 3
 FEATURES = 3
