@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from siltstone.llm import filter_audit as filter_audit_module
 from siltstone.llm import mixing, quality_rules
 
 LIST_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -142,3 +143,39 @@ WITH p AS (
 SELECT page_id, payload_bytes, {digits} AS payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id > first THEN first END AS refers_to, urlkey, timestamp, capture_place, history_place
 FROM f"""
+
+
+def filter_audit() -> str:
+    a = filter_audit_module
+    words = "regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, {words} AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM d
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, [len(w) < {a.LEAST_WORDS}, 100 * len(list_distinct(w)) < {a.LEAST_DISTINCT} * len(w), 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > {a.MOST_CAPITALS} * length(t),
+    regexp_matches(t, '[#$%&*|]'), coalesce(doc_id, {a.LAST}) > coalesce(least, {a.LAST})] AS fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM w LEFT JOIN l USING (doc_id)
+), c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY ALL
+), f AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), o AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), s AS (
+  SELECT o, unnest(range(1, 6))::INT AS step FROM o
+), x AS (
+  SELECT part, array_to_string(o, '') AS filter_order, step, o[step] AS f, n, good, toxic,
+    len(list_filter(o[:step - 1], lambda y: fails[ascii(y) - 64])) > 0 AS earlier, fails[ascii(o[step]) - 64] AS own, len(list_filter(fails, lambda y: y)) AS k
+  FROM c, s
+), r AS (
+  SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT earlier AND NOT own), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT earlier AND own), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (earlier AND own), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (own AND k = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (NOT earlier AND own), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (NOT earlier AND own), 0)::BIGINT AS toxic_lost
+  FROM x GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM r"""

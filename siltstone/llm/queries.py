@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import line_dedup, media, mixing, oracles, packing, pu_quality, quality_rules, simhash, toxicity, transcripts, warc
+from siltstone.llm import filter_audit, line_dedup, media, mixing, oracles, packing, pu_quality, quality_rules, simhash, toxicity, transcripts, warc
 from siltstone.llm.common import table
 
 #: Names of the tokenizer's files, to be found in the folder of public tokenizers.
@@ -74,6 +74,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "capture_place", "history_place")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_media": op1_media,
@@ -86,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_transcripts": op8_transcripts,
         "op9_mixing": op9_mixing,
         "op10_warc": op10_warc,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
@@ -95,4 +100,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": oracles.line_dedup(),
         "op9_mixing": oracles.mixture(MIX_WEIGHTS),
         "op10_warc": oracles.warc_captures(),
+        "op11_filter_audit": oracles.filter_audit(),
     }
