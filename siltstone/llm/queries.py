@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import filter_audit, line_dedup, media, mixing, oracles, packing, periodic_runs, pu_quality, quality_rules, simhash, toxicity, transcripts, warc
+from siltstone.llm import filter_audit, line_dedup, media, mixing, oracles, packing, page_template, periodic_runs, pu_quality, quality_rules, simhash, toxicity, transcripts, warc
 from siltstone.llm.common import table
 
 #: Names of the tokenizer's files, to be found in the folder of public tokenizers.
@@ -78,6 +78,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_page_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_template.extract(table(spark, sf_dir, "pages"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.detected(table(spark, sf_dir, "documents"), periodic_runs.planted))
 
@@ -95,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_mixing": op9_mixing,
         "op10_warc": op10_warc,
         "op11_filter_audit": op11_filter_audit,
+        "op12_page_template": op12_page_template,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
