@@ -1,6 +1,6 @@
 """Main text of pages by deducing the template that pages of a host share.
 
-A page is a sequence of tokens: tags and words, each in the role that its place in the
+A page is a sequence of tokens: tags and the texts between them, each in the role that its place in the
 element tree gives it.  Roles that occur equally often on each page of a host have
 one occurrence vector and form an equivalence class; a vector is known by sums
 of hashes of (page, count), which add up over pages and hosts however they are dealt out.
@@ -10,8 +10,8 @@ Classes that stand on most pages are the template's parts, once they are
 * nested: each repetition lies within one gap of a wider class, always the same.
 
 What lies between two tokens of the nested classes is a slot.  A host's slots are
-told apart by all its pages: how many words they hold, how many of them in links, and
-in which element.  The slot of most words outside menus, adverts, forms and the like
+told apart by all its pages: how much text they hold, how much of it in links, and
+in which element.  The slot of most text outside menus, adverts, forms and the like
 is the main one; the element around it that stands once on each page holds the article,
 and all its slots make up the text.  A block that nearly all pages repeat as part of the
 template is none of a page's own, unless most of the article is such: then all pages carry one article.
@@ -37,6 +37,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ LEAST_PAGES = 20
 COMMON, REPEATED = 0.5, 0.9
 #: Classes may be out of order, or not nested, on this share of pages.
 SLACK = 0.05
-#: Slots of a larger share of words in links are menus.
+#: Slots of a larger share of text in links are menus.
 LINKED = 0.5
 #: Templates of all hosts are broadcast up to so many bytes.
 BROADCAST_BYTES = 64 << 20
@@ -120,6 +121,11 @@ def role_of(token: str, path: int) -> int:
     return xxhash.xxh64_intdigest(token.encode("utf-8", "replace"), seed=path)
 
 
+@lru_cache(100_000)
+def tag_role(token: str, path: int) -> int:
+    return role_of(token, path)
+
+
 #: Events of a page: (role, break, None) for tags, where break is "" inline, " " within a block, "\n" between
 #: blocks; (None, text, element, in a link) for text.
 Event = tuple
@@ -128,14 +134,7 @@ Event = tuple
 def events(page: str) -> list[Event]:
     """A page's tags and texts with the elements they stand in."""
     root = Element("", "", 0, 0, False, False, ())
-    stack, links, out = [root], 0, []
-    known: dict[tuple[str, int], int] = {}
-
-    def role(token: str, path: int) -> int:
-        found = known.get((token, path))
-        if found is None:
-            found = known[token, path] = role_of(token, path)
-        return found
+    stack, links, out, role = [root], 0, [], tag_role
 
     def close(k: int) -> None:
         while len(stack) > k:
@@ -144,8 +143,10 @@ def events(page: str) -> list[Event]:
 
     for k, piece in enumerate(TAG.split(page)):
         if not k % 2:
-            if piece:
+            if piece and not piece.isspace():
                 out.append((None, piece, stack[-1], links > 0))
+            elif piece:
+                out.append((0, " ", None))
             continue
         named = NAME.match(piece)
         if named is None:
@@ -187,30 +188,21 @@ def events(page: str) -> list[Event]:
     return out  # elements that the page leaves open have no end in it
 
 
-def words_of(text: str) -> list[str]:
-    return (entities.unescape(text) if "&" in text else text).split()
-
-
-def occurrences(page: str) -> dict[int, tuple[int, int, bool]]:
+def occurrences(page: str) -> dict[int, tuple[int, int, int]]:
     """Each role's count, first place, and whether it is a tag."""
-    counts, first, place = Counter(), {}, 0
-    texts: dict[int, list[tuple[int, list[str]]]] = {}
-    for event in events(page):
+    found: dict[int, list[int]] = {}
+    for place, event in enumerate(events(page)):
         if event[0] is not None:
-            counts[event[0]] += 1
-            first.setdefault(event[0], place)
-            place += 1
-        elif words := words_of(event[1]):
-            texts.setdefault(event[2].path, []).append((place, words))
-            place += len(words)
-    found = {r: (n, first[r], True) for r, n in counts.items()}
-    for path, pieces in texts.items():
-        n, at = Counter(), {}
-        for place, words in reversed(pieces):
-            n.update(words)
-            at.update(zip(reversed(words), range(place + len(words) - 1, place - 1, -1), strict=True))
-        for word, count in n.items():
-            found[role_of(word, path)] = (count, at[word], False)
+            role, tag = event[0], 1
+            if not role:
+                continue  # white space alone
+        else:
+            role, tag = role_of(event[1].strip(), event[2].path), 0
+        known = found.get(role)
+        if known is None:
+            found[role] = [1, place, tag]
+        else:
+            known[0] += 1
     return found
 
 
@@ -242,7 +234,7 @@ def summed(keys: list[str], columns: list[np.ndarray], kept: int) -> tuple[list[
 
 
 def role_counts(pages: DataFrame) -> DataFrame:
-    """(key, role, tag, pages, total, a, b, place), cut; role 0 counts the pages.
+    """(key, role, tag, pages, total, a, b, place).
 
     ``a`` and ``b`` are sums of 31 bits each for a page and its count: equal vectors have equal ones.
     """
@@ -254,9 +246,8 @@ def role_counts(pages: DataFrame) -> DataFrame:
                 keys, parts = [], []
                 for key, page_id, page in zip(*(part.column(c).to_pylist() for c in ("key", "page_id", "html")), strict=True):
                     found = occurrences(page)
-                    found[0] = (1, 0, False)
                     n = len(found)
-                    count, place, tag = (np.array(c, np.int64) for c in zip(*found.values(), strict=True))
+                    count, place, tag = np.array(list(found.values()), np.int64).reshape(-1, 3).T
                     seed = np.uint64(xxhash.xxh64_intdigest(page.encode("utf-8", "replace"), seed=(page_id or 0) & (1 << 63) - 1))
                     h = (count.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ seed
                     for shift, factor in ((33, 0xFF51AFD7ED558CCD), (29, 0xC4CEB9FE1A85EC53), (32, 1)):
@@ -269,13 +260,13 @@ def role_counts(pages: DataFrame) -> DataFrame:
 
     names = ["key", "role", "tag", "pages", "total", "a", "b", "place"]
     rows = pages.select("key", "page_id", "html").mapInArrow(counted, "key string, " + ", ".join(f"{c} long" for c in names[1:]))
-    return cut(rows.groupBy("key", "role", "tag").agg(*(F.sum(c).alias(c) for c in names[3:])), "roles")
+    return rows.groupBy("key", "role", "tag").agg(*(F.sum(c).alias(c) for c in names[3:]))
 
 
-def classes(roles: DataFrame, least: int) -> DataFrame:
-    """(key, classes): equivalence classes of roles on most pages, widest first, in JSON, cut."""
-    n = cut(roles.where("role = 0").groupBy("key").agg(F.sum("pages").alias("n")).where(F.col("n") >= least), "page-counts")
-    common = roles.where("role <> 0").join(maybe_broadcast(n), "key").where(F.col("pages") >= F.col("n") * COMMON)
+def classes(pages: DataFrame, least: int) -> DataFrame:
+    """(key, n, classes): equivalence classes of roles on most pages, widest first, in JSON, cut."""
+    n = cut(pages.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= least), "page-counts")
+    common = role_counts(pages).join(maybe_broadcast(n), "key").where(F.col("pages") >= F.col("n") * COMMON)
     found = common.groupBy("key", "n", "pages", "total", "a", "b").agg(F.sort_array(F.collect_list(F.struct("place", "role"))).alias("r"), F.max("tag").alias("tag"))
     found = found.where((F.size("r") > 1) & (F.col("tag") > 0))
     listed = F.sort_array(F.collect_list(F.struct((-F.col("pages")).alias("p"), F.col("total").alias("t"), F.col("r.role").alias("r"))))
@@ -296,7 +287,6 @@ class Template:
     totals: list[int] = field(default_factory=list)
     slots: set[tuple[int, int]] = field(default_factory=set)
     container: int = 0
-    words: dict[int, dict[str, tuple[int, int] | None]] = field(default_factory=dict)
 
     @classmethod
     def read(cls, pages: int | None, found: str | None, dropped: str | None = None, measured: str | None = None) -> Template:
@@ -352,24 +342,12 @@ class Template:
         at = self.roles.get(role)
         return at is not None and self.totals[at[0]] == self.on_pages[at[0]]
 
-    def word(self, word: str, path: int) -> tuple[int, int] | None:
-        known = self.words.setdefault(path, {})
-        if word in known:
-            return known[word]
-        if len(known) > 50_000 or len(self.words) > 5_000:
-            self.words.clear()
-            known = self.words.setdefault(path, {})
-        known[word] = self.roles.get(role_of(word, path))
-        return known[word]
-
-    def tokens(self, page: str) -> Iterator[tuple[Event, list[tuple[int, int]]]]:
-        """A page's events with the places in the template of the tokens they hold."""
-        for event in events(page):
-            if event[0] is not None:
-                at = self.roles.get(event[0])
-                yield event, [at] if at else []
-            else:
-                yield event, [at for w in words_of(event[1]) if (at := self.word(w, event[2].path))] if self.roles else []
+    def tokens(self, page: str) -> Iterator[tuple[Event, tuple[int, int] | None]]:
+        """A page's events, each with its place in the template if it has one."""
+        if not self.roles:
+            return ((event, None) for event in events(page))
+        get = self.roles.get
+        return ((event, get(event[0] if event[0] is not None else role_of(event[1].strip(), event[2].path))) for event in events(page))
 
 
 class Slots:
@@ -402,10 +380,11 @@ def out_of_order(template: Template, page: str) -> Counter:
     """Roles whose occurrences do not follow the order of their class on a page."""
     seen: dict[int, list[tuple[int, int]]] = {}
     turn: Counter = Counter()
-    for _, places in template.tokens(page):
-        for kind, at in places:
-            seen.setdefault(kind, []).append((turn[kind, at] * template.sizes[kind] + at, at))
-            turn[kind, at] += 1
+    for _, place in template.tokens(page):
+        if place is not None:
+            kind, at = place
+            seen.setdefault(kind, []).append((turn[place] * template.sizes[kind] + at, at))
+            turn[place] += 1
     found: Counter = Counter()
     for kind, marks in seen.items():
         keys = [k for k, _ in marks]
@@ -438,15 +417,14 @@ def measures(template: Template, page: str) -> Counter:
     """What a page adds to the template's measures: (what, a, b, c, d, value)."""
     found: Counter = Counter()
     slots = Slots(template)
-    for event, places in template.tokens(page):
+    for event, place in template.tokens(page):
         if event[0] is None:
-            n = len(words_of(event[1]))
-            if n:
-                kind, at = slots.here()
-                where = (1, kind, at, container_of(template, event[2]), int(event[2].boilerplate))
-                found[where, "n"] += n
-                found[where, "m"] += n * event[3]
-        for place in places:
+            kind, at = slots.here()
+            where, n = (1, kind, at, container_of(template, event[2]), int(event[2].boilerplate)), len(event[1])
+            found[where, "n"] += n
+            if event[3]:
+                found[where, "m"] += n
+        if place is not None:
             slots.take(*place)
     for (kind, *parent), n in slots.begun.items():
         found[(0, kind, *parent, 0), "n"] += n
@@ -473,8 +451,8 @@ def main_text(template: Template, page: str) -> str:
         other.clear()
         own, linked = False, [0, 0, False]
 
-    seen, words, common = False, 0, 0
-    for event, places in template.tokens(page):
+    seen, whole, common = False, 0, 0
+    for event, place in template.tokens(page):
         if event[0] is not None:
             if event[1] == "\n":
                 flush()
@@ -486,20 +464,20 @@ def main_text(template: Template, page: str) -> str:
             inside = bool(template.container) and any(e.path == template.container for e in event[2].chain)
             seen |= inside
             if inside and slots.here() in template.slots:
+                repeated = place is not None and place[0] in fixed
                 buffer.append(text)
-                n, m = len(text.split()), sum(k in fixed for k, _ in places)
-                own |= n > m
-                words, common = words + n, common + m
+                own |= not repeated
+                whole, common = whole + len(text), common + len(text) * repeated
             other.append(text)
-            linked[0] += len(text.split())
-            linked[1] += len(text.split()) * event[3]
+            linked[0] += len(text)
+            linked[1] += len(text) * event[3]
             linked[2] |= event[2].article
-        for place in places:
+        if place is not None:
             slots.take(*place)
     flush()
     if seen:
         # An article that is mostly the template is one that all pages carry.
-        kept = [t for t, o in blocks if o or 2 * common > words]
+        kept = [t for t, o in blocks if o or 2 * common > whole]
     else:
         marked = any(a for *_, a in spare)
         kept = [t for t, n, m, a in spare if (a if marked else m <= LINKED * n)]
@@ -579,7 +557,7 @@ def measured(pages: DataFrame, templates: DataFrame) -> DataFrame:
 
 def deduced(pages: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
     """(key, n, classes, dropped, measured): the template of each host of keyed ``pages``."""
-    return measured(pages, unordered(pages, classes(role_counts(pages), least)))
+    return measured(pages, unordered(pages, classes(pages, least)))
 
 
 def extract(pages: DataFrame, least: int = LEAST_PAGES) -> DataFrame:
