@@ -86,6 +86,30 @@ class IdContract(Contract):
     columns: tuple[str, ...]
 
 
+@dataclass(frozen=True)
+class IdentityContract(Contract):
+    """By what a game or an event is known.
+
+    ``native`` is the source's own identifier.  It identifies across archives only in the
+    ``verified`` values of ``scope``, in which a review has found it unique; elsewhere, and
+    where it is null, the archive and ``locator`` do, and copies in other archives are not found.
+    """
+
+    namespace: str
+    version: str
+    native: str | None
+    scope: tuple[str, ...] = ()
+    verified: tuple[tuple, ...] = ()
+    archive: str = "source_archive_id"
+    locator: tuple[str, ...] = ("record_ordinal",)
+
+    def __post_init__(self):
+        if any(len(v) != len(self.scope) for v in self.verified):
+            raise ValueError("a verified scope has a value for each of its columns")
+        if self.verified and self.native is None:
+            raise ValueError("a scope is verified for a native identifier")
+
+
 @dataclass(frozen=True)
 class SplitContract(Contract):
     """Split by stable hash of a group; thresholds are upper bounds of buckets of 10,000."""
@@ -113,3 +137,5 @@ class DecisionContract(Contract):
     #: Default status of records whose reconstruction is as stated by the source.
     level: str = "source_direct"
     unknown_fields: tuple[str, ...] = field(default=())
+    #: What the action is aimed at, where the source represents it.
+    target: str | None = None

@@ -14,10 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.contracts import DecisionContract, FieldRule, InterpretationContract, SplitContract
+from siltstone.contracts import DecisionContract, FieldRule, IdentityContract, InterpretationContract, SplitContract
 from siltstone.functions import canonical
 from siltstone.functions.names import recognise
-from siltstone.operators import counts, decisions, duplicates, joins, normalize, splits
+from siltstone.operators import counts, decisions, duplicates, identity, joins, normalize, splits
 from siltstone.plans import digest, files, gates
 from siltstone.sources import gzcsv, inspection, inventory, manifest, registration
 
@@ -195,6 +195,74 @@ def collision_examples(spark, d):
     return found.select("id", "rows", F.array_join(F.col("examples").cast("array<string>"), ",").alias("examples"))
 
 
+# --- identity of games and events
+
+ORDER_IDS = IdentityContract("game", "v1", "o_orderkey", ("o_orderstatus",), (("F",), ("O",)), "o_orderpriority", ("o_custkey", "o_orderdate"))
+SQL_ORDER_BASIS = "CASE WHEN o_orderkey IS NOT NULL AND o_orderstatus IN ('F', 'O') THEN 'native' WHEN o_orderpriority IS NOT NULL AND o_custkey IS NOT NULL AND o_orderdate IS NOT NULL THEN 'archive_locator' ELSE 'none' END"
+SQL_ORDER_ID = f"""CASE {SQL_ORDER_BASIS} WHEN 'native' THEN 'game:v1:' || sha256('s4:game;s2:v1;s6:native;' || {tag("s", "o_orderstatus")} || {tag_int("o_orderkey")})
+  WHEN 'archive_locator' THEN 'game:v1:' || sha256('s4:game;s2:v1;s15:archive_locator;' || {tag("s", "o_orderpriority")} || {tag_int("o_custkey")} || {tag_time("o_orderdate")}) END"""
+
+
+def ordered_games(spark, d) -> DataFrame:
+    """Orders as games: the key is verified for two of three statuses; priorities stand in for archives."""
+    return identity.game_ids(table(spark, d, "orders"), ORDER_IDS)
+
+
+@query(f"SELECT o_orderkey, {SQL_ORDER_ID} AS game_id, {SQL_ORDER_BASIS} AS game_id_basis, o_orderkey::VARCHAR AS game_native_id FROM orders")
+def game_ids(spark, d):
+    return ordered_games(spark, d).select("o_orderkey", "game_id", "game_id_basis", "game_native_id")
+
+
+LINE_IDS = IdentityContract("event", "v1", "l_linenumber", ("l_linestatus",), (("F",),), "l_returnflag", ("l_partkey", "l_suppkey"))
+SQL_LINE_BASIS = "CASE WHEN game_id IS NULL THEN 'none' WHEN l_linenumber IS NOT NULL AND l_linestatus = 'F' THEN 'native' WHEN l_returnflag IS NOT NULL AND l_partkey IS NOT NULL AND l_suppkey IS NOT NULL THEN 'archive_locator' ELSE 'none' END"
+SQL_LINE_ID = f"""CASE {SQL_LINE_BASIS} WHEN 'native' THEN 'event:v1:' || sha256('s5:event;s2:v1;s6:native;' || {tag("s", "game_id")} || {tag("s", "l_linestatus")} || {tag_int("l_linenumber")})
+  WHEN 'archive_locator' THEN 'event:v1:' || sha256('s5:event;s2:v1;s15:archive_locator;' || {tag("s", "game_id")} || {tag("s", "l_returnflag")} || {tag_int("l_partkey")} || {tag_int("l_suppkey")}) END"""
+SQL_LINE_IDS = f"SELECT *, {SQL_LINE_ID} AS event_id, {SQL_LINE_BASIS} AS event_id_basis FROM (SELECT lineitem.*, game_id, game_id_basis FROM lineitem LEFT JOIN (SELECT o_orderkey, {SQL_ORDER_ID} AS game_id, {SQL_ORDER_BASIS} AS game_id_basis FROM orders) ON l_orderkey = o_orderkey)"
+
+
+def ordered_events(spark, d) -> DataFrame:
+    """Lines as events of orders: the number is verified for finished lines, the rest are known by their place."""
+    games = ordered_games(spark, d).select("o_orderkey", "game_id", "game_id_basis")
+    lines = table(spark, d, "lineitem")
+    return identity.event_ids(lines.join(games, lines["l_orderkey"] == games["o_orderkey"], "left"), LINE_IDS)
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, game_id, game_id_basis, event_id, event_id_basis, l_linenumber::VARCHAR AS event_native_id FROM ({SQL_LINE_IDS})")
+def event_ids(spark, d):
+    return ordered_events(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", "game_id", "game_id_basis", "event_id", "event_id_basis", "event_native_id")
+
+
+SQL_SENT = f"""SELECT event_id, sha256({tag_int("l_partkey")} || {tag_money("l_quantity")}) AS content_hash, archive, l_linenumber AS ordinal FROM (
+  SELECT *, 'first' AS archive FROM ({SQL_LINE_IDS}) UNION ALL SELECT * REPLACE (CASE WHEN l_partkey % 50 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity), 'second' FROM ({SQL_LINE_IDS}) WHERE l_suppkey % 2 = 0)"""
+
+
+def twice_sent(spark, d) -> DataFrame:
+    """The lines in one archive, and half of them in another, which says something else of a few."""
+    lines = ordered_events(spark, d).select("event_id", "l_partkey", "l_quantity", "l_suppkey", F.col("l_linenumber").alias("ordinal"))
+    other = lines.where("l_suppkey % 2 = 0").withColumn("l_quantity", F.when(F.col("l_partkey") % 50 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    both = lines.withColumn("archive", F.lit("first")).unionByName(other.withColumn("archive", F.lit("second")))
+    return identity.with_content(both, ["l_partkey", "l_quantity"], {"l_quantity": 2})
+
+
+@query(f"""
+WITH c AS (SELECT event_id, content_hash, string_agg(DISTINCT archive, ',' ORDER BY archive) AS source_archives, count(*)::BIGINT AS copies, min({{'a': archive, 'o': ordinal}}) AS place FROM ({SQL_SENT}) GROUP BY ALL),
+k AS (SELECT *, count(*) OVER (PARTITION BY event_id) AS contents FROM c)
+SELECT event_id, content_hash, place.a AS archive, place.o AS ordinal, source_archives, copies, CASE WHEN event_id IS NULL THEN 'no_identity' WHEN contents > 1 THEN 'identity_collision' ELSE '' END AS quarantine_reason FROM k""")
+def event_collapse(spark, d):
+    kept, held, _ = identity.collapsed(twice_sent(spark, d), "event_id", "archive", "ordinal", ["l_partkey", "l_quantity"])
+    found = kept.withColumn("quarantine_reason", F.lit("")).unionByName(held)
+    return found.select("event_id", "content_hash", "archive", "ordinal", F.array_join("source_archives", ",").alias("source_archives"), "copies", "quarantine_reason")
+
+
+@query(f"""
+WITH c AS (SELECT event_id, content_hash, count(DISTINCT archive) AS archives, count(*) AS n FROM ({SQL_SENT}) GROUP BY ALL),
+k AS (SELECT event_id, count(*) AS contents, sum(n) AS records, max(archives) AS archives FROM c GROUP BY event_id)
+SELECT CASE WHEN event_id IS NULL THEN 'no_identity' WHEN contents > 1 THEN 'identity_collision' WHEN archives > 1 THEN 'source_duplicate' WHEN records > 1 THEN 'exact_duplicate' ELSE 'unique' END AS dup_class,
+  count(*)::BIGINT AS identities, sum(contents)::BIGINT AS contents, sum(records)::BIGINT AS records FROM k GROUP BY 1""")
+def event_classes(spark, d):
+    return identity.classes(twice_sent(spark, d), "event_id", "archive")
+
+
 # --- key evidence and verified joins
 
 
