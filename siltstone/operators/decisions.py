@@ -7,34 +7,134 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.contracts import COMPLETENESS, FORBIDDEN_NAMES, OBSERVED_ACTION, RECONSTRUCTION_LEVELS, DecisionContract
+from siltstone.sources.tables import stored
 
 
-def decision_samples(events: DataFrame, contract: DecisionContract, carry: tuple[str, ...] = ()) -> DataFrame:
+#: Games of more rows are worked on in segments of about so many.
+SEGMENT_ROWS = 500_000
+#: Segments' bounds are looked up in lists of so many.
+FAN = 64
+#: Rows of small tables are broadcast up to so many.
+FEW = 1_000_000
+
+
+def _few(found: DataFrame) -> DataFrame:
+    return F.broadcast(found) if found.count() <= FEW else found
+
+
+def seen_before(events: DataFrame, contract: DecisionContract, held: list[str]) -> DataFrame:
+    """``events`` with what came before each in its game, of the rows of one segment (``_segment``) of it.
+
+    ``_known_<c>`` is the last value of each safe field, ``_history`` the last entries and ``_before``
+    the number of rows at earlier positions.  ``_next`` is the action that follows.
+    """
+    game, position = contract.game, contract.position
+    events = events.withColumn("_tie", F.xxhash64(*held))
+    part = [game, "_segment"]
+    order = Window.partitionBy(*part).orderBy(position, "_tie")
+    past = order.rowsBetween(Window.unboundedPreceding, -1)
+    # The first row of a position has nothing but earlier positions before it; its twins know the same.
+    same = Window.partitionBy(*part, position).orderBy("_tie").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    entry = F.struct(F.col(position).alias("position"), F.col(contract.action).alias("action"), *(F.col(c) for c in contract.safe))
+    known = {f"_known_{c}": F.last(F.col(c), ignorenulls=True).over(past) for c in contract.safe}
+    seen = events.withColumns({
+        "_history": F.collect_list(entry).over(order.rowsBetween(-contract.history, -1)),
+        "_before": F.rank().over(Window.partitionBy(*part).orderBy(position)).cast("long") - 1,
+        **known,
+        "_next": F.lead(contract.action).over(order),
+        "_twins": F.count("*").over(Window.partitionBy(*part, position)),
+    })
+    return seen.withColumns({name: F.first(name).over(same) for name in ("_history", *known)})
+
+
+def segment_bounds(events: DataFrame, game: str, position: str, segment_rows: int) -> DataFrame | None:
+    """(_long, _coarse, _bounds) of the games of more rows than a segment, or None if there are none, stored.
+
+    Bounds are approximate quantiles of the positions; what is exact follows from the rows on either side.
+    """
+    long = events.groupBy(F.col(game).alias("_long")).agg(F.count("*").alias("_rows")).where(F.col("_rows") > segment_rows)
+    long = stored(long.select("_long", F.least(F.ceil(F.col("_rows") / segment_rows), F.lit(FAN * FAN)).cast("int").alias("_parts")), "long-games")
+    if not long.head(1):
+        return None
+    kind = events.schema[position].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"{position} has no quantiles: a game of over {segment_rows} rows can't be parted by it")
+    most = long.agg(F.max("_parts")).first()[0]
+    shares = [k / most for k in range(1, most)]
+    found = events.join(_few(long), F.col(game).eqNullSafe(F.col("_long"))).groupBy("_long").agg(F.percentile_approx(position, shares, F.lit(10_000)).alias("_bounds"))
+    found = found.select("_long", F.sort_array(F.array_distinct(F.coalesce("_bounds", F.array().cast(T.ArrayType(kind))))).alias("_bounds"))
+    return stored(found.select("_long", F.filter("_bounds", lambda b, k: k % FAN == FAN - 1).alias("_coarse"), "_bounds"), "segment-bounds")
+
+
+def in_segments(events: DataFrame, contract: DecisionContract, held: list[str], bounds: DataFrame) -> DataFrame:
+    """``seen_before`` of games of any length: segments are worked on apart, and what each ends with is carried on.
+
+    A segment holds whole positions.  Of each, one row is carried: its number of rows, last
+    known values, last entries and first action.
+    """
+    game, position, k = contract.game, contract.position, contract.history
+    joined = events.join(_few(bounds), F.col(game).eqNullSafe(F.col("_long")))
+    below = lambda xs: F.size(F.filter(xs, lambda b: b < F.col(position)))
+    first = F.coalesce(below("_coarse"), F.lit(0))
+    segment = F.when(F.col(position).isNull(), -1).otherwise(first * FAN + below(F.slice("_bounds", first * FAN + 1, FAN)))
+    dealt = joined.withColumn("_segment", segment).drop("_long", "_coarse", "_bounds")
+    seen = seen_before(dealt, contract, held)
+    # With themselves, rows show what their segment ends with; its last row is kept.
+    order = Window.partitionBy(game, "_segment").orderBy(position, "_tie")
+    entry = F.struct(F.col(position).alias("position"), F.col(contract.action).alias("action"), *(F.col(c) for c in contract.safe))
+    whole = order.rowsBetween(Window.unboundedPreceding, 0)
+    ends = {f"_end_{c}": F.last(F.col(c), ignorenulls=True).over(whole) for c in contract.safe}
+    seen = stored(seen.withColumns({
+        **ends,
+        "_end": F.lead(F.lit(True)).over(order).isNull(),
+        "_row": F.row_number().over(order).cast("long"),
+        "_tail": F.collect_list(entry).over(order.rowsBetween(1 - k, 0)) if k else F.array().cast(seen.schema["_history"].dataType),
+        "_opening": F.first(contract.action).over(whole),
+    }), "segments")
+    summary = seen.where("_end").select(F.col(game).alias("_game"), F.col("_segment").alias("_part"), "_row", "_tail", "_opening", *ends)
+    run = Window.partitionBy("_game").orderBy("_part")  # a row for each segment
+    last = lambda entries: F.slice(entries, F.greatest(F.size(entries) - k, F.lit(0)) + 1, F.lit(k))
+    carried = summary.select(
+        "_game", "_part",
+        F.coalesce(F.sum("_row").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_rows_before"),
+        last(F.flatten(F.collect_list("_tail").over(run.rowsBetween(-max(k, 1), -1)))).alias("_carried"),
+        F.lead("_opening").over(run).alias("_following"),
+        *(F.last(f"_end_{c}", ignorenulls=True).over(run.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_carried_{c}") for c in contract.safe),
+    )
+    carried = stored(carried, "carried")
+    both = seen.join(_few(carried), F.col(game).eqNullSafe(F.col("_game")) & (F.col("_segment") == F.col("_part")))
+    return both.select(
+        *(F.col(f"`{c}`") for c in events.columns), "_segment", "_tie", "_twins",
+        last(F.concat("_carried", "_history")).alias("_history"),
+        (F.col("_before") + F.col("_rows_before")).alias("_before"),
+        F.when(F.col("_end"), F.col("_following")).otherwise(F.col("_next")).alias("_next"),
+        *(F.coalesce(f"_known_{c}", f"_carried_{c}").alias(f"_known_{c}") for c in contract.safe),
+    )
+
+
+def decision_samples(events: DataFrame, contract: DecisionContract, carry: tuple[str, ...] = (), segment_rows: int | None = SEGMENT_ROWS) -> DataFrame:
     """A row for each decision: sample_key, input, label, post_decision and statuses.
 
     ``input`` holds the declared safe fields alone, of rows before the decision:
-    the last known value of each, and a bounded history.  Rows of a game lie in
-    one task, sorted; only ``history`` of them are held.  ``carry`` names columns, as
-    of provenance, to keep as they are.
+    the last known value of each, and a bounded history.  Rows of a game of up to ``segment_rows`` lie in
+    one task, sorted; longer games are parted by position, so that no task holds a whole one (rows
+    at one position stay together).  With None nothing is counted first, and no game is parted.
+    ``carry`` names columns, as of provenance, to keep as they are.
 
     Rows at one position know nothing of each other: what was known is of earlier
     positions alone.  They follow each other by what they hold, not as they come, so that
     every run gives the same.
     """
     game, position = contract.game, contract.position
-    held = [c for c in dict.fromkeys((contract.action, *contract.safe, *contract.outcome, *carry)) if not isinstance(events.schema[c].dataType, T.MapType)]
-    events = events.withColumn("_tie", F.xxhash64(*held))
-    order = Window.partitionBy(game).orderBy(position, "_tie")
-    past = order.rowsBetween(Window.unboundedPreceding, -1)
-    recent = order.rowsBetween(-contract.history, -1)
-    earlier = lambda of: F.filter(of, lambda x: x["position"] < F.col(position))
-    # The last value before this position: the last of the rows before, of an earlier position than any twin's.
-    same = Window.partitionBy(game, position).orderBy("_tie").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    entry = F.struct(F.col(position).alias("position"), F.col(contract.action).alias("action"), *(F.col(c) for c in contract.safe))
-    known = {f"_known_{c}": F.last(F.col(c), ignorenulls=True).over(past) for c in contract.safe}
-    seen = events.withColumns({"_history": F.collect_list(entry).over(recent), "_before": F.rank().over(Window.partitionBy(game).orderBy(position)).cast("long") - 1, **known, "_next": F.lead(contract.action).over(order), "_twins": F.count("*").over(Window.partitionBy(game, position))})
-    # The first row of a position has nothing but earlier positions before it.
-    seen = seen.withColumns({"_history": earlier(F.col("_history")), **{name: F.first(name).over(same) for name in known}})
+    target = [contract.target] if contract.target else []
+    held = [c for c in dict.fromkeys((contract.action, *contract.safe, *contract.outcome, *target, *carry)) if not isinstance(events.schema[c].dataType, T.MapType)]
+    bounds = segment_bounds(events, game, position, segment_rows) if segment_rows else None
+    if bounds is None:
+        seen = seen_before(events.withColumn("_segment", F.lit(0)), contract, held)
+    else:
+        long = _few(bounds.select("_long"))
+        short = events.join(long, F.col(game).eqNullSafe(F.col("_long")), "left_anti").withColumn("_segment", F.lit(0))
+        seen = seen_before(short, contract, held).unionByName(in_segments(events, contract, held, bounds))
     action = F.col(contract.action)
     decided = seen.where(F.coalesce(action.isin(*contract.decisions), F.lit(False)) | action.isNull())
     action_status = F.when(action.isNull(), "missing").when(F.col("_twins") > 1, "ambiguous").otherwise("observed")
@@ -57,6 +157,7 @@ def decision_samples(events: DataFrame, contract: DecisionContract, carry: tuple
         complete.alias("information_completeness"),
         F.lit("unknown").alias("legal_actions_status"),
         action_status.alias("observed_action_status"),
+        *([F.when(F.col(contract.target).isNull(), "missing").otherwise("observed").alias("action_target_status")] if contract.target else []),
         flags.alias("state_quality_flags"),
     )
     return with_usability(samples)

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import gzip
 import os
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +19,7 @@ from siltstone.functions.names import recognise
 from siltstone.operators import counts, decisions, duplicates, identity, joins, normalize, splits
 from siltstone.plans import digest, files, gates
 from siltstone.sources import gzcsv, inspection, inventory, manifest, registration
+from siltstone.sources.tables import fresh_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -556,13 +556,41 @@ def split_violations(spark, d):
     return splits.split_isolation(dealt, "user_id").select("user_id", "a", "b")
 
 
-@query("SELECT user_id, event_id // 3 AS pos, event_type AS observed_action, count(*) OVER (PARTITION BY user_id, event_id // 3) > 1 AS tied, (rank() OVER (PARTITION BY user_id ORDER BY event_id // 3) - 1)::BIGINT AS prior_rows FROM events QUALIFY event_type IN ('purchase', 'signup')")
-def decision_ties(spark, d):
-    """Decisions where three events share a position: tied ones are ambiguous and know earlier positions alone."""
+SQL_TIES = """
+WITH e AS (SELECT user_id, event_id // 3 AS pos, event_type, value FROM events), g AS (SELECT user_id, pos, list(value) AS here, count(*) AS n FROM e GROUP BY ALL),
+p AS (SELECT user_id, pos, n, coalesce(sum(n) OVER w, 0)::BIGINT AS prior_rows, coalesce(array_agg(pos) OVER h, []) AS near, coalesce(array_agg(n) OVER h, []) AS counts FROM g
+  WINDOW w AS (PARTITION BY user_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), h AS (PARTITION BY user_id ORDER BY pos ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
+SELECT user_id, pos, event_type AS observed_action, n > 1 AS tied, prior_rows,
+  array_to_string(list_reverse(list_reverse(flatten(list_transform(near, lambda x, i: list_transform(range(counts[i]), lambda k: x))))[1:3]), ',') AS history
+FROM p JOIN e USING (user_id, pos) WHERE event_type IN ('purchase', 'signup')"""
+
+
+def tied_decisions(spark, d, segment_rows: int | None = decisions.SEGMENT_ROWS) -> DataFrame:
     events = table(spark, d, "events").withColumn("pos", F.floor(F.col("event_id") / 3).cast("long"))
     contract = DecisionContract("ties-v1", "user_id", "pos", "event_type", ("purchase", "signup"), ("value",), history=3)
-    found = decisions.decision_samples(events, contract)
-    return found.select("user_id", "pos", F.col("label.observed_action").alias("observed_action"), (F.col("observed_action_status") == "ambiguous").alias("tied"), F.col("input.prior_rows").alias("prior_rows"))
+    found = decisions.decision_samples(events, contract, segment_rows=segment_rows)
+    return found.select("user_id", "pos", F.col("label.observed_action").alias("observed_action"), (F.col("observed_action_status") == "ambiguous").alias("tied"), F.col("input.prior_rows").alias("prior_rows"), F.array_join(F.col("input.history.position").cast("array<string>"), ",").alias("history"))
+
+
+@query(SQL_TIES)
+def decision_ties(spark, d):
+    """Decisions where three events share a position: tied ones are ambiguous and know earlier positions alone."""
+    return tied_decisions(spark, d)
+
+
+WHOLE = DecisionContract("whole-v1", "kind", "event_id", "event_type", ("purchase", "signup"), ("value", "user_id"), history=4, outcome=("props",))
+
+
+@query("""
+SELECT event_id, last_value(value IGNORE NULLS) OVER p AS known_value, last_value(user_id IGNORE NULLS) OVER p AS known_user, array_to_string(coalesce(list(event_id) OVER h, []), ',') AS history, (count(*) OVER p)::BIGINT AS prior_rows, lead(event_type) OVER o AS next_action
+FROM (SELECT *, event_id % 3 > 0 AS long FROM events)
+WINDOW o AS (PARTITION BY CASE WHEN long THEN -1 ELSE user_id END ORDER BY event_id), p AS (PARTITION BY CASE WHEN long THEN -1 ELSE user_id END ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), h AS (PARTITION BY CASE WHEN long THEN -1 ELSE user_id END ORDER BY event_id ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)
+QUALIFY event_type IN ('purchase', 'signup')""")
+def decisions_of_a_long_game(spark, d):
+    """Two thirds of all events are one game, parted in segments; the rest are their users' games."""
+    events = table(spark, d, "events").withColumn("kind", F.when(F.col("event_id") % 3 > 0, F.lit(-1).cast("long")).otherwise(F.col("user_id").cast("long")))
+    found = decisions.decision_samples(events, WHOLE, segment_rows=1000)
+    return found.select("event_id", F.col("input.value").alias("known_value"), F.col("input.user_id").alias("known_user"), F.array_join(F.col("input.history.position").cast("array<string>"), ",").alias("history"), F.col("input.prior_rows").alias("prior_rows"), F.col("post_decision.next_action").alias("next_action"))
 
 
 @query("SELECT user_id, event_id FROM events WHERE event_id % 5 = 0")
@@ -666,9 +694,9 @@ def normalized_events(spark, d):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors can reach: on the cluster's shared one if it names one."""
-    top = (spark.conf.get("spark.checkpoint.dir", None) or "").removeprefix("file://")
-    if top.startswith("/"):
-        os.makedirs(top, exist_ok=True)
-        return tempfile.mkdtemp(dir=top)
-    return tempfile.mkdtemp()
+    """A new folder on the shared file system, for what is written and read as plain files (see the README)."""
+    path = fresh_table(spark, "files").removeprefix("file://")
+    if not path.startswith("/"):
+        raise ValueError(f"{path} is no mounted folder")
+    os.makedirs(path)
+    return path
