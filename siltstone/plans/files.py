@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.sources.config import resolve_under, safe_name
+from siltstone.sources.config import safe_name
 
 ARTIFACT = "path string, bytes long, rows long, sha256 string"
 
@@ -94,20 +94,63 @@ def verify_manifest(declared: DataFrame, actual: DataFrame) -> DataFrame:
     return d.join(a, "path", "full_outer").select("path", problem.alias("problem")).where("problem IS NOT NULL")
 
 
-def shard_schema_problems(top: str, schema: T.StructType, partition_by: list[str] | None = None) -> list[tuple[str, str]]:
-    """Shards whose footer has other columns than declared."""
-    wanted = [f.name for f in schema.fields if f.name not in (partition_by or [])]
-    found = []
-    for path in list_files(top):
-        if path.endswith(".parquet"):
-            try:
-                names = pq.read_schema(resolve_under(top, path)).names
-            except (pa.ArrowException, OSError):
-                found.append((path, "unreadable"))
-                continue
-            if names != wanted:
-                found.append((path, "schema"))
-    return found
+SHARD = "path string, rows long, problem string, detail string"
+
+# Arrow's names of types as Spark has them.
+SPARK_NAMES = {"int64": "bigint", "int32": "int", "int16": "smallint", "int8": "tinyint", "bool": "boolean", "large_string": "string", "large_binary": "binary", "date32[day]": "date"}
+
+
+def arrow_name(kind: pa.DataType) -> str:
+    """An Arrow type by the name that Spark gives it."""
+    if pa.types.is_struct(kind):
+        return "struct<" + ",".join(f"{kind.field(k).name}:{arrow_name(kind.field(k).type)}" for k in range(kind.num_fields)) + ">"
+    if pa.types.is_map(kind):
+        return f"map<{arrow_name(kind.key_type)},{arrow_name(kind.item_type)}>"
+    if pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        return f"array<{arrow_name(kind.value_type)}>"
+    if pa.types.is_timestamp(kind):
+        return "timestamp" if kind.tz else "timestamp_ntz"
+    if pa.types.is_decimal(kind):
+        return f"decimal({kind.precision},{kind.scale})"
+    return SPARK_NAMES.get(str(kind), str(kind))
+
+
+def footer_problems(found: pa.Schema, wanted: list[tuple[str, str, bool]]) -> list[tuple[str, str]]:
+    """(problem, detail) of a shard's columns against those declared: (name, type, whether it may be null)."""
+    if found.names != [n for n, _, _ in wanted]:
+        return [("columns", ",".join(found.names))]
+    problems = [("type", f"{n}: {arrow_name(f.type)}") for f, (n, kind, _) in zip(found, wanted, strict=True) if arrow_name(f.type) != kind]
+    return problems + [("nullability", n) for f, (n, _, nullable) in zip(found, wanted, strict=True) if f.nullable and not nullable]
+
+
+def verified_shards(spark: SparkSession, top: str, schema: T.StructType, partition_by: list[str] | None = None, parallelism: int = 64) -> DataFrame:
+    """(path, rows, problem, detail): each shard below ``top`` under the declared schema.
+
+    Tasks read each footer for columns, types, nullability and count, and then every row, a batch at a time.
+    A sound shard has one row without a problem; others have one for each problem.
+    """
+    wanted = [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields if f.name not in (partition_by or [])]
+
+    def checked(path: str) -> list[tuple]:
+        try:
+            with pq.ParquetFile(os.path.join(top, path)) as shard:
+                rows = shard.metadata.num_rows
+                problems = footer_problems(shard.schema_arrow, wanted)
+                read = sum(batch.num_rows for batch in shard.iter_batches(65_536))
+        except (pa.ArrowException, OSError, ValueError) as error:
+            return [(path, None, "unreadable", type(error).__name__)]
+        if read != rows:
+            problems.append(("count", f"{read} of {rows}"))
+        return [(path, rows, *p) for p in problems] or [(path, rows, None, None)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.string()]
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*checked(path), strict=True), kinds, strict=True)], ["path", "rows", "problem", "detail"])
+
+    paths = [(p,) for p in list_files(top) if p.endswith(".parquet")]
+    return spark.createDataFrame(paths, "path string").repartition(max(1, min(parallelism, len(paths))), "path").mapInArrow(run, SHARD)
 
 
 def write_json(path: str, value) -> None:

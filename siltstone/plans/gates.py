@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from siltstone.operators import counts, decisions, duplicates, splits
 
@@ -119,8 +118,14 @@ def row_counts(stage_counts: DataFrame, artifacts: DataFrame) -> DataFrame:
     return unexplained.unionByName(violations(both, "row_counts", "all", F.concat_ws("/", F.col("emitted").cast("string"), F.col("written").cast("string"))))
 
 
-def parquet_readability(spark: SparkSession, problems: list[tuple[str, str]]) -> DataFrame:
-    return listed(spark, "parquet_readability", problems)
+def parquet_readability(shards: DataFrame) -> DataFrame:
+    """``shards``: each shard with its problem, if it has one."""
+    return violations(shards.where("problem IS NOT NULL"), "parquet_readability", F.col("path"), F.concat_ws(": ", "problem", "detail"))
+
+
+def nothing_released(entered: int, left: int, what: str, spark: SparkSession) -> DataFrame:
+    """A view without a row though rows entered it: they must not vanish unseen."""
+    return listed(spark, "row_counts", [(what, f"0 of {entered}")] if entered and not left else [])
 
 
 def manifest(differences: DataFrame) -> DataFrame:
@@ -139,7 +144,3 @@ def dispositions(found: DataFrame) -> DataFrame:
 def blocks(found: DataFrame) -> bool:
     """Whether a violation forbids the release.  A run that finds one has itself succeeded."""
     return bool(found.where(F.col("disposition").isin(*BLOCKING)).head(1))
-
-
-def violation_schema() -> T.StructType:
-    return T._parse_datatype_string(VIOLATION)

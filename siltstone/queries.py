@@ -609,6 +609,27 @@ def unexplained_counts(spark, d):
     return counts.conserve(stage.withColumn("read", F.col("read") + (F.col("unit") != "signup").cast("long")))
 
 
+def faulty_shards(spark, d) -> DataFrame:
+    """Orders written in shards: a quarter as declared, a shard with another type, one that may hold nulls, one cut short."""
+    top = shared_folder(spark)
+    rows = table(spark, d, "orders").select(F.coalesce("o_orderkey", F.lit(0).cast("long")).alias("o_orderkey"), F.col("o_custkey").cast("long").alias("o_custkey"), "o_orderstatus")
+    part = lambda k: rows.where(F.pmod("o_custkey", F.lit(4)) == k)
+    files.write_view(part(0), os.path.join(top, "sound"), order=["o_orderkey"])
+    files.write_view(part(1).withColumn("o_custkey", F.col("o_custkey").cast("string")).coalesce(1), os.path.join(top, "type"))
+    files.write_view(part(2).withColumn("o_orderkey", F.nullif("o_orderkey", F.lit(-1).cast("long"))).coalesce(1), os.path.join(top, "nulls"))
+    files.write_view(part(3).coalesce(1), os.path.join(top, "short"))
+    for path in files.list_files(os.path.join(top, "short")):
+        os.truncate(os.path.join(top, "short", path), os.path.getsize(os.path.join(top, "short", path)) - 100)
+    return files.verified_shards(spark, top, rows.schema)
+
+
+@query("""
+SELECT coalesce(problem, 'none') AS problem, CASE problem WHEN 'unreadable' THEN 0 ELSE count(*) END::BIGINT AS rows FROM (
+  SELECT CASE o_custkey % 4 WHEN 1 THEN 'type' WHEN 2 THEN 'nullability' WHEN 3 THEN 'unreadable' END AS problem FROM orders) GROUP BY problem""")
+def shard_problems(spark, d):
+    return faulty_shards(spark, d).groupBy(F.coalesce("problem", F.lit("none")).alias("problem")).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+
+
 @query("""
 SELECT 'identifier_uniqueness' AS gate, 'release_blocking' AS disposition, count(*)::BIGINT AS violations FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)
 UNION ALL SELECT 'duplicate_collision', 'quarantined', count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_partkey) > 1 AND l_orderkey % 2 = 1)
@@ -622,7 +643,7 @@ UNION ALL SELECT 'join_cardinality', 'release_blocking', 1
 UNION ALL SELECT 'row_counts', 'release_blocking', 1
 UNION ALL SELECT 'manifest', 'release_blocking', count(*) FROM region
 UNION ALL SELECT 'perspective', 'release_blocking', 1
-UNION ALL SELECT 'parquet_readability', 'release_blocking', 2
+UNION ALL SELECT 'parquet_readability', 'release_blocking', 3
 UNION ALL SELECT 'future_leak', 'release_blocking', count(*) FROM events WHERE event_id % 5 = 0
 UNION ALL SELECT 'split_isolation', 'release_blocking', count(*) FROM (SELECT user_id FROM (""" + SQL_BY_EVENT + """) WHERE user_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT split) > 1)
 UNION ALL SELECT 'privacy', 'release_blocking', count(*) FROM (""" + sql_privacy("documents", "text") + """) WHERE hits > 0""")
@@ -650,7 +671,7 @@ def gate_summary(spark, d):
         gates.row_counts(stage, orders.agg((F.count("*") + events.count()).alias("rows"))),
         gates.manifest(table(spark, d, "region").select(F.col("r_name").alias("path"), F.lit("missing").alias("problem"))),
         gates.perspective(unsafe, ["value"]),
-        gates.parquet_readability(spark, [("a", "no footer"), ("b", "other columns")]),
+        gates.parquet_readability(faulty_shards(spark, d)),
         gates.future_leak(samples, "user_id", "event_id"),
         gates.split_isolation(splits.assign_split(events, BY_EVENT).where("user_id IS NOT NULL"), "user_id"),
         gates.privacy(inspection.privacy_holds(inspection.privacy_scan(documents, ["text"]), spark.createDataFrame([], "column string, pattern string, decision string"))),
