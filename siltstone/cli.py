@@ -19,7 +19,7 @@ from siltstone.plans import build as plans
 from siltstone.plans import files
 from siltstone.plans.stats import Stats
 from siltstone.sources import inspection, manifest, registration
-from siltstone.sources.config import Config, config_digest, load_config
+from siltstone.sources.config import Config, config_digest, load_config, resolve_under
 
 
 def session() -> SparkSession:
@@ -51,7 +51,7 @@ def run(verb: str, config: Config, evidence_module: str | None, release: str | N
             emit(stats.frame(spark))
         return 0
     if verb == "validate":
-        top = files.resolve_under(config.release_root, release or "")
+        top = resolve_under(config.release_root, release or "")
         with open(os.path.join(top, "release.json"), encoding="utf-8") as f:
             declared = spark.createDataFrame([tuple(a[c] for c in ("path", "bytes", "rows", "sha256")) for a in json.load(f)["artifacts"]], files.ARTIFACT)
         problems = files.verify_manifest(declared, files.artifact_manifest(spark, top).where("path <> 'release.json'"))
@@ -60,10 +60,10 @@ def run(verb: str, config: Config, evidence_module: str | None, release: str | N
     evidence = importlib.import_module(evidence_module).evidence()
     if verb == "normalize":
         archives = [r.asDict(recursive=True) for r in plans.take_inventory(spark, config).orderBy("path").collect()]
-        _, outcomes, excluded = plans.normalized_units(spark, config, archives, evidence)
-        if outcomes is not None:
-            emit(outcomes.groupBy("archive", "outcome", "reason").count())
-        for path, reason in excluded:
+        found = plans.normalized_units(spark, config, archives, evidence)
+        if found.outcomes is not None:
+            emit(found.outcomes.groupBy("archive", "outcome", "reason").count())
+        for path, reason in found.excluded:
             print(json.dumps({"path": path, "excluded": reason}))
         return 0
     made = plans.build(spark, config, evidence)

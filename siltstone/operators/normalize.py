@@ -72,9 +72,14 @@ def normalize(typed: DataFrame, contract: InterpretationContract, locator: list[
     return with_metadata(out, contract)
 
 
-def with_metadata(df: DataFrame, contract: InterpretationContract) -> DataFrame:
-    """``df`` whose groups' fields carry their origin and raw column as metadata."""
-    notes = {(f.group, f.name): {"origin": f.origin, "raw": f.raw, "contract": contract.contract_id} for f in contract.fields}
+def with_metadata(df: DataFrame, *contracts: InterpretationContract) -> DataFrame:
+    """``df`` whose groups' fields carry their origin, raw column and contracts as metadata."""
+    notes: dict[tuple[str, str], dict] = {}
+    for c in contracts:
+        for f in c.fields:
+            known = notes.setdefault((f.group, f.name), {"origin": f.origin, "raw": f.raw, "contract": c.contract_id})
+            if c.contract_id not in known["contract"].split(","):
+                known["contract"] += f",{c.contract_id}"
     fields = []
     for top in df.schema.fields:
         if top.name in GROUPS and isinstance(top.dataType, T.StructType):
@@ -85,6 +90,19 @@ def with_metadata(df: DataFrame, contract: InterpretationContract) -> DataFrame:
     return df.to(T.StructType(fields))
 
 
+def released(records: DataFrame, contracts: list[InterpretationContract], identity: list[str], locator: list[str], builder_version: str, stage: str) -> DataFrame:
+    """Collapsed records of any of ``contracts`` as a view: identity, groups, quality and provenance.
+
+    Raw texts stay in the intermediate tables.  A field that a record's contract lacks is null.
+    """
+    fields = {f.name: f for c in contracts for f in c.fields}
+    groups = [g for g in GROUPS if g != "quality" and any(f.group == g for f in fields.values())]
+    flags = F.sort_array(F.array_distinct(F.transform("errors", lambda e: F.concat_ws(":", e["code"], e["field"]))))
+    provenance = F.struct("source_archives", "copies", *locator, "raw_schema_fingerprint", F.col("contract_id").alias("interpretation_contract_id"), "contract_version", F.lit(builder_version).alias("builder_version"), F.lit(stage).alias("stage"))
+    out = records.select(*identity, *(F.struct(*(n for n, f in fields.items() if f.group == g)).alias(g) for g in groups), F.struct(flags.alias("flags")).alias("quality"), provenance.alias("provenance"))
+    return with_metadata(out, *contracts)
+
+
 def lineage(contract: InterpretationContract) -> list[tuple[str, str, str, str, str]]:
     """(raw column, group, field, kind, origin) of each rule."""
     return [(f.raw, f.group, f.name, f.kind, f.origin) for f in contract.fields]

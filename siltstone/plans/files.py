@@ -162,10 +162,10 @@ def write_json(path: str, value) -> None:
     os.replace(path + ".incomplete", path)
 
 
-def write_quarantine(df: DataFrame, path: str, reason: str, keep: list[str], release_root: str) -> None:
-    """Held-back rows: identity, locator and hash columns and the reason; raw values stay out."""
+def write_quarantine(df: DataFrame, path: str, reason: str | None, keep: list[str], release_root: str) -> None:
+    """Held-back rows: identity, locator and hash columns and the reason (or each row's own); raw values stay out."""
     from siltstone.sources.config import PathError, inside
 
     if inside(path, release_root):
         raise PathError("the quarantine must lie outside the release")
-    df.select(*keep, F.lit(reason).alias("reason")).write.mode("errorifexists").parquet(path)
+    df.select(*keep, F.lit(reason).alias("reason") if reason else F.col("reason")).write.mode("errorifexists").parquet(path)

@@ -4,8 +4,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.contracts import DecisionContract, FieldRule, InterpretationContract, SplitContract
+from siltstone.contracts import DecisionContract, FieldRule, IdentityContract, InterpretationContract, SplitContract
 from siltstone.operators.joins import JoinRefused, KeyEvidence
+from siltstone.operators.safety import SafetyMatrix, UnsafeDerivation
 from siltstone.plans import build, files, gates, publish, stats, units
 from siltstone.sources import config as C
 from siltstone.sources import inspection
@@ -32,9 +33,119 @@ def made(spark, tmp_path_factory):
         InterpretationContract("replay", 1, prints["replayAAA"], tuple(REPLAY), (FieldRule("rec_id", "rec_id", "integer", required=True), FieldRule("game_key", "game_key", required=True), FieldRule("pos", "pos", "integer", required=True), FieldRule("actor", "actor"), FieldRule("action", "action"), FieldRule("seen", "seen", safe=True))),
         InterpretationContract("game", 1, prints["gameAAA"], tuple(GAME), (FieldRule("game_key", "game_key", required=True), FieldRule("result", "result"))),
     ])
-    licenses = {f"{k}_data_public.{e}.F.csv.gz": ("verified", "letter") for k in ("replay", "game") for e in ("AAA", "BBB")}
-    evidence = build.Evidence(registry, KeyEvidence(("game_key",), ("n:1",), "fixture", True), DecisionContract("d1", "game", "pos", "action", ("play",), ("seen",)), SplitContract(), licenses)
-    return config, evidence, build.build(spark, config, evidence), top
+    return config, evidence_of(registry, catalog), build.build(spark, config, evidence_of(registry, catalog)), top
+
+
+SAFE = SafetyMatrix("safety-v1", (("seen", "earlier", "shown to the actor"), ("action", "earlier", "the actor's own")))
+GAME_IDS = IdentityContract("game", "v1", "game_key", ("expansion", "format"), (("AAA", "F"),), locator=("game_key",))
+EVENT_IDS = IdentityContract("event", "v1", "rec_id", ("expansion", "format"), (("AAA", "F"),))
+
+
+def evidence_of(registry, catalog, **changes):
+    """What the fixture's builds rely on: a letter for all archives' bytes."""
+    licenses = {r["source_archive_id"]: ("verified", "letter") for r in catalog.where("source_archive_id IS NOT NULL").collect()}
+    given = {"least_coverage": 1.0, "safety": SAFE, "games": GAME_IDS, "events": EVENT_IDS} | changes
+    return build.Evidence(registry, KeyEvidence(("game_key",), ("n:1",), "fixture", True), DecisionContract("d1", "game", "pos", "action", ("play",), ("seen",)), SplitContract(), licenses, **given)
+
+
+def lines_of(games=range(8), first=0):
+    return "".join(f"{first + g * 10 + p},g{g},{p},a,{'play' if p % 2 else 'draw'},s{p}\n" for g in games for p in range(6)).encode()
+
+
+@pytest.fixture
+def another(spark, made, tmp_path):
+    """A function that builds with further archives beside the fixture's: {file name: (lines, header)}."""
+    config, evidence, _, _ = made
+
+    def run(more, **changes):
+        for name, (lines, header) in more.items():
+            archive(str(tmp_path / "more"), name, lines, header)
+        config2 = C.Config((*config.raw_roots, str(tmp_path / "more")), str(tmp_path / "mid"), str(tmp_path / "held"), str(tmp_path / "out"), "demo")
+        return build.build(spark, config2, evidence_of(evidence.registry, build.take_inventory(spark, config2), **changes)), config2
+
+    return run
+
+
+def test_events_of_two_archives_are_one_with_both(spark, another):
+    """The same replay events in a second archive, with a few of its own: nothing is lost, and each says who holds it."""
+    release, _ = another({"replay_data_public.AAA.F.csv.gz": (lines_of() + b"900,g0,9,a,play,s9\n", REPLAY)})
+    assert not release.blocked and release.record["rows"] == 25
+    view = spark.read.parquet(os.path.join(release.top, "decision_imitation"))
+    assert sorted(r["n"] for r in view.select(F.size("provenance.source_archives").alias("n")).collect()) == [1] + [2] * 24
+    events = spark.read.parquet(os.path.join(release.top, "replay_events"))
+    assert events.count() == 49 and events.where("provenance.copies = 2").count() == 48
+    assert {r["event_id_basis"] for r in events.collect()} == {"native"}
+    stage = next(s for s in release.record["stages"] if s["stage"] == "identity")
+    assert stage["read"] == stage["accepted"] == 48 + 49 + 8 and stage["quarantined"] == 0
+
+
+def test_unequal_events_of_one_identity_are_quarantined(spark, another):
+    release, config = another({"replay_data_public.AAA.F.csv.gz": (lines_of([0]).replace(b"play", b"pass") + lines_of(range(1, 8)), REPLAY)})
+    assert not release.blocked and release.record["rows"] == 24 - 3
+    held = [d for d in os.listdir(config.quarantine_root) if d.endswith("-events")]
+    rows = spark.read.parquet(os.path.join(config.quarantine_root, held[0])).collect()
+    assert len(rows) == 6 and {r["reason"] for r in rows} == {"identity_collision"}
+
+
+def test_a_release_of_nothing_is_blocked(another):
+    """Without a verified identity copies are not found: all decisions stand twice, are ambiguous, and none is left."""
+    release, _ = another({"replay_data_public.AAA.F.csv.gz": (lines_of() + b"900,g0,9,a,draw,s9\n", REPLAY)}, events=IdentityContract("event", "v1", None))
+    assert release.blocked and release.record["rows"] == 0
+    assert [r["detail"] for r in release.violations.where("gate = 'row_counts'").collect()] == ["0 of 48"]
+    stage = next(s for s in release.record["stages"] if s["stage"] == "decision")
+    assert (stage["read"], stage["accepted"], stage["quarantined"]) == (48, 0, 48)
+
+
+def test_archives_are_excluded_alone_and_with_a_reason(another):
+    """One that breaks off, one without its other side, and one of bytes already read: none blocks the release."""
+    release, _ = another({
+        "replay_data_public.BBB.F.csv.gz": (b'1,"g0,9,a,play,s9\n', REPLAY),
+        "replay_data_public.CCC.F.csv.gz": (lines_of(first=1000), REPLAY),
+        "replay_data_public.AAA.F.csv.gz": (lines_of() + b"x,g0,9,a,play,s9\n1,2\n", REPLAY),
+    })
+    assert not release.blocked and release.record["rows"] == 24
+    reasons = {os.path.basename(p): r for p, r in release.record["excluded"] if "/more/" in p}
+    assert reasons["replay_data_public.BBB.F.csv.gz"] == "fatal source error"
+    assert reasons["replay_data_public.CCC.F.csv.gz"] == "no game archive of CCC.F under a proven key"
+    # Which of two equal archives is read first follows from their paths.
+    assert any(r.startswith("the same bytes as") for _, r in release.record["excluded"])
+
+
+def test_views_and_report(spark, made):
+    _, _, release, _ = made
+    assert release.record["views"] == {"decision_imitation": 24, "replay_events": 48, "games": 8}
+    games = spark.read.parquet(os.path.join(release.top, "games"))
+    assert {r["normalized"]["result"] for r in games.collect()} == {"w"} and "raw" not in games.columns
+    assert games.schema["normalized"].dataType["result"].metadata["raw"] == "result"
+    events = spark.read.parquet(os.path.join(release.top, "replay_events"))
+    both = events.select("_game", "split").unionByName(games.select("_game", "split")).distinct()
+    assert both.count() == 8 and events.join(games, "game_id", "left_anti").count() == 0
+    report = {(r["stage"], r["metric"]): r["value"] for r in build.candidate_report(spark, release).collect()}
+    assert report["decision", "yield"] == "24/24" and report["quality", "observed_action_status observed"] == "24"
+    assert report["identity", "read of all"] == "56" and any(k[1] == "license verified" for k in report)
+
+
+def test_unsafe_inputs_are_refused_before_the_run(made):
+    from siltstone.operators import safety
+
+    config, evidence, _, _ = made
+    spark = __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    with pytest.raises(UnsafeDerivation, match="seen of earlier"):
+        build.build(spark, config, evidence_of(evidence.registry, build.take_inventory(spark, config), safety=SafetyMatrix("v", SAFE.safe[1:])))
+    events = spark.createDataFrame([("g", 1, "play", "s", 1)], "game string, pos long, action string, seen string, result long")
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("game").orderBy("pos")
+    contract = DecisionContract("d", "game", "pos", "action", ("play",), ("seen",))
+    safety.prove(events, contract, SAFE)
+    safety.prove(events.withColumn("seen", F.upper(F.lag("seen").over(order))), contract, SAFE)
+    for unsafe in (F.lead("seen").over(order), F.col("result"), F.max("seen").over(Window.partitionBy("game")), F.max("seen").over(order.rowsBetween(-1, 1)), F.concat("seen", F.lead("action").over(order))):
+        with pytest.raises(UnsafeDerivation):
+            safety.prove(events.withColumn("seen", unsafe.cast("string")), contract, SAFE)
+    table = {(r["field"], r["boundary"]): (r["safe"], r["evidence"]) for r in SAFE.frame(spark, ["seen", "result"]).collect()}
+    assert table["seen", "earlier"] == (True, "shown to the actor") and table["result", "earlier"] == (False, None) and len(table) == 6
+    with pytest.raises(ValueError):
+        SafetyMatrix("v", (("seen", "later", "why"),))
 
 
 def test_build_is_whole_and_repeatable(spark, made):
@@ -54,7 +165,7 @@ def test_build_is_whole_and_repeatable(spark, made):
 def test_unlicensed_sources_are_not_built(spark, made):
     config, evidence, _, _ = made
     with pytest.raises(JoinRefused):
-        build.build(spark, config, build.Evidence(evidence.registry, evidence.key, evidence.decision, evidence.split, {}))
+        build.build(spark, config, build.Evidence(evidence.registry, evidence.key, evidence.decision, evidence.split, {}, least_coverage=1.0, safety=SAFE))
 
 
 def test_manifest_tampering_and_publication(spark, made, tmp_path):
@@ -111,8 +222,9 @@ def test_views_and_quarantine(spark, tmp_path):
     df = spark.range(100).select("id", F.concat(F.lit("e"), F.col("id") % 3).alias("expansion"))
     files.write_view(df, str(tmp_path / "v"), files.partition_plan(df, ["expansion"]), ["id"], max_rows=10)
     assert files.artifact_manifest(spark, str(tmp_path / "v")).agg(F.sum("rows"), F.max("rows")).first()[0:2] == (100, 10)
-    assert files.shard_schema_problems(str(tmp_path / "v"), df.schema, ["expansion"]) == []
-    assert files.shard_schema_problems(str(tmp_path / "v"), df.schema) != []
+    shards = files.verified_shards(spark, str(tmp_path / "v"), df.schema, ["expansion"])
+    assert shards.where("problem IS NOT NULL").count() == 0 and shards.agg(F.sum("rows")).first()[0] == 100
+    assert {r["problem"] for r in files.verified_shards(spark, str(tmp_path / "v"), df.schema).collect()} == {"columns"}
     with pytest.raises(ValueError):
         files.partition_plan(df, ["id"], most=10)
     with pytest.raises(C.PathError):
@@ -144,7 +256,7 @@ def test_each_gate_finds_its_failure(spark):
         gates.provenance(one([("i", (["stray"],)), ("j", ([],))], "id string, provenance struct<source_archives:array<string>>"), "id", one([("known",)], "path string")),
         gates.privacy(inspection.privacy_holds(inspection.privacy_scan(one([("x@y.example",)], "t string"), ["t"]), one([], "column string, pattern string, decision string"))),
         gates.row_counts(counted, artifacts.withColumn("rows", F.lit(9).cast("long"))),
-        gates.parquet_readability(spark, [("p", "unreadable")]),
+        gates.parquet_readability(one([("p", None, "unreadable", "x"), ("q", 1, None, None)], files.SHARD)),
         gates.manifest(files.verify_manifest(artifacts, artifacts.limit(0))),
     ])
     assert {r["gate"] for r in gates.dispositions(found).collect()} == set(gates.GATES)
