@@ -55,6 +55,31 @@ def test_near_copies_equal_brute_force(spark):
     assert set(out) == plain_kept(rows) and len(out) == len(set(out))
 
 
+def test_texts_of_one_id_go_or_stay_by_themselves(spark):
+    copy, other = "a text that stands in two documents and is all alike", "this text stands nowhere else at all so it must stay"
+    rows = [(1, copy), (5, copy), (5, other), (5, other), (None, copy), (7, None), (7, "one text of seven that has no copy"), (3, ""), (9, " \n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(((r["doc_id"], r["text"]) for r in shingle_sets.keep_first(docs).collect()), key=repr)
+    assert kept == sorted([(1, copy), (5, other), (5, other), (None, copy), (7, "one text of seven that has no copy"), (3, "")], key=repr)
+
+
+def test_a_shingle_in_every_document(spark):
+    """All documents share a passage that is rarest in none or all of them; lists are compared in blocks."""
+    rng = random.Random(4)
+    passage = " ".join(f"p{k}" for k in range(12))
+    rows = []
+    for k in range(150):
+        own = [f"w{rng.randrange(10_000)}" for _ in range(rng.choice([0, 1, 2, 3, 8, 30]))]
+        rows.append((k, " ".join([passage, *own])))
+    for k in range(150, 200):  # near copies of some
+        words = rows[rng.randrange(150)][1].split()
+        words[-1] = "changed"
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for hot_list in (7, 10_000):
+        assert {r["doc_id"] for r in shingle_sets.keep_first(docs, hot_list).collect()} == plain_kept(rows)
+
+
 def test_near_copies_of_documents(spark):
     docs = spark.read.parquet(f"{SF_MORE}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
