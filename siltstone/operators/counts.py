@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 OUTCOMES = ("accepted", "rejected", "quarantined", "skipped")
@@ -14,6 +14,33 @@ def stage_counts(rows: DataFrame, stage: str, unit: str, outcome: str) -> DataFr
     return rows.groupBy(F.lit(stage).alias("stage"), F.col(unit).cast("string").alias("unit")).agg(F.count("*").alias("read"), *(F.count_if(x == o).alias(o) for o in OUTCOMES))
 
 
+def batch_counts(rows: DataFrame, unit: str, ordinal: str, outcome: str, batch_rows: int) -> DataFrame:
+    """(unit, batch, first, last, read, outcomes): a row for each ``batch_rows`` ordinals of each unit.
+
+    A record's batch follows from its place in its archive, so that runs and resumed runs agree.
+    """
+    x = F.col(outcome)
+    batch = F.floor(F.col(ordinal) / batch_rows).cast("long").alias("batch")
+    return rows.groupBy(F.col(unit).cast("string").alias("unit"), batch).agg(
+        F.min(ordinal).cast("long").alias("first"), F.max(ordinal).cast("long").alias("last"), F.count("*").alias("read"), *(F.count_if(x == o).alias(o) for o in OUTCOMES)
+    )
+
+
+def observed(rows: DataFrame, stage: str, outcome: str) -> tuple[DataFrame, Observation]:
+    """``rows``, whose counts by outcome the observation has once they have been written or counted."""
+    seen = Observation(stage)
+    return rows.observe(seen, F.count(F.lit(1)).alias("read"), *(F.count_if(F.col(outcome) == o).alias(o) for o in OUTCOMES)), seen
+
+
+def reconciled(seen: dict, written: DataFrame, outcome: str) -> list[tuple[str, int, int]]:
+    """(count, as observed, as read again) of what differs: none, if what was made was written once.
+
+    Observed counts take part in nothing else: a task that ran twice can be in them twice.
+    """
+    again = written.agg(F.count(F.lit(1)).alias("read"), *(F.count_if(F.col(outcome) == o).alias(o) for o in OUTCOMES)).first().asDict()
+    return [(k, seen[k], n) for k, n in again.items() if seen[k] != n]
+
+
 def conserve(counts: DataFrame) -> DataFrame:
     """Units whose outcomes do not add up to what was read: each blocks."""
     total = sum((F.col(o) for o in OUTCOMES), F.lit(0))

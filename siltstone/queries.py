@@ -19,7 +19,7 @@ from siltstone.functions.names import recognise
 from siltstone.operators import counts, decisions, duplicates, identity, joins, normalize, splits
 from siltstone.plans import digest, files, gates
 from siltstone.sources import gzcsv, inspection, inventory, manifest, registration
-from siltstone.sources.tables import fresh_table
+from siltstone.sources.tables import fresh_table, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -382,6 +382,19 @@ def count_conservation(spark, d):
     return counts.conserve(counts.stage_counts(outcomes(spark, d), "normalize", "event_type", "outcome"))
 
 
+SQL_BATCHES = "SELECT event_type AS unit, event_id // 1000 AS batch, min(event_id)::BIGINT AS first, max(event_id)::BIGINT AS last, count(*)::BIGINT AS read, " + ", ".join(f"count(*) FILTER (outcome = '{o}')::BIGINT AS {o}" for o in counts.OUTCOMES)
+
+
+@query(f"{SQL_BATCHES} FROM ({SQL_OUTCOMES}) GROUP BY ALL")
+def batch_counts(spark, d):
+    """Events by type as archives: outcomes of each thousand ordinals, as written, which agree with what was observed while writing."""
+    rows, seen = counts.observed(outcomes(spark, d).select("event_type", "event_id", "outcome"), "normalize", "outcome")
+    written = stored(rows, "batches")
+    if differ := counts.reconciled(seen.get, written, "outcome"):
+        raise ValueError(f"observed and written counts differ: {differ}")
+    return counts.batch_counts(written, "event_type", "event_id", "outcome", 1000)
+
+
 @query(f"SELECT stage, unit, " + ", ".join(f"sum({c})::BIGINT AS {c}" for c in ("read", *counts.OUTCOMES)) + f" FROM ({SQL_STAGE}) GROUP BY ROLLUP (stage, unit) HAVING stage IS NOT NULL")
 def stage_totals(spark, d):
     return counts.totals(counts.stage_counts(outcomes(spark, d), "normalize", "event_type", "outcome"))
@@ -506,6 +519,27 @@ def catalog_digest(spark, d):
     return manifest.catalog_digest(manifest.semantic_projection(supplier_catalog(spark, d)))
 
 
+@query("""
+WITH s AS (SELECT l_suppkey AS k, l_shipdate AS day, l_linestatus AS fingerprint, CASE WHEN l_returnflag = 'R' THEN 'truncated' END AS problem FROM lineitem WHERE l_shipdate <= DATE '1998-01-01'),
+f AS (SELECT k, fingerprint, problem, count(*) AS times FROM s GROUP BY ALL),
+r AS (SELECT k, sum(times)::BIGINT AS inspections, count(*)::BIGINT AS findings, count(DISTINCT fingerprint)::BIGINT AS fingerprints, count(problem)::BIGINT AS problems FROM f GROUP BY k),
+t AS (SELECT k, max(day) AS last FROM s GROUP BY k)
+SELECT s_name, coalesce(inspections, 0)::BIGINT AS inspections, coalesce(findings, 0)::BIGINT AS findings, t.last::TIMESTAMP AS last,
+  array_to_string(list_filter(['source_url_missing', 'license_not_verified', 'never_inspected', 'inspections_disagree', 'inspection_problem'],
+    lambda x: x IN ('source_url_missing', 'license_not_verified') OR (x = 'never_inspected' AND inspections IS NULL) OR (x = 'inspections_disagree' AND fingerprints > 1) OR (x = 'inspection_problem' AND problems > 0)), ',') AS diagnostics
+FROM supplier LEFT JOIN r ON r.k = s_suppkey LEFT JOIN t ON t.k = s_suppkey""")
+def audit_catalog(spark, d):
+    """Suppliers as archives, their lines as inspections appended to a table, as of a day."""
+    names = supplier_catalog(spark, d).join(table(spark, d, "supplier").select(registration.archive_id("demo", F.col("s_name")).alias("source_archive_id"), "s_name", "s_suppkey"), "source_archive_id")
+    lines = table(spark, d, "lineitem").join(names.select("source_archive_id", "s_suppkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    found = manifest.inspected(lines.select("source_archive_id", F.col("l_linestatus").alias("raw_schema_fingerprint"), F.when(F.col("l_returnflag") == "R", "truncated").alias("problem"), F.col("l_shipdate").cast("timestamp").alias("inspected_at")), "header", "first record")
+    path = fresh_table(spark, "inspections")
+    for half in (0, 1):  # two runs
+        manifest.append_inspections(found.where(F.month("inspected_at") % 2 == half), path)
+    made = manifest.audit_catalog(names, spark.read.parquet(path), F.lit("1998-01-01").cast("timestamp"))
+    return made.select("s_name", F.coalesce("inspections", F.lit(0)).alias("inspections"), F.coalesce("findings", F.lit(0)).alias("findings"), F.element_at("latest", 1)["last"].alias("last"), F.array_join("diagnostics.code", ",").alias("diagnostics"))
+
+
 @query(f"SELECT id AS source_archive_id FROM ({SQL_CATALOG}) WHERE s_name NOT IN (SELECT s_name FROM supplier WHERE s_suppkey % 2 = 0)")
 def registration_append(spark, d):
     """Registering all suppliers where those of even key are known: the others are new."""
