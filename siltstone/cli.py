@@ -44,6 +44,8 @@ def run(verb: str, config: Config, evidence_module: str | None, release: str | N
         elif verb == "inspect":
             emit(inspection.group_schemas(catalog))
             emit(inspection.reconcile_counts(catalog))
+            reports = catalog.where("source_archive_id IS NOT NULL").select("source_archive_id", "raw_schema_fingerprint", "problem", F.current_timestamp().alias("inspected_at"))
+            manifest.append_inspections(manifest.inspected(reports, "header-1", "first record"), resolve_under(config.intermediate_root, "inspections"))
         elif verb == "manifest":
             records = registration.registrations(catalog.select("path", "file_name", "source_kind", "expansion", "format"), catalog.select("path", "sha256", "compressed_bytes"), config.provider)
             emit(manifest.catalog_digest(manifest.semantic_projection(records)))

@@ -35,7 +35,7 @@ def observed(rows: DataFrame, stage: str, outcome: str) -> tuple[DataFrame, Obse
 def reconciled(seen: dict, written: DataFrame, outcome: str) -> list[tuple[str, int, int]]:
     """(count, as observed, as read again) of what differs: none, if what was made was written once.
 
-    Observed counts take part in nothing else: a task that ran twice can be in them twice.
+    Where a shuffle follows what is observed, a task that ran twice can be in it twice; observe in the stage that writes.
     """
     again = written.agg(F.count(F.lit(1)).alias("read"), *(F.count_if(F.col(outcome) == o).alias(o) for o in OUTCOMES)).first().asDict()
     return [(k, seen[k], n) for k, n in again.items() if seen[k] != n]

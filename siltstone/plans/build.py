@@ -113,7 +113,8 @@ def normalized_units(spark: SparkSession, config: Config, archives: list[dict],
             continue
         seen[a["source_archive_id"]] = a["path"]
         unit = units.checkpoint_id(a["sha256"], a["raw_schema_fingerprint"], contract.digest(), STAGE_VERSION, config_digest(config))
-        rows, _ = units.run_unit(spark, config.intermediate_root, "normalize", unit, lambda a=a, c=contract: typed_archive(spark, config, a["path"], c))
+        typed, seen_counts = counts.observed(typed_archive(spark, config, a["path"], contract), f"normalize-{unit}", "outcome")
+        rows, _ = units.run_unit(spark, config.intermediate_root, "normalize", unit, lambda df=typed: df, lambda written, o=seen_counts: agreed(o.get, written))
         if rows.where("outcome = 'fatal'").head(1):
             found.excluded.append((a["path"], "fatal source error"))
             continue
@@ -133,6 +134,16 @@ def normalized_units(spark: SparkSession, config: Config, archives: list[dict],
     return found
 
 
+def agreed(seen: dict, written: DataFrame) -> None:
+    """Refuse a unit whose rows read again are not those seen being written.
+
+    The stage that counts them also writes them, and a task that was lost and ran again is counted once.
+    """
+    differ = counts.reconciled(seen, written, "outcome")
+    if differ:
+        raise ValueError(f"rows as written and as read again differ: {differ}")
+
+
 def unpaired(spark: SparkSession, archives: list[dict], key: joins.KeyEvidence) -> list[tuple[str, str]]:
     """Archives that have no other side of their expansion and format under a proven key."""
     if not archives:
@@ -252,6 +263,7 @@ def build(spark: SparkSession, config: Config, evidence: Evidence, execution: di
         conserved(spark, "join", expected, entered, 0),
         conserved(spark, "decision", decisions_made, released["decision_imitation"], decisions_held, skipped),
     ]
+    counts.batch_counts(outcomes, "archive", "record_ordinal", "outcome", config.limits.batch_rows).write.parquet(os.path.join(resolve_under(config.intermediate_root, "batches"), f"{short}-{uuid.uuid4().hex[:12]}"))
     join_row = spark.createDataFrame([(join_report["cardinality"], join_report["matched_keys"], join_report["left_only_keys"])], "cardinality string, matched_keys long, left_only_keys long")
     shown = spark.createDataFrame([(sum(released.values()),)], "rows long")
     wanted = conserved(spark, "release", released["decision_imitation"] + events.count() + games.count(), released["decision_imitation"] + events.count() + games.count(), 0)

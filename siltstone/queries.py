@@ -435,6 +435,29 @@ def column_profile(spark, d):
     return inspection.profile(table(spark, d, "documents"), PROFILED)
 
 
+def changed_orders(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Orders, and a later version of them: a column renamed, one gone, one new, one of other type, one with nulls, one renamed falsely."""
+    old = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    new = old.select(
+        F.col("o_orderkey"), F.col("o_custkey").alias("o_customer"), F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.concat(F.lit("EUR "), F.col("o_totalprice").cast("string")).alias("o_totalprice"), F.col("o_orderkey").alias("o_rank"), F.col("o_orderdate"), F.lit("x").alias("o_note"),
+    )
+    return old, new
+
+
+@query("""
+SELECT 'o_orderkey' AS column, 'o_orderkey' AS new_column, CASE WHEN count(o_orderkey) > 0 THEN 'none' END AS drift FROM orders
+UNION ALL SELECT 'o_custkey', 'o_customer', CASE WHEN count(*) = count(o_custkey) THEN 'renamed' END FROM orders
+UNION ALL SELECT 'o_orderstatus', 'o_orderstatus', CASE WHEN count(o_orderstatus) = count(*) AND count(*) FILTER (o_orderkey % 7 = 0) > 0 THEN 'nullability' ELSE 'none' END FROM orders
+UNION ALL SELECT 'o_totalprice', 'o_totalprice', CASE WHEN count(o_totalprice) > 0 THEN 'type' ELSE 'none' END FROM orders
+UNION ALL SELECT 'o_orderpriority', NULL, 'removed' UNION ALL SELECT NULL, 'o_rank', 'added' UNION ALL SELECT 'o_orderdate', 'o_orderdate', 'semantic' UNION ALL SELECT NULL, 'o_note', 'added'""")
+def profile_drift(spark, d):
+    """Drift of every class between the profiles of two versions, with declared renames and meanings; one rename is not so."""
+    old, new = changed_orders(spark, d)
+    profiles = [inspection.profile(x, x.columns) for x in (old, new)]
+    return inspection.profile_drift(*profiles, {"o_custkey": "o_customer", "o_orderpriority": "o_rank"}, {"o_orderdate": ("day of order", "day of delivery"), "o_orderkey": ("key", "key")})
+
+
 def sql_privacy(t: str, c: str) -> str:
     return " UNION ALL ".join(f"SELECT '{c}' AS column, '{k}' AS pattern, count(*) FILTER (regexp_matches({c}, '{p}'))::BIGINT AS hits FROM {t}" for k, p in inspection.IDENTIFYING.items())
 

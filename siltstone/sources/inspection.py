@@ -144,6 +144,41 @@ def type_drift(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.where("old_kind <> new_kind OR old_nullable <> new_nullable")
 
 
+def evidence_kind(p: str) -> Column:
+    """The narrowest kind that all of a profiled column's values have."""
+    full = F.col(f"{p}.rows") - F.col(f"{p}.nulls") - F.col(f"{p}.empty")
+    kind = F.when(full == 0, "none")
+    for c in ("integer", "boolean", "timestamp", "decimal"):
+        kind = kind.when(F.col(f"{p}.{c}") == full, c)
+    return kind.otherwise("string")
+
+
+def profile_drift(old: DataFrame, new: DataFrame, renames: dict[str, str] | None = None, meanings: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """(column, new_column, drift): how each column of two versions' profiles differs.
+
+    ``renames`` are declared, and hold only if the evidence of both columns agrees: else the column counts as
+    removed and the other as added.  ``meanings`` has the declared semantic class of a column in either version,
+    by its old name.  Of several classes the first of: removed, added, semantic, type, nullability, renamed, none.
+    """
+    renames, meanings = renames or {}, meanings or {}
+    named = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in renames.items() for x in kv)), F.col("column")), F.col("column")) if renames else F.col("column")
+    changed = [c for c, (a, b) in meanings.items() if a != b]
+    both = old.withColumn("_as", named).alias("o").join(new.alias("n"), F.col("o._as") == F.col("n.column"), "full_outer")
+    kinds, nulls = (evidence_kind("o"), evidence_kind("n")), (F.col("o.nulls") > 0, F.col("n.nulls") > 0)
+    moved = F.col("o.column") != F.col("n.column")
+    false_name = F.coalesce(moved & (kinds[0] != kinds[1]), F.lit(False))
+    drift = (
+        F.when(F.col("n.column").isNull(), "removed").when(F.col("o.column").isNull(), "added")
+        .when(F.col("o.column").isin(changed) if changed else F.lit(False), "semantic")
+        .when(kinds[0] != kinds[1], "type").when(nulls[0] != nulls[1], "nullability").when(moved, "renamed").otherwise("none")
+    )
+    one = lambda a, b, d: F.struct(a.alias("column"), b.alias("new_column"), d.alias("drift"))
+    null = F.lit(None).cast("string")
+    apart = F.array(one(F.col("o.column"), null, F.lit("removed")), one(null, F.col("n.column"), F.lit("added")))
+    rows = both.select(F.explode(F.when(false_name, apart).otherwise(F.array(one(F.col("o.column"), F.col("n.column"), drift)))).alias("r"))
+    return rows.select("r.*")
+
+
 class ContractError(ValueError):
     """No contract allows what was found."""
 
