@@ -18,7 +18,7 @@ from siltstone.functions import canonical
 from siltstone.functions.names import recognise
 from siltstone.operators import counts, decisions, duplicates, identity, joins, normalize, splits
 from siltstone.plans import digest, files, gates
-from siltstone.sources import gzcsv, inspection, inventory, manifest, registration
+from siltstone.sources import external, gzcsv, inspection, inventory, manifest, registration
 from siltstone.sources.tables import fresh_table, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -312,6 +312,34 @@ def outcome_coverage(spark, d):
     return counts.missingness(table(spark, d, "documents").select("doc_id", "lang").join(table(spark, d, "labels"), "doc_id", "left"), ["quality", "toxic"], ["lang"])
 
 
+PART_FACTS = external.ExternalSource("part-metadata", "makers", ("p_partkey",), "version", "valid_from", ("p_brand", "p_size"), "verified", "letter")
+SQL_VERSIONS = "SELECT p_partkey, p_brand, p_size, 'v1' AS version, DATE '1990-01-01' AS valid_from FROM part UNION ALL SELECT p_partkey, p_brand, p_size + 100, 'v2', DATE '1995-06-01' FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT p_partkey, p_brand, p_size + 200, 'v3', DATE '1999-01-01' FROM part"
+
+
+def part_versions(spark, d) -> DataFrame:
+    """Parts as metadata of another source: a third has a second version, and all a third that is not yet valid."""
+    parts = table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
+    dated = lambda df, more, version, day: df.select("p_partkey", "p_brand", (F.col("p_size") + more).alias("p_size"), F.lit(version).alias("version"), F.to_date(F.lit(day)).alias("valid_from"))
+    return dated(parts, 0, "v1", "1990-01-01").unionByName(dated(parts.where("p_partkey % 3 = 0"), 100, "v2", "1995-06-01")).unionByName(dated(parts, 200, "v3", "1999-01-01"))
+
+
+@query(f"""
+WITH v AS (SELECT * FROM ({SQL_VERSIONS}) WHERE valid_from <= DATE '1998-01-01' QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY valid_from DESC) = 1)
+SELECT l_orderkey, l_linenumber, l_partkey, p_brand AS brand, p_size AS size, CASE WHEN p_partkey IS NOT NULL THEN 'makers' END AS provider, version,
+  CASE WHEN p_partkey IS NOT NULL THEN 'external:v1:' || sha256('s6:makers;s13:part-metadata;' || {tag("s", "version")}) END AS external_id
+FROM lineitem LEFT JOIN v ON p_partkey = l_partkey + (CASE WHEN l_linenumber = 7 THEN 1000000000 ELSE 0 END)""")
+def external_metadata(spark, d):
+    """Lines with their part's metadata beside them as of a day; lines of one number have none."""
+    lines = table(spark, d, "lineitem").withColumn("part", F.col("l_partkey") + F.when(F.col("l_linenumber") == 7, 1_000_000_000).otherwise(0))
+    found = external.beside(lines, part_versions(spark, d), PART_FACTS, {"p_partkey": "part"}, F.to_date(F.lit("1998-01-01")))
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", F.col("external.p_brand").alias("brand"), F.col("external.p_size").alias("size"), "external.provenance.provider", "external.provenance.version", "external.provenance.external_id")
+
+
+@query(f"SELECT 'external:v1:' || sha256('s6:makers;s13:part-metadata;' || {tag('s', 'version')}) AS external_id, version, min(valid_from)::VARCHAR AS valid_from, count(*)::BIGINT AS rows FROM ({SQL_VERSIONS}) GROUP BY version")
+def external_versions(spark, d):
+    return external.versions(part_versions(spark, d), PART_FACTS).select("external_id", "version", F.col("valid_from").cast("string").alias("valid_from"), "rows")
+
+
 # --- decisions
 
 EVENTS = DecisionContract("decision-v1", "user_id", "event_id", "event_type", ("purchase", "signup"), ("value",), history=3, outcome=("props",))

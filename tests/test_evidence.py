@@ -1,11 +1,13 @@
 """Batch counts, stored inspections and drift of profiles."""
 
+from dataclasses import replace
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators import counts
-from siltstone.sources import inspection, manifest
+from siltstone.sources import external, inspection, manifest
 
 
 def test_observed_counts_agree_with_what_is_written_and_show_a_loss(spark, tmp_path):
@@ -46,3 +48,23 @@ def test_renames_hold_only_if_the_evidence_agrees(spark):
     assert sorted(((r["column"] or "", r["new_column"] or "", r["drift"]) for r in found.collect())) == [("", "t", "added"), ("e", "e", "none"), ("n", "m", "renamed"), ("s", "", "removed")]
     plain = inspection.profile_drift(inspection.profile(old, old.columns), inspection.profile(old, old.columns))
     assert {r["drift"] for r in plain.collect()} == {"none"}
+
+
+SIDE = external.ExternalSource("cards", "maker", ("k",), "version", "since", ("colour",), "verified", "letter")
+
+
+def test_external_facts_stay_beside_and_are_refused_without_licence(spark):
+    records = spark.createDataFrame([("a", "mine"), ("a", "mine"), ("b", "mine"), (None, "mine"), ("z", "mine")], "card string, colour string")
+    rows = spark.createDataFrame([("a", "v1", 1, "red"), ("a", "v2", 5, "blue"), ("a", "v3", 9, "green"), ("b", "v3", 9, "green"), (None, "v1", 1, "none")], "k string, version string, since int, colour string")
+    found = external.beside(records, rows, SIDE, {"k": "card"}, F.lit(6)).orderBy("card").collect()
+    assert [(r["card"], r["colour"], r["external"] and (r["external"]["colour"], r["external"]["provenance"]["version"])) for r in found] == [(None, "mine", None), ("a", "mine", ("blue", "v2")), ("a", "mine", ("blue", "v2")), ("b", "mine", None), ("z", "mine", None)]
+    assert found[1]["external"]["provenance"]["license_evidence"] == "letter"
+    for bad in (replace(SIDE, license_status="pending"), replace(SIDE, license_evidence=""), replace(SIDE, key=("k", "j"))):
+        with pytest.raises(external.ExternalRefused):
+            external.beside(records, rows, bad, {"k": "card"}, F.lit(6))
+    with pytest.raises(external.ExternalRefused, match="binary"):
+        external.beside(records, rows.withColumn("colour", F.col("colour").cast("binary")), SIDE, {"k": "card"}, F.lit(6))
+    with pytest.raises(external.ExternalRefused, match="two things"):
+        external.beside(records, rows.unionByName(rows.withColumn("colour", F.lit("other"))), SIDE, {"k": "card"}, F.lit(6))
+    with pytest.raises(external.ExternalRefused, match="have a column"):
+        external.beside(records, rows, SIDE, {"k": "card"}, F.lit(6), "colour")
