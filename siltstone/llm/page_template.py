@@ -415,17 +415,23 @@ def container_of(template: Template, element: Element) -> int:
 
 def measures(template: Template, page: str) -> Counter:
     """What a page adds to the template's measures: (what, a, b, c, d, value)."""
-    found: Counter = Counter()
-    slots = Slots(template)
+    held: dict[tuple, list[int]] = {}
+    slots, chain, container = Slots(template), None, 0
     for event, place in template.tokens(page):
         if event[0] is None:
-            kind, at = slots.here()
-            where, n = (1, kind, at, container_of(template, event[2]), int(event[2].boilerplate)), len(event[1])
-            found[where, "n"] += n
+            element = event[2]
+            if element.chain is not chain:  # one object for all that an element holds
+                chain, container = element.chain, container_of(template, element)
+            n, sums = len(event[1]), held.setdefault((*slots.here(), container, element.boilerplate), [0, 0])
+            sums[0] += n
             if event[3]:
-                found[where, "m"] += n
+                sums[1] += n
         if place is not None:
             slots.take(*place)
+    found: Counter = Counter()
+    for (kind, at, inside, boilerplate), (n, m) in held.items():
+        found[(1, kind, at, inside, int(boilerplate)), "n"] += n
+        found[(1, kind, at, inside, int(boilerplate)), "m"] += m
     for (kind, *parent), n in slots.begun.items():
         found[(0, kind, *parent, 0), "n"] += n
         found[(0, kind, *parent, 0), "m"] += slots.ended[(kind, *parent)]
@@ -451,7 +457,7 @@ def main_text(template: Template, page: str) -> str:
         other.clear()
         own, linked = False, [0, 0, False]
 
-    seen, whole, common = False, 0, 0
+    seen, whole, common, chain, inside = False, 0, 0, None, False
     for event, place in template.tokens(page):
         if event[0] is not None:
             if event[1] == "\n":
@@ -461,7 +467,9 @@ def main_text(template: Template, page: str) -> str:
                 other.append(event[1])
         elif not event[2].boilerplate:
             text = entities.unescape(event[1]) if "&" in event[1] else event[1]
-            inside = bool(template.container) and any(e.path == template.container for e in event[2].chain)
+            if event[2].chain is not chain:
+                chain = event[2].chain
+                inside = bool(template.container) and any(e.path == template.container for e in chain)
             seen |= inside
             if inside and slots.here() in template.slots:
                 repeated = place is not None and place[0] in fixed
