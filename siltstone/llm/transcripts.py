@@ -1,9 +1,16 @@
 """Roles of transcript lines by a hidden Markov model, and canonical turns.
 
-Each line is observed as its speaker marker and a few features (a question, a
-small first letter, its length).  The states are the roles, each at the first
-line of a turn or inside one; Viterbi's path gives every line a role, and
-``parse`` renders each row's lines with a header where a turn begins.
+Each line is observed as its speaker marker and a few features of the text after
+it (whether it opens its row, a question, a small first letter, its length).  The
+states are the roles, each at the first line of a turn or inside one; Viterbi's
+path gives every line a role, and ``parse`` renders each row's lines with a header
+where a turn begins.
+
+The probabilities are fitted to the transcripts themselves, without labels:
+Spark counts, over all lines, which observation follows which (a table of fixed
+size, however long the input), and expectation-maximisation on those counts
+starts from, and is held towards, stated beliefs (``model``).  Few or no
+lines leave the beliefs as they are.
 
 A conversation is a chain however long.  Its rows are range-partitioned by
 conversation and position and cut in chunks; a chunk gives the best score from
@@ -25,10 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut
+from siltstone.llm.common import cut, let
 from siltstone.llm.simhash import spark_partitions
 
 CHUNK = 1024
@@ -42,50 +50,158 @@ MARKERS = {
     "user": r"(?i)^\s*(?:#{1,4}\s*|<\|)?\[?(?:user|human|customer|you|q)\]?(?:\|>|\s*[:>])\s*",
     "assistant": r"(?i)^\s*(?:#{1,4}\s*|<\|)?\[?(?:assistant|ai|bot|agent|a)\]?(?:\|>|\s*[:>])\s*",
 }
-# Probabilities of the model.
+# The beliefs that fitting starts from.
 OWN_MARKER, NO_MARKER_FIRST, NO_MARKER_INSIDE = 0.75, 0.24, 0.985
+OPENS_FIRST, OPENS_INSIDE = 0.9, 0.3
 QUESTION = {"system": 0.03, "user": 0.35, "assistant": 0.08}
 SMALL_FIRST, SMALL_INSIDE = 0.1, 0.4
 LENGTHS = {"system": (0.4, 0.4, 0.2), "user": (0.6, 0.3, 0.1), "assistant": (0.3, 0.4, 0.3)}
 START = {"system": 0.25, "user": 0.65, "assistant": 0.1}
 GO_ON = 0.35
 NEXT = {"system": (0.04, 0.86, 0.1), "user": (0.02, 0.08, 0.9), "assistant": (0.02, 0.92, 0.06)}
+#: A belief weighs as much as so many observed lines.  Rounds of fitting.
+BELIEF, ROUNDS = 20.0, 200
+#: What is observed of a line: marker (none, or a role's), whether it goes on with a row, question, small first letter, length.
+SHAPE = (1 + len(ROLES), 2, 2, 2, 3)
+CODES = 96
 
 
-def model() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log-probabilities: of starting states, of steps, of observations by state."""
+def probabilities(log: np.ndarray) -> np.ndarray:
+    return np.where(log > -1e8, np.exp(np.maximum(log, -1e8)), 0.0)
+
+
+def logs(p: np.ndarray) -> np.ndarray:
+    return np.where(p > 0, np.log(np.maximum(p, 1e-300)), -1e9)
+
+
+def joint(factors: list[np.ndarray]) -> np.ndarray:
+    """(states, CODES): a state's features are independent of each other."""
+    found = np.ones((STATES, 1))
+    for f in factors:
+        found = (found[:, :, None] * f[:, None, :]).reshape(STATES, -1)
+    return found
+
+
+def beliefs() -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Probabilities of starting states, of steps, and of each feature by state."""
     n = len(ROLES)
-    start = np.full(STATES, -1e9)
-    start[:n] = np.log([START[r] for r in ROLES])
-    step = np.full((STATES, STATES), -1e9)
+    start, step = np.zeros(STATES), np.zeros((STATES, STATES))
+    start[:n] = [START[r] for r in ROLES]
+    rows: list[list] = [[] for _ in SHAPE]
     for k, r in enumerate(ROLES):
         for before in (k, k + n):
-            step[before, k + n] = np.log(GO_ON)
-            step[before, :n] = np.log((1 - GO_ON) * np.array(NEXT[r]))
-    seen = np.zeros((STATES, 48))
-    for code in range(48):
-        marker, question, small, length = code // 12, code // 6 % 2, code // 3 % 2, code % 3
+            step[before, k + n] = GO_ON
+            step[before, :n] = (1 - GO_ON) * np.array(NEXT[r])
+    for inside in (0, 1):
         for k, r in enumerate(ROLES):
-            for inside in (0, 1):
-                none = NO_MARKER_INSIDE if inside else NO_MARKER_FIRST
-                own = (1 - none) / n if inside else OWN_MARKER
-                other = (1 - none - own) / (n - 1)
-                p = none if marker == 0 else own if marker == k + 1 else other
-                p *= QUESTION[r] if question else 1 - QUESTION[r]
-                low = SMALL_INSIDE if inside else SMALL_FIRST
-                p *= low if small else 1 - low
-                seen[k + n * inside, code] = np.log(p * LENGTHS[r][length])
-    return start, step, seen
-
-
-def observed(line: Column) -> Column:
-    """A line's code, 0 to 47: marker, question, small first letter and length."""
+            none = NO_MARKER_INSIDE if inside else NO_MARKER_FIRST
+            own = (1 - none) / n if inside else OWN_MARKER
+            marker = [none] + [(1 - none - own) / (n - 1)] * n
+            marker[k + 1] = own
+            opens, low = (OPENS_INSIDE, SMALL_INSIDE) if inside else (OPENS_FIRST, SMALL_FIRST)
+            for row, p in zip(rows, (marker, [opens, 1 - opens], [1 - QUESTION[r], QUESTION[r]], [1 - low, low], LENGTHS[r]), strict=True):
+                row.append(p)
+    return start / start.sum(), step / step.sum(axis=1, keepdims=True), [np.array(x) / np.sum(x, axis=1, keepdims=True) for x in rows]
+
+
+def model() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-probabilities by belief alone: of starting states, of steps, of observations by state."""
+    start, step, factors = beliefs()
+    return logs(start), logs(step), logs(joint(factors))
+
+
+def fitted(starts: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The model of greatest likelihood for observations that start and that follow each other, held towards the beliefs.
+
+    ``starts`` counts first lines by code, ``pairs`` adjacent lines by both codes.
+    Each round spreads every count over the states, or pairs of states, by how
+    probable they make it, and takes the shares as the next probabilities.
+    """
+    start0, step0, factors0 = beliefs()
+    start, step, factors = start0, step0, factors0
+    prior = np.full(STATES, 1 / STATES)  # of the first line of a pair
+    for _ in range(ROUNDS):
+        seen = joint(factors)
+        first = start[:, None] * seen
+        first *= np.divide(starts, first.sum(axis=0), out=np.zeros(CODES), where=starts > 0)
+        left, right = prior[:, None] * seen, step @ seen
+        ratio = np.divide(pairs, left.T @ right, out=np.zeros((CODES, CODES)), where=pairs > 0)
+        steps = step * (left @ ratio @ seen.T)
+        before, after = left * (right @ ratio.T), seen * (step.T @ (left @ ratio))
+        lines = (first + before + after).reshape(STATES, *SHAPE)
+        start = first.sum(axis=1) + BELIEF * start0
+        start = start / start.sum()
+        prior = (before.sum(axis=1) + BELIEF / STATES) / (before.sum() + BELIEF)
+        step = steps + BELIEF * step0
+        step = step / step.sum(axis=1, keepdims=True)
+        counts = [lines.sum(axis=tuple(a + 1 for a in range(len(SHAPE)) if a != k)) + BELIEF * f for k, f in enumerate(factors0)]
+        factors = [c / c.sum(axis=1, keepdims=True) for c in counts]
+    return logs(start), logs(step), logs(joint(factors))
+
+
+def counted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of codes that start a conversation, and of codes by the one before, over all lines of ``ordered``.
+
+    Tasks count their own stretch of rows; what their first and last lines are is
+    one row each, and joined here.  At most ``CODES`` times ``CODES`` counts come to the driver.
+    """
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, pairs = np.zeros(CODES, np.int64), np.zeros((CODES, CODES), np.int64)
+        head = last = None
+        for batch in batches:
+            for conv, obs in zip(batch["conv"].to_pylist(), batch["obs"], strict=True):
+                codes = obs.values.to_numpy()
+                if last is None:
+                    head = (conv, int(codes[0]))
+                elif last[0] == conv:
+                    pairs[last[1], codes[0]] += 1
+                else:
+                    starts[codes[0]] += 1
+                np.add.at(pairs, (codes[:-1], codes[1:]), 1)
+                last = (conv, int(codes[-1]))
+        if last is None:
+            return
+        task = TaskContext.get().partitionId()
+        found = [("start", 0, "", 0, int(a), int(starts[a])) for a in np.flatnonzero(starts)]
+        found += [("pair", 0, "", int(a), int(b), int(pairs[a, b])) for a, b in np.argwhere(pairs)]
+        found += [("head", task, head[0], 0, head[1], 1), ("tail", task, last[0], 0, last[1], 1)]
+        yield pa.RecordBatch.from_pydict(dict(zip(("kind", "task", "conv", "a", "b", "n"), (list(x) for x in zip(*found, strict=True)), strict=True)))
+
+    lean = rows.select("seq", F.md5("conv").alias("conv"), "obs").repartitionByRange("seq").sortWithinPartitions("seq").select("conv", "obs")
+    counts = lean.mapInArrow(tally, "kind string, task long, conv string, a long, b long, n long").groupBy("kind", "task", "conv", "a", "b").agg(F.sum("n").alias("n")).collect()
+    starts, pairs = np.zeros(CODES), np.zeros((CODES, CODES))
+    ends = {}
+    for r in counts:
+        if r["kind"] == "pair":
+            pairs[r["a"], r["b"]] += r["n"]
+        elif r["kind"] == "start":
+            starts[r["b"]] += r["n"]
+        else:
+            ends[(r["task"], r["kind"])] = (r["conv"], r["b"])
+    before = None
+    for task in sorted({t for t, _ in ends}):
+        conv, code = ends[(task, "head")]
+        if before is not None and before[0] == conv:
+            pairs[before[1], code] += 1
+        else:
+            starts[code] += 1
+        before = ends[(task, "tail")]
+    return starts, pairs
+
+
+def observed(line: Column, place: Column) -> Column:
+    """The code, 0 to 95, of a row's line at ``place`` (from 0): as ``SHAPE`` says, features being of the text after the marker."""
     marker = F.lit(0)
     for k, r in enumerate(ROLES):
         marker = F.when(line.rlike(MARKERS[r]), k + 1).otherwise(marker)
-    bare = F.rtrim(line)
-    length = F.when(F.length(line) < 80, 0).when(F.length(line) < 400, 1).otherwise(2)
-    return marker * 12 + bare.endswith("?").cast("int") * 6 + line.rlike(r"^\s*\p{Ll}").cast("int") * 3 + length
+    goes_on = (place > 0).cast("int")
+
+    def features(bare: Column) -> Column:
+        length = F.when(F.length(bare) < 80, 0).when(F.length(bare) < 400, 1).otherwise(2)
+        return F.rtrim(bare).endswith("?").cast("int") * 6 + bare.rlike(r"^\s*\p{Ll}").cast("int") * 3 + length
+
+    return marker * 24 + goes_on * 12 + let(bare_text(line), features)
 
 
 def bare_text(line: Column) -> Column:
@@ -171,11 +287,11 @@ def ordered(lines: DataFrame) -> DataFrame:
     return cut(rows.withColumn("seq", F.monotonically_increasing_id()).withColumn("obs", F.transform(F.split("text", "\n"), observed)).drop("tie"), "transcripts")
 
 
-def roles(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(seq, states): the state of every line of each row of ``ordered``."""
+def roles(rows: DataFrame, chunk: int = CHUNK, parts: tuple | None = None) -> DataFrame:
+    """(seq, states): the state of every line of each row of ``ordered``, by the model ``parts`` (none: fitted to the rows)."""
     lean = rows.select(F.floor(F.col("seq") / chunk).cast("long").alias("chunk"), "seq", "conv", "obs")
     dealt = lambda: lean.repartition(spark_partitions(rows), "chunk").sortWithinPartitions("chunk", "seq")
-    parts = model()
+    parts = parts or fitted(*counted(rows))
 
     def flat(table: pa.Table, low: int, high: int) -> np.ndarray:
         return np.concatenate([np.asarray(x, np.int64) for x in table["obs"].slice(low, high - low).to_pylist()])
