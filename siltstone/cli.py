@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.plans import build as plans
-from siltstone.plans import files
+from siltstone.plans import files, resources
 from siltstone.plans.stats import Stats
 from siltstone.sources import inspection, manifest, registration
 from siltstone.sources.config import Config, config_digest, load_config, resolve_under
@@ -32,7 +32,7 @@ def emit(df: DataFrame) -> None:
         print(row)
 
 
-def run(verb: str, config: Config, evidence_module: str | None, release: str | None) -> int:
+def run(verb: str, config: Config, evidence_module: str | None, release: str | None, event_log: str | None = None) -> int:
     spark = session()
     stats = Stats(config_digest(config))
     if verb in ("inventory", "inspect", "manifest", "stats"):
@@ -51,6 +51,8 @@ def run(verb: str, config: Config, evidence_module: str | None, release: str | N
             emit(manifest.catalog_digest(manifest.semantic_projection(records)))
         else:
             emit(stats.frame(spark))
+            if event_log:
+                emit(resources.stage_resources(resources.events(spark, event_log)).orderBy("stage"))
         return 0
     if verb == "validate":
         top = resolve_under(config.release_root, release or "")
@@ -79,9 +81,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--config", required=True)
     parser.add_argument("--evidence", help="module with evidence(), for normalize and build")
     parser.add_argument("--release", help="name of a release below the release root, for validate")
+    parser.add_argument("--event-log", help="Spark's event log of a run whose stages' resources stats reports")
     given = parser.parse_args(argv)
     try:
-        return run(given.verb, load_config(given.config), given.evidence, given.release)
+        return run(given.verb, load_config(given.config), given.evidence, given.release, given.event_log)
     except Exception as error:  # the command's boundary
         print(json.dumps({"command_failure": f"{type(error).__name__}: {error}"}), file=sys.stderr)
         return 2

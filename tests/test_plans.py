@@ -288,6 +288,10 @@ def test_command_line(spark, made, capsys, tmp_path, monkeypatch):
         json.dump({"raw_roots": list(config.raw_roots), "intermediate_root": config.intermediate_root, "quarantine_root": config.quarantine_root, "release_root": config.release_root, "provider": "demo"}, f)
     for verb in ("inventory", "inspect", "manifest", "stats"):
         assert cli.main([verb, "--config", path]) == 0
+    (tmp_path / "app-1").write_text(json.dumps({"Event": "SparkListenerStageCompleted", "Stage Info": {"Stage ID": 4, "Stage Name": "count", "Submission Time": 0, "Completion Time": 1}}))
+    assert cli.main(["stats", "--config", path, "--event-log", str(tmp_path / "app-1")]) == 0
+    assert '"stage":4,"name":"count"' in capsys.readouterr().out.replace(" ", "")
+    assert cli.main(["inventory", "--config", path]) == 0
     assert cli.main(["validate", "--config", path, "--release", os.path.basename(release.top)]) == 0
     assert cli.main(["inventory", "--config", str(tmp_path / "none.json")]) == 2
     assert "replay_data_public" in capsys.readouterr().out
