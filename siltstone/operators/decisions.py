@@ -231,5 +231,14 @@ def augment(core: DataFrame, layer: DataFrame, sample_id: str, name: str) -> Dat
 
 
 def adapter(samples: DataFrame, columns: dict[str, Column], sample_id: str, lossy: list[str]) -> DataFrame:
-    """A consumer's columns beside the sample's id; ``lossy`` names what they leave out."""
-    return samples.select(sample_id, "decision_contract_version", *(c.alias(n) for n, c in columns.items()), F.array(*map(F.lit, sorted(lossy))).cast("array<string>").alias("lossy"))
+    """A consumer's columns beside the sample's id; ``lossy`` names the samples' columns that they leave out.
+
+    Refused before the run if a column takes the place of the id or of the
+    contract's version, or if ``lossy`` names what samples don't have.
+    """
+    held = {sample_id, "decision_contract_version"}
+    if taken := held & set(columns):
+        raise ValueError(f"an adapter keeps {sorted(taken)} as they are")
+    if unknown := set(lossy) - set(samples.columns):
+        raise ValueError(f"samples have no {sorted(unknown)}")
+    return samples.select(*sorted(held), *(c.alias(n) for n, c in columns.items()), F.array(*map(F.lit, sorted(lossy))).cast("array<string>").alias("lossy"))

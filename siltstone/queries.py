@@ -641,6 +641,26 @@ def split_violations(spark, d):
     return splits.split_isolation(dealt, "user_id").select("user_id", "a", "b")
 
 
+SQL_GROUP = "coalesce('user_id:' || CASE WHEN event_type <> 'signup' THEN user_id END, 'event_type:' || event_type, 'event_id:' || event_id)"
+
+
+@query(f"SELECT split_part(g, ':', 1) AS basis, split, count(*)::BIGINT AS records, count(DISTINCT g)::BIGINT AS groups FROM (SELECT g, {sql_split('g', SPLIT)} AS split FROM (SELECT {SQL_GROUP} AS g FROM events)) GROUP BY ALL")
+def split_by_strongest_group(spark, d):
+    """Events split by user where that is known, else by type: how many of each basis lie in each part."""
+    known = table(spark, d, "events").withColumn("user_id", F.when(F.col("event_type") != "signup", F.col("user_id")))
+    keyed = known.select(splits.group_key(["user_id", "event_type", "event_id"]).alias(SPLIT.group))
+    dealt = splits.assign_split(keyed, SPLIT).withColumn("basis", F.split_part(F.col(SPLIT.group), F.lit(":"), F.lit(1)))
+    by_group = dealt.groupBy("basis", "split", SPLIT.group).agg(F.count("*").alias("n"))
+    return by_group.groupBy("basis", "split").agg(F.sum("n").alias("records"), F.count("*").alias("groups"))
+
+
+@query("SELECT l_suppkey, l_shipdate, count(*)::BIGINT AS archives, 'no_readable_representative' AS blocker FROM lineitem GROUP BY ALL HAVING count(*) FILTER (WHERE l_returnflag <> 'R') = 0")
+def schema_blockers(spark, d):
+    """Groups of lines, as archives of one schema, none of which can be read (returned ones can't)."""
+    lines, group = table(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_returnflag"), ["l_suppkey", "l_shipdate"]
+    return inspection.blockers(lines.groupBy(*group).agg(F.count("*").alias("archives")), lines.where("l_returnflag <> 'R'"), group)
+
+
 SQL_TIES = """
 WITH e AS (SELECT user_id, event_id // 3 AS pos, event_type, value FROM events), g AS (SELECT user_id, pos, list(value) AS here, count(*) AS n FROM e GROUP BY ALL),
 p AS (SELECT user_id, pos, n, coalesce(sum(n) OVER w, 0)::BIGINT AS prior_rows, coalesce(array_agg(pos) OVER h, []) AS near, coalesce(array_agg(n) OVER h, []) AS counts FROM g
