@@ -103,3 +103,13 @@ def test_collapse_keeps_every_place_and_loses_no_record(spark):
     assert sorted((r["event_id"] or "", r["quarantine_reason"], r["copies"]) for r in held.collect()) == [("", "no_identity", 1), ("", "no_identity", 1), ("4", "identity_collision", 1), ("4", "identity_collision", 1)]
     assert places.count() == len(rows) and kept.agg(F.sum("copies")).first()[0] + held.agg(F.sum("copies")).first()[0] == len(rows)
     assert {r["rec"] for r in kept.collect()} == {0, 1, 2, 3}
+
+
+def test_adapters_keep_ids_and_name_what_they_lose(spark):
+    samples = spark.createDataFrame([("a", "v1", 3, "x"), ("b", "v1", None, "y")], "sample_id string, decision_contract_version string, score int, note string")
+    made = decisions.adapter(samples, {"twice": F.col("score") * 2}, "sample_id", ["score", "note"])
+    assert sorted((r["sample_id"], r["decision_contract_version"], r["twice"], r["lossy"]) for r in made.collect()) == [("a", "v1", 6, ["note", "score"]), ("b", "v1", None, ["note", "score"])]
+    with pytest.raises(ValueError, match="keeps"):
+        decisions.adapter(samples, {"sample_id": F.lit("z")}, "sample_id", [])
+    with pytest.raises(ValueError, match="have no"):
+        decisions.adapter(samples, {}, "sample_id", ["absent"])
