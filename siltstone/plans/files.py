@@ -153,6 +153,12 @@ def verified_shards(spark: SparkSession, top: str, schema: T.StructType, partiti
     return spark.createDataFrame(paths, "path string").repartition(max(1, min(parallelism, len(paths))), "path").mapInArrow(run, SHARD)
 
 
+def by_folder(shards: DataFrame) -> DataFrame:
+    """``shards`` with all of one folder and problem as one row: how many a folder has is the cluster's matter."""
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("path")
+    return shards.groupBy(folder, "problem").agg(F.sum("rows").alias("rows"), F.min("detail").alias("detail")).select("path", "rows", "problem", "detail")
+
+
 def write_json(path: str, value) -> None:
     """The document, under its name only once it is whole."""
     with open(path + ".incomplete", "w", encoding="utf-8") as f:

@@ -715,14 +715,14 @@ def unexplained_counts(spark, d):
 
 
 def faulty_shards(spark, d) -> DataFrame:
-    """Orders written in shards: a quarter as declared, a shard with another type, one that may hold nulls, one cut short."""
+    """Orders written in shards: a quarter as declared, a quarter with another type, one that may hold nulls, one cut short."""
     top = shared_folder(spark)
     rows = table(spark, d, "orders").select(F.coalesce("o_orderkey", F.lit(0).cast("long")).alias("o_orderkey"), F.col("o_custkey").cast("long").alias("o_custkey"), "o_orderstatus")
     part = lambda k: rows.where(F.pmod("o_custkey", F.lit(4)) == k)
     files.write_view(part(0), os.path.join(top, "sound"), order=["o_orderkey"])
-    files.write_view(part(1).withColumn("o_custkey", F.col("o_custkey").cast("string")).coalesce(1), os.path.join(top, "type"))
-    files.write_view(part(2).withColumn("o_orderkey", F.nullif("o_orderkey", F.lit(-1).cast("long"))).coalesce(1), os.path.join(top, "nulls"))
-    files.write_view(part(3).coalesce(1), os.path.join(top, "short"))
+    files.write_view(part(1).withColumn("o_custkey", F.col("o_custkey").cast("string")), os.path.join(top, "type"))
+    files.write_view(part(2).withColumn("o_orderkey", F.nullif("o_orderkey", F.lit(-1).cast("long"))), os.path.join(top, "nulls"))
+    files.write_view(part(3), os.path.join(top, "short"))
     for path in files.list_files(os.path.join(top, "short")):
         os.truncate(os.path.join(top, "short", path), os.path.getsize(os.path.join(top, "short", path)) - 100)
     return files.verified_shards(spark, top, rows.schema)
@@ -776,7 +776,7 @@ def gate_summary(spark, d):
         gates.row_counts(stage, orders.agg((F.count("*") + events.count()).alias("rows"))),
         gates.manifest(table(spark, d, "region").select(F.col("r_name").alias("path"), F.lit("missing").alias("problem"))),
         gates.perspective(unsafe, ["value"]),
-        gates.parquet_readability(faulty_shards(spark, d)),
+        gates.parquet_readability(files.by_folder(faulty_shards(spark, d))),
         gates.future_leak(samples, "user_id", "event_id"),
         gates.split_isolation(splits.assign_split(events, BY_EVENT).where("user_id IS NOT NULL"), "user_id"),
         gates.privacy(inspection.privacy_holds(inspection.privacy_scan(documents, ["text"]), spark.createDataFrame([], "column string, pattern string, decision string"))),
