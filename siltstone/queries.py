@@ -239,8 +239,12 @@ SQL_SENT = f"""SELECT event_id, sha256({tag_int("l_partkey")} || {tag_money("l_q
 def twice_sent(spark, d) -> DataFrame:
     """The lines in one archive, and half of them in another, which says something else of a few."""
     lines = ordered_events(spark, d).select("event_id", "l_partkey", "l_quantity", "l_suppkey", F.col("l_linenumber").alias("ordinal"))
-    other = lines.where("l_suppkey % 2 = 0").withColumn("l_quantity", F.when(F.col("l_partkey") % 50 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
-    both = lines.withColumn("archive", F.lit("first")).unionByName(other.withColumn("archive", F.lit("second")))
+    changed = F.when(F.col("l_partkey") % 50 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    sent = lambda archive, quantity: F.struct(F.lit(archive).alias("archive"), quantity.alias("l_quantity"))
+    first, second = sent("first", F.col("l_quantity")), sent("second", changed)
+    # Each line is joined to its order once, and then sent once or twice.
+    both = lines.withColumn("_sent", F.explode(F.when(F.col("l_suppkey") % 2 == 0, F.array(first, second)).otherwise(F.array(first))))
+    both = both.select("event_id", "l_partkey", "ordinal", "_sent.archive", "_sent.l_quantity")
     return identity.with_content(both, ["l_partkey", "l_quantity"], {"l_quantity": 2})
 
 
@@ -249,9 +253,8 @@ WITH c AS (SELECT event_id, content_hash, string_agg(DISTINCT archive, ',' ORDER
 k AS (SELECT *, count(*) OVER (PARTITION BY event_id) AS contents FROM c)
 SELECT event_id, content_hash, place.a AS archive, place.o AS ordinal, source_archives, copies, CASE WHEN event_id IS NULL THEN 'no_identity' WHEN contents > 1 THEN 'identity_collision' ELSE '' END AS quarantine_reason FROM k""")
 def event_collapse(spark, d):
-    kept, held, _ = identity.collapsed(twice_sent(spark, d), "event_id", "archive", "ordinal", ["l_partkey", "l_quantity"])
-    found = kept.withColumn("quarantine_reason", F.lit("")).unionByName(held)
-    return found.select("event_id", "content_hash", "archive", "ordinal", F.array_join("source_archives", ",").alias("source_archives"), "copies", "quarantine_reason")
+    found = identity.by_content(twice_sent(spark, d), "event_id", "archive", "ordinal", ["l_partkey", "l_quantity"])
+    return found.select("event_id", "content_hash", "archive", "ordinal", F.array_join("source_archives", ",").alias("source_archives"), "copies", F.coalesce("quarantine_reason", F.lit("")).alias("quarantine_reason"))
 
 
 @query(f"""

@@ -105,6 +105,27 @@ def test_collapse_keeps_every_place_and_loses_no_record(spark):
     assert {r["rec"] for r in kept.collect()} == {0, 1, 2, 3}
 
 
+def test_identities_of_any_form_are_gathered_by_one_shuffle(spark):
+    digits = "0123456789abcdef" * 4
+    ids = [digits, digits.upper(), "x" + digits, "x" + digits.upper(), digits[:-1], digits + "g", "", "x", "é:" + digits, None]
+    # Each id with as many contents as its number of hundreds says, in one archive or two.
+    rows = [(x, f"c{c}" if k % 2 else digits[c:] + digits[:c], a, 7 - k) for k, x in enumerate(ids) for c in range(1 + (k % 3 == 2)) for a in ("a", "b")[: 1 + k % 2]]
+    table = spark.createDataFrame(rows + rows[:1], "event_id string, content_hash string, archive string, ordinal int")
+    contents = lambda x: {r[1] for r in rows if r[0] == x}
+    want = {(r[0], r[1], "a", r[3], tuple(sorted(q[2] for q in rows if q[:2] == r[:2])), sum(q[:2] == r[:2] for q in [*rows, rows[0]]), "no_identity" if r[0] is None else "identity_collision" if len(contents(r[0])) > 1 else None) for r in rows}
+    found = identity.by_content(table, "event_id", "archive", "ordinal", [])
+    assert {(r[0], r[1], r[2], r[3], tuple(r[4]), r[5], r[6]) for r in found.collect()} == want and found.count() == len(want)
+    counted = identity.classes(table, "event_id", "archive")
+    kinds = {x: "no_identity" if x is None else "identity_collision" if len(contents(x)) > 1 else "source_duplicate" if len({r[2] for r in rows if r[0] == x}) > 1 else "exact_duplicate" if x == digits else "unique" for x in ids}
+    assert {tuple(r) for r in counted.collect()} == {(kind, sum(k == kind for k in kinds.values()), sum(len(contents(x)) for x in ids if kinds[x] == kind), sum(kinds[r[0]] == kind for r in [*rows, rows[0]])) for kind in kinds.values()}
+    numbers = table.where("event_id IS NOT NULL").withColumn("event_id", F.crc32(F.col("event_id").cast("binary")))
+    assert identity.by_content(numbers, "event_id", "archive", "ordinal", []).schema["event_id"].dataType.simpleString() == "bigint"
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    kept, held, _ = identity.collapsed(table, "event_id", "archive", "ordinal")
+    assert shuffles(kept) == 1 and shuffles(held) == 1
+    assert shuffles(identity.classes(table, "event_id", "archive")) == 2  # the other is of a row a class
+
+
 def test_adapters_keep_ids_and_name_what_they_lose(spark):
     samples = spark.createDataFrame([("a", "v1", 3, "x"), ("b", "v1", None, "y")], "sample_id string, decision_contract_version string, score int, note string")
     made = decisions.adapter(samples, {"twice": F.col("score") * 2}, "sample_id", ["score", "note"])
