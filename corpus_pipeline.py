@@ -25,7 +25,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies stays, that with the smallest doc_id."""
+    """One document of each group of near-copies stays, that with the smallest doc_id.
+
+    SimHash fingerprints and their trie self-join find them, shingle sets verify; an exact join finds what fingerprints miss.
+    """
     return shingle_sets.keep_first(docs)
 
 

@@ -1,18 +1,23 @@
-"""Near-copies by an exact join of their shingle sets.
+"""Near-copies by SimHash, verified and completed by an exact join of their shingle sets.
 
 A text's set is the XXH64 of its different five-word shingles (of the whole text
 where it has fewer words).  Two texts are linked if their sets' Jaccard similarity
 is at least 0.8; ``keep_first`` keeps one document of each component of the links.
 
 Documents of equal sets are one to the join, known by the XXH64 of the set; a document goes for an
-equal set only if a second hash and the size are equal too.  Shingles
+equal set only if a second hash and the size are equal too.
+
+First comes the trie self-join of operator 6: sets whose fingerprints differ in at most
+``NEAR_BITS`` bits are held against each other, and those whose Jaccard similarity is verified are
+joined.  Fingerprints miss some pairs near the bound, so an exact join follows for
+the sets that are not yet one component; without it links would be lost.  Shingles
 are ordered by rarity, by counts of hash buckets over all texts; any one order gives
 the same links, a better one only fewer pairs.  Sets as similar as asked share a
 shingle of their prefixes (the rarest shingles, one more than may be missing), so
 each prefix shingle lists its sets, and pairs of one list pass the length and the
 positional filter.  A list is read through once, in order, to drop what is in no other set; its pairs
-are compared in blocks of it, so that no task compares all of a long one.  Each list is first held against its least set; what the verified
-links join is not compared again, which in a large group of copies leaves few pairs.
+are compared in blocks of it, so that no task compares all of a long one.  Each list is first held against its least set, but for sets that
+the fingerprints joined; what the verified links join is not compared again, which in a large group of copies leaves few pairs.
 Of the others all pairs are compared.  Pairs first pass a bound on their difference:
 that of the counts of their shingles in 256 ranges, which none as similar as asked can
 fail; those left are verified by their whole sets, read again from the texts.
@@ -36,11 +41,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.llm import simhash
 from siltstone.llm.common import cut, is_few, maybe_broadcast, whole_row
 from siltstone.llm.simhash import SEED, roots, spark_partitions
 
 SHINGLE = 5
 BUCKETS = 1 << 16
+#: Fingerprints of near-copies may differ in so many bits.
+NEAR_BITS = 6
 #: Lists of more sets are compared in blocks of about as many.
 HOT_LIST = 20_000
 
@@ -79,16 +87,16 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def sets(docs: DataFrame, ranks: np.ndarray | None = None, whole: bool = False) -> DataFrame:
-    """(doc_id, version, key, check, n, grams, sketch): grams are the prefix by ``ranks``, the ``whole`` set, or none.
+    """(doc_id, version, key, check, n, grams, sketch, fp): grams are the prefix by ``ranks``, the ``whole`` set, or none.
 
-    The sketch is there if grams are not.
+    Sketch and fp, the set's SimHash, are there if grams are not.
     """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                keys, checks, sizes, grams, sketches = [], [], [], [], []
+                keys, checks, sizes, grams, sketches, fps = [], [], [], [], [], []
                 for text in part.column("text").to_pylist():
                     found = shingles(text)
                     n = len(found)
@@ -96,16 +104,18 @@ def sets(docs: DataFrame, ranks: np.ndarray | None = None, whole: bool = False)
                     keys.append(key)
                     checks.append(check)
                     sizes.append(n)
-                    sketches.append(None if whole or ranks is not None else sketch(found))
+                    lean = whole or ranks is not None
+                    sketches.append(None if lean else sketch(found))
+                    fps.append(None if lean else np.uint64(simhash.majority(found)).astype(np.int64).item())
                     if ranks is not None:
                         found = found[np.lexsort((found, ranks[bucket(found)]))[: n - (4 * n + 4) // 5 + 1]]
                     grams.append(found if whole or ranks is not None else found[:0])
                 edges = np.concatenate([[0], np.cumsum([len(g) for g in grams])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(grams).view(np.int64)))
-                columns = [part.column("doc_id"), part.column("version"), *(pa.array(np.array(c, np.uint64).view(np.int64)) for c in (keys, checks)), pa.array(sizes, pa.int32()), lists, pa.array(sketches, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "version", "key", "check", "n", "grams", "sketch"])
+                columns = [part.column("doc_id"), part.column("version"), *(pa.array(np.array(c, np.uint64).view(np.int64)) for c in (keys, checks)), pa.array(sizes, pa.int32()), lists, pa.array(sketches, pa.binary()), pa.array(fps, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "version", "key", "check", "n", "grams", "sketch", "fp"])
 
-    return _texts(docs).mapInArrow(made, "doc_id long, version long, key long, check long, n int, grams array<long>, sketch binary")
+    return _texts(docs).mapInArrow(made, "doc_id long, version long, key long, check long, n int, grams array<long>, sketch binary, fp long")
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
@@ -162,8 +172,27 @@ def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return cut(both.where(F.size(F.array_intersect("x", "y")) * 9 >= (F.size("x") + F.size("y")) * 4).select("a", "b"), "similar")
 
 
+def near_fingerprints(firsts: DataFrame, budget: int = NEAR_BITS) -> DataFrame:
+    """(a, b) of keys that the trie self-join of their fingerprints puts together: a spanning forest of each task's, cut."""
+    some = firsts.where("n > 0")  # of no words there is one set
+    least = cut(some.groupBy("fp").agg(F.min("key").alias("of")), "set-fingerprints")
+    equal = some.select("key", "fp").join(least, "fp").where("key <> of").select(F.col("key").alias("a"), F.col("of").alias("b"))
+    near = simhash.links(least.select("fp"), budget)
+    of = lambda x: least.select(F.col("fp").alias(f"{x}_fp"), F.col("of").alias(x))
+    edges = near.toDF("a_fp", "b_fp").distinct()
+    near = edges.join(of("a"), "a_fp").join(of("b"), "b_fp").select("a", "b")
+    return cut(equal.unionByName(near), "near-fingerprints")
+
+
+def labelled(lists: DataFrame, linked: DataFrame) -> DataFrame:
+    """``lists`` with ``label``, the root of what ``linked`` joins."""
+    joined = cut(roots(linked), "joined")
+    return lists.join(maybe_broadcast(joined), F.col("key") == F.col("node"), "left").select("token", "key", "n", "k", F.coalesce("root", "key").alias("label"))
+
+
 def links(docs: DataFrame, marked: DataFrame, firsts: DataFrame, hot_list: int = HOT_LIST) -> DataFrame:
     """Edges (a, b) of keys that join the same components as all pairs of similar sets do, cut."""
+    alike = verified(near_fingerprints(firsts), docs, firsts)
     repeated = cut(firsts.where("copies > 1").select("key", "least"), "repeated-sets")
     again = cut(marked.join(maybe_broadcast(repeated), "key").where("doc_id <> least").select("doc_id", "key").distinct(), "repeats")
     prefixes = sets(docs, rarity(docs)).where("n > 0")
@@ -174,15 +203,15 @@ def links(docs: DataFrame, marked: DataFrame, firsts: DataFrame, hot_list: int =
     # Lists of one set give no pair; rows of one set in a list are one.
     near = near.where("(_before IS NULL OR _before <> key) AND (_before IS NOT NULL OR _after IS NOT NULL)")
     lists = cut(near.select("token", "key", "n", "k"), "lists")
-    entry = F.struct("key", "n", "k")
-    leads = lists.groupBy("token").agg(F.min(entry).alias("y"))
-    led = lists.join(leads, "token").select(entry.alias("x"), "y").where((F.col("x.key") > F.col("y.key")) & may_match("x", "y"))
-    first = verified(cut(led.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct(), "led"), docs, firsts)
-    joined = cut(roots(first), "joined")
-    labelled = lists.join(maybe_broadcast(joined), F.col("key") == F.col("node"), "left").select("token", "key", "n", "k", F.coalesce("root", "key").alias("label"))
-    labelled = cut(labelled, "labelled")
-    open_lists = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("length")).where("low < high").select("token", "length")
-    rest = cut(labelled.join(open_lists, "token"), "open-lists")
+    entry = F.struct("key", "n", "k", "label")
+    open_to = labelled(lists, alike)
+    leads = open_to.groupBy("token").agg(F.min(entry).alias("y"))
+    led = open_to.join(leads, "token").select(entry.alias("x"), "y").where((F.col("x.key") > F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & may_match("x", "y"))
+    led = verified(cut(led.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct(), "led"), docs, firsts)
+    first = alike.unionByName(led)
+    left = labelled(lists, first)
+    open_lists = left.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("length")).where("low < high").select("token", "length")
+    rest = cut(left.join(open_lists, "token"), "open-lists")
     # Blocks of a list meet in pairs, each pair a group of its own; lists of usual length are one block.
     count = F.ceil(F.col("length") / hot_list).cast("int")
     own, other = F.pmod(F.xxhash64("key"), count).cast("int"), F.explode(F.sequence(F.lit(0), count - 1))
@@ -195,9 +224,9 @@ def links(docs: DataFrame, marked: DataFrame, firsts: DataFrame, hot_list: int =
 
 def copies(docs: DataFrame, hot_list: int = HOT_LIST) -> DataFrame:
     """(doc_id, version, component_id) of the documents that are not the first of their component, cut."""
-    marked = cut(sets(docs).select("doc_id", "version", "key", "check", "n", "sketch"), "sets")
-    firsts = marked.groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min_by(F.struct("n", "sketch", "check"), F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("of"))
-    firsts = cut(firsts.select("key", "least", "copies", "of.n", "of.sketch", F.col("of.check").alias("first_check"), F.col("of.n").alias("first_n")), "firsts")
+    marked = cut(sets(docs).select("doc_id", "version", "key", "check", "n", "sketch", "fp"), "sets")
+    firsts = marked.groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min_by(F.struct("n", "sketch", "check", "fp"), F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("of"))
+    firsts = cut(firsts.select("key", "least", "copies", "of.n", "of.sketch", "of.fp", F.col("of.check").alias("first_check"), F.col("of.n").alias("first_n")), "firsts")
     found = cut(roots(links(docs, marked, firsts, hot_list)), "components")
     rooted = firsts.join(maybe_broadcast(found), F.col("key") == F.col("node"), "left")
     rooted = rooted.select("key", "least", "copies", "first_check", "first_n", F.coalesce("root", "key").alias("root"))

@@ -59,7 +59,12 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     else:
         grams = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))
     n = max(1, len(words) - shingle + 1)
-    hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), grams), np.uint64, n)
+    return majority(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), grams), np.uint64, n))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes; zero of none."""
+    n = len(hashes)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, n, 65536):
         block = hashes[at : at + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)

@@ -86,6 +86,27 @@ def test_near_copies_of_documents(spark):
     assert {r["doc_id"] for r in shingle_sets.keep_first(docs).collect()} == plain_kept(rows)
 
 
+def test_near_copies_are_found_by_fingerprints_first(spark, monkeypatch):
+    """The trie self-join has most of the links; the lists are left what it misses, and the same documents stay without it."""
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(3000)]
+    rows = []
+    for k in range(60):
+        base = rng.choices(words, k=400)
+        rows.append((2 * k, " ".join(base)))
+        base[rng.randrange(400)] = "changed"
+        rows.append((2 * k + 1, " ".join(base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    compared, plain = [], shingle_sets.verified
+    monkeypatch.setattr(shingle_sets, "verified", lambda pairs, *rest: compared.append(plain(pairs, *rest)) or compared[-1])
+    assert {r["doc_id"] for r in shingle_sets.keep_first(docs).collect()} == set(range(0, 120, 2)) == plain_kept(rows)
+    found = [x.count() for x in compared]
+    assert found[0] >= 54 and sum(found) == 60  # the fingerprints' links, those of the lists' leaders, the rest
+    none = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(shingle_sets, "near_fingerprints", lambda firsts: none)
+    assert {r["doc_id"] for r in shingle_sets.keep_first(docs).collect()} == set(range(0, 120, 2))
+
+
 def test_sequences_follow_the_weights(spark, monkeypatch):
     docs = spark.createDataFrame([(k, "word " * 1200, "en", f"src{k % 2}", 1) for k in range(768)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     source = lambda r: f"src{r['doc_id'] % 2}"
