@@ -7,21 +7,20 @@ part.  Up to three different words only equal sets are as similar as asked; a
 group-by on the set finds the first.
 
 Equal lines are one to the join, represented by the first.  Tokens are ordered by
-rarity: by the counts of 65,536 hash buckets of words, over all texts.  Two lines
-as similar as asked share a token of their prefixes (the rarest tokens, one more
-than may be missing).  Pairs with a shared prefix token pass the length filter, the
+the length of their words, as longer words are rarer; tokens that crowd the prefixes
+nevertheless come last.  Two lines as similar as asked share a token of their prefixes
+(the first tokens, one more than may be missing), whatever the order.  Pairs with a shared prefix token pass the length filter, the
 positional filter, and a bound on their difference from 64 or 128 parity bits of
 each line's tokens, which none as similar as asked can fail; the Jaccard similarity
 of those left is verified on their words.
 
 The join asks which lines have an earlier match, not for all pairs.  So in each
-token's list every line is first held against the earliest one, and against the
-earliest of those that may not match that; lines whose match is verified are
-settled, which in a group of copies, however large, leaves few.  The others are
-joined with all earlier lines of their lists.  The lists are a table bucketed by
-token, which both steps read without another shuffle.  A list over ``HOT_LIST`` is
-held against its earliest line by a join, and then dealt out in blocks, each pair
-of which is a group of its own.
+token's list over ``LED_LIST`` every line is first held against the earliest one, and
+against the earliest of those that may not match that; lines whose match is verified
+are settled, which in a group of copies leaves few.  The others are joined with all
+earlier lines of their lists.  The lists are a table bucketed by token, which all steps
+read without another shuffle.  A list over ``HOT_LIST`` is then dealt out in blocks,
+each pair of which is a group of its own.
 
 All of it is SQL functions; a token is 56 bits of a word's XXH64, equal lines are told by
 the XXH64, Murmur hash and length of their texts.
@@ -35,26 +34,34 @@ No documents give no rows.  Extra columns of any name are kept by ``dedup_lines`
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import FEW, GAP, WORD, cut, fresh_path, is_few, let, maybe_broadcast, numbered, whole_row
+from siltstone.llm.common import FEW, GAP, cut, fresh_path, is_few, let, maybe_broadcast, numbered, whole_row
 from siltstone.llm.simhash import spark_partitions
 
 #: Sets of fewer tokens are as similar as asked only if they are equal.
 JOINED_TOKENS = 4
-#: Counts of words are kept for so many hash buckets.
+#: Tokens of prefixes are counted in so many hash buckets.
 BUCKETS = 1 << 16
+#: Tokens come last whose bucket holds over so many times the mean, and over ``LEAST_CROWD``.
+CROWDED = 64
+LEAST_CROWD = 1000
+#: The next words of the same lines can crowd in turn, so often at most.
+CROWD_ROUNDS = 4
 #: Lines of more tokens than this have 128 parity bits, others 64.
 LANE_TOKENS = 64
 BITS = ["bits0", "bits1"]
 #: Lists over so many lines are dealt out in blocks of about as many.
 HOT_LIST = 20_000
+#: Lists up to so many lines are short enough to compare all their pairs at once.
+LED_LIST = 16
 SPACES = "\t\x0b\x0c\r"
 HASH_BITS = 56
+#: Of lines with two longs of parity bits, one is of the words of so many bytes, the other of shorter ones.
+LONG_WORD = 6
 
 
 def numbered_lines(docs: DataFrame) -> DataFrame:
@@ -65,7 +72,7 @@ def numbered_lines(docs: DataFrame) -> DataFrame:
 
 def keyed(lines: DataFrame) -> DataFrame:
     """``lines`` with what tells their texts: two hashes and the length, in (key, check)."""
-    check = F.shiftleft(F.hash("text").cast("long"), 32).bitwiseOR(F.length("text").cast("long"))
+    check = F.shiftleft(F.hash("text").cast("long"), 32).bitwiseOR(F.octet_length("text").cast("long"))
     return lines.withColumn("key", F.xxhash64("text")).withColumn("check", check)
 
 
@@ -110,6 +117,10 @@ def repeated_keys(places: DataFrame) -> DataFrame:
     return cut(found.select("key", "check", "first"), "repeated-keys")
 
 
+def has_word(text: Column) -> Column:
+    return F.ltrim(text, F.lit(" \n" + SPACES)) != ""
+
+
 def words_of(text: Column) -> Column:
     odd = F.lit(False)
     for c in SPACES:
@@ -118,43 +129,67 @@ def words_of(text: Column) -> Column:
     return F.array_remove(words, "")
 
 
-def rarity(docs: DataFrame) -> Column:
-    """For each bucket of words twice the binary logarithm of its count in all texts: one array, whatever the corpus."""
-    word = F.explode(words_of(F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(" ")))).alias("word")
-    counts = docs.select(word).groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count().collect()  # one row a bucket
-    ranks = [0] * BUCKETS
-    for b, n in counts:
-        ranks[b] = int(2 * math.log2(n))
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<tinyint>")
+def tokens_of(text: Column) -> Column:
+    """The different words' tokens, those of the longest words last: a byte of the word's length, 56 bits of its hash."""
+    mask = F.lit((1 << HASH_BITS) - 1)
+    length = lambda w: F.least(F.octet_length(w), F.lit(127)).cast("long")
+    token = lambda w: F.shiftleft(length(w), HASH_BITS).bitwiseOR(F.xxhash64(w).bitwiseAND(mask))
+    return F.sort_array(F.array_distinct(F.transform(words_of(text), token)))
 
 
 def parity(tokens: Column, n: Column) -> list[Column]:
     """Two longs of bits, each the parity of how many tokens fall on it; lines of few tokens use one."""
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 26).bitwiseAND(F.lit(63)).cast("int"))
-    lane = lambda t: F.shiftright(t, 32).bitwiseAND(F.lit(1)) == 0
-    of = lambda step: F.aggregate(tokens, F.lit(0).cast("long"), step)
-    long = n > LANE_TOKENS
-    first = F.when(long, of(lambda bits, t: F.when(lane(t), bits.bitwiseXOR(bit(t))).otherwise(bits)))
-    second = F.when(long, of(lambda bits, t: F.when(lane(t), bits).otherwise(bits.bitwiseXOR(bit(t)))))
-    return [first.otherwise(of(lambda bits, t: bits.bitwiseXOR(bit(t)))).alias("bits0"), second.otherwise(F.lit(0).cast("long")).alias("bits1")]
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+    of = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(bit(t)))
+    long, least = n > LANE_TOKENS, F.lit(LONG_WORD << HASH_BITS)
+    shorter = F.array_position(F.sort_array(F.array_append(tokens, least)), least).cast("int") - 1
+    second = F.when(long, of(F.slice(tokens, shorter + 1, n - shorter))).otherwise(F.lit(0).cast("long"))
+    return [F.when(long, of(F.slice(tokens, F.lit(1), shorter))).otherwise(of(tokens)).alias("bits0"), second.alias("bits1")]
+
+
+def prefix_length(n: Column) -> Column:
+    return n - F.floor((n * 4 + 4) / 5).cast("int") + 1
+
+
+def bucket(token: Column) -> Column:
+    return token.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def crowded_buckets(different: DataFrame, least: int) -> set[int]:
+    """Hash buckets that hold many more of the prefixes' tokens than others."""
+    tokens = different.where(F.col("n") >= JOINED_TOKENS).select(F.explode("prefix").alias("t"))
+    counts = tokens.groupBy(bucket(F.col("t")).alias("b")).count().collect()  # one row a bucket
+    most = max(least, CROWDED * sum(n for _, n in counts) // BUCKETS)
+    return {b for b, n in counts if n > most}
+
+
+def uncrowded(different: DataFrame, docs: DataFrame, order: Order, crowded: set[int]) -> DataFrame:
+    """``different`` with the tokens of crowded buckets after all others, cut; prefixes without one are what they were."""
+    flags = F.split(F.lit(",".join("1" if b in crowded else "0" for b in range(BUCKETS))), ",").cast("array<tinyint>")
+    is_crowded = lambda t: F.element_at(flags, bucket(t) + 1) == 1
+    marked = cut(different.withColumn("again", (F.col("n") >= JOINED_TOKENS) & F.exists("prefix", is_crowded)), "marked-lines")
+    places = cut(marked.where("again").select("place"), "crowded-places")
+    lines = order.place(numbered_lines(docs)).join(maybe_broadcast(places), "place", "left_semi").dropDuplicates(["place"])
+    last = lambda t: F.when(is_crowded(t), t.bitwiseOR(F.lit(-1 << 63))).otherwise(t)
+    sets = lines.select("place", F.explode(F.array(F.sort_array(F.transform(tokens_of(F.col("text")), last)))).alias("tokens"))
+    size = prefix_length(F.size("tokens"))
+    found = sets.select("place", F.reverse(F.slice("tokens", F.size("tokens") - size + 1, size)).alias("prefix"))
+    changed = marked.where("again").drop("prefix").join(found, "place").select(*different.columns)
+    return cut(marked.where("NOT again").select(*different.columns).unionByName(changed), "different-lines")
 
 
 def different_lines(docs: DataFrame, order: Order, repeated: DataFrame) -> DataFrame:
     """(place, n, bits0, bits1, prefix, same) of the first of each group of equal lines, cut.
 
-    ``prefix``: the rarest tokens, in order.  ``same`` is the XXH64 of the words' set
+    ``prefix``: the first tokens, in order.  ``same`` is the XXH64 of the words' set
     where that is too small to be joined.
     """
-    ranks = rarity(docs)
-    lines = order.place(keyed(numbered_lines(docs).where(F.col("text").rlike(WORD))))
+    lines = order.place(keyed(numbered_lines(docs).where(has_word(F.col("text")))))
     lines = lines.join(maybe_broadcast(repeated), ["key", "check"], "left").where("first IS NULL OR first = place")
-    mask = F.lit((1 << HASH_BITS) - 1)
-    hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
-    token = lambda h: F.shiftleft(F.element_at(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1).cast("long"), HASH_BITS).bitwiseOR(h.bitwiseAND(mask))
     # A generator's output is evaluated once, however many expressions mention it.
-    sets = lines.select("place", "text", F.explode(F.array(F.sort_array(F.array_distinct(F.transform(hashes, token))))).alias("tokens"))
+    sets = lines.select("place", "text", F.explode(F.array(tokens_of(F.col("text")))).alias("tokens"))
     n = F.size("tokens")
-    prefix = F.slice("tokens", 1, n - F.floor((n * 4 + 4) / 5).cast("int") + 1)
+    prefix = F.reverse(F.slice("tokens", n - prefix_length(n) + 1, prefix_length(n)))
     same = F.when(n < JOINED_TOKENS, F.xxhash64(F.array_join(F.sort_array(F.array_distinct(words_of(F.col("text")))), " ")))
     return cut(sets.select("place", n.alias("n"), *parity(F.col("tokens"), n), prefix.alias("prefix"), same.alias("same")), "different-lines")
 
@@ -172,8 +207,9 @@ def postings(different: DataFrame) -> str:
     rows = rows.select(token.alias("token"), "place", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("k").cast("long")).alias("nk"), *BITS)
     path = fresh_path(spark, "postings")
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    dealt = rows.repartition(parts, "token").sortWithinPartitions("token", "place")
-    dealt.write.bucketBy(parts, "token").option("path", path).option("compression", "zstd").saveAsTable(name)
+    dealt = rows.repartition(parts, "token").sortWithinPartitions("token")
+    # Bits hardly repeat nor compress.
+    dealt.write.bucketBy(parts, "token").option("path", path).option("compression", "lz4").option("parquet.enable.dictionary", "false").saveAsTable(name)
     return name
 
 
@@ -204,23 +240,16 @@ def verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
     return cut(found.where(shared * 9 >= (F.size("w.a") + F.size("w.b")) * 4).select(F.col("later").alias("place")).distinct(), "verified")
 
 
-def led(rows: DataFrame) -> DataFrame:
-    """(later, earlier): each line of a list with the list's earliest, or with the earliest that may not match that."""
-    order = Window.partitionBy("token").orderBy("place")
-    own = F.struct("place", "nk", *BITS)
-    marked = rows.select("place", own.alias("own"), F.first(own).over(order).alias("lead"), "token")
-    marked = marked.withColumn("led", (F.col("place") != F.col("lead.place")) & may_match("own", "lead"))
-    free = F.when(~F.col("led") & (F.col("place") != F.col("lead.place")), F.col("own"))
-    marked = marked.withColumn("next", F.first(free, ignorenulls=True).over(order))
-    again = F.coalesce((F.col("place") != F.col("next.place")) & may_match("own", "next"), F.lit(False))
-    leader = F.when(F.col("led"), F.col("lead.place")).when(again, F.col("next.place"))
-    return marked.select(F.col("place").alias("later"), leader.alias("earlier")).where("earlier IS NOT NULL")
+def leaders(rows: DataFrame) -> DataFrame:
+    """(token, length, place, nk, BITS): each list's number of lines and its earliest line."""
+    return rows.groupBy("token").agg(F.count("*").alias("length"), F.min("place").alias("place"), *(F.min_by(c, "place").alias(c) for c in ("nk", *BITS)))
 
 
-def led_in_hot(rows: DataFrame) -> DataFrame:
-    """As ``led``, of lists of any length: with the list's earliest line."""
-    first = [F.min_by(c, "place").alias(c) for c in ("nk", *BITS)]
-    return earlier_pairs(rows, rows.groupBy("token").agg(F.min("place").alias("place"), *first), ["token"])
+def led(rows: DataFrame, lead: DataFrame) -> DataFrame:
+    """(later, earlier): lines of the lists of ``lead`` with the list's earliest, or with the earliest that may not match that."""
+    listed = rows.alias("x").join(maybe_broadcast(lead).alias("y"), F.col("x.token") == F.col("y.token")).where("x.place > y.place")
+    free = cut(leaders(listed.where(~may_match("x", "y")).select("x.*")), "next-leaders")
+    return earlier_pairs(rows, maybe_broadcast(lead), ["token"]).unionByName(earlier_pairs(rows, maybe_broadcast(free), ["token"]))
 
 
 def earlier_pairs(later: DataFrame, rows: DataFrame, by: list[str]) -> DataFrame:
@@ -242,12 +271,12 @@ def matched_places(different: DataFrame, docs: DataFrame, order: Order, hot_list
     """Places of the different lines that have an earlier match, cut."""
     name = postings(different)
     rows = different.sparkSession.table(name)
-    hot = cut(rows.groupBy("token").agg(F.count("*").alias("length")).where(F.col("length") > hot_list), "hot-lists")
-    short, firsts, any_hot = rows, led(rows), hot.limit(1).count() > 0
+    long = cut(leaders(rows).where(F.col("length") > min(LED_LIST, hot_list)), "long-lists")
+    hot = long.where(F.col("length") > hot_list).select("token", "length")
+    settled = verified(led(rows, long), docs, order)
+    short, any_hot = rows, hot.limit(1).count() > 0
     if any_hot:
         short = rows.join(maybe_broadcast(hot), "token", "left_anti")
-        firsts = led(short).unionByName(led_in_hot(rows.join(maybe_broadcast(hot), "token", "left_semi")))
-    settled = verified(firsts, docs, order)
     rest = lambda listed: listed.join(maybe_broadcast(settled), "place", "left_anti")
     pairs = earlier_pairs(rest(short), short, ["token"])
     if any_hot:
@@ -266,12 +295,19 @@ def equal_sets(different: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc, version, n_lines, removed): each document's removed line numbers, in order."""
-    lines = cut(keyed(numbered_lines(docs)).select("doc", "version", "line", "key", "check", F.col("text").rlike(WORD).alias("worded")), "lines")
+    lines = cut(keyed(numbered_lines(docs)).select("doc", "version", "line", "key", "check", has_word(F.col("text")).alias("worded")), "lines")
     order = order_of(lines)
     places = order.place(lines)
     # Lines without a word are no repeats of each other.
     repeated = repeated_keys(places.where("worded"))
     different = different_lines(docs, order, repeated)
+    crowded: set[int] = set()
+    for _ in range(CROWD_ROUNDS):
+        more = crowded_buckets(different, min(HOT_LIST, LEAST_CROWD)) - crowded
+        if not more:
+            break
+        crowded = crowded | more
+        different = uncrowded(different, docs, order, crowded)
     # A text that came before goes, and a line that has an earlier match; of the
     # match's own repeats, all stand later.
     gone = matched_places(different, docs, order).unionByName(equal_sets(different)).withColumn("matched", F.lit(True))

@@ -110,6 +110,31 @@ def test_lists_of_any_length_are_dealt_out(spark, monkeypatch):
     check_lines(spark.createDataFrame([(d, "\n".join(x)) for d, x in by.items()], "doc_id long, text string"), by)
 
 
+def test_words_are_not_counted_before_lines_are_compared(spark, monkeypatch):
+    split, calls = line_dedup.words_of, []
+    monkeypatch.setattr(line_dedup, "words_of", lambda text: calls.append(text) or split(text))
+    docs = spark.createDataFrame([(1, "a b c d extraordinary"), (2, "a b c d extraordinary\na b c e extraordinary f")], "doc_id long, text string")
+    assert {r["doc"]: r["removed"] for r in line_dedup.removed_lines(docs).collect()} == {1: [], 2: [0]}
+    assert len(calls) == 2  # for the tokens, and for sets too small to be joined
+
+
+def test_crowded_tokens_come_last(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_LIST", 5)
+    by = {d: [" ".join(["extraordinarily", *(f"w{d % 11}{k}" for k in range(9)), f"v{d}"][: 6 + d % 5]), " ".join([*(f"long{d}{k}" for k in range(70)), "extraordinarily"])] for d in range(40)}
+    by |= {d: [" ".join(w for k, w in enumerate(by[d - 40][1].split()) if k % (8 + d % 4))] for d in range(40, 80)}
+    docs = spark.createDataFrame([(d, "\n".join(x)) for d, x in by.items()], "doc_id long, text string")
+    seen, whole = [], line_dedup.uncrowded
+    monkeypatch.setattr(line_dedup, "uncrowded", lambda different, *rest: seen.append((different, whole(different, *rest), rest[2])) or seen[-1][1])
+    from tests.llm.test_operators import check_lines
+
+    check_lines(docs, by)
+    before, after, crowded = seen[0][0], *seen[-1][1:]
+    bits = ["place", "n", "bits0", "bits1"]
+    assert sorted(map(tuple, before.select(*bits).collect())) == sorted(map(tuple, after.select(*bits).collect()))
+    held = lambda rows: sum(t & 65535 in crowded for r in rows.collect() for t in r["prefix"])
+    assert held(after) * 2 < held(before) and {len(r["prefix"]) for r in after.collect()} == {len(r["prefix"]) for r in before.collect()}
+
+
 def test_line_dedup_of_odd_rows(docs):
     found = {r["doc"]: r["removed"] for r in line_dedup.removed_lines(docs).collect()}
     assert found[1] == [] and found[2] == [] and set(found) == {1, 2, 3, 4, 5, 7, 8, 9, None}
