@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ FEW = 1_000_000
 WORD = "[^\\x20\\x09-\\x0D]+"
 GAP = "[\\x20\\x09-\\x0D]+"
 
+#: Paths that are taken while ``cut_alone`` makes its table.
+_meanwhile: ContextVar[list[str] | None] = ContextVar("meanwhile", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
@@ -39,6 +44,8 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    if (paths := _meanwhile.get()) is not None:
+        paths.append(path)
     return path
 
 
@@ -54,6 +61,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_alone(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """``make()``, cut; the tables that were cut meanwhile are then deleted, as only this one is read again."""
+    outer = _meanwhile.set(paths := [])
+    try:
+        made = make()
+    finally:
+        _meanwhile.reset(outer)
+    out, spark = cut(made, name), made.sparkSession
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return out
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once for each row.
 

@@ -15,8 +15,8 @@ each line's tokens, which none as similar as asked can fail; the Jaccard similar
 of those left is verified on their words.
 
 The join asks which lines have an earlier match, not for all pairs.  So in each
-token's list over ``LED_LIST`` every line is first held against the earliest one, and
-against the earliest of those that may not match that; lines whose match is verified
+token's list over ``LED_LIST`` every line is first held against the earliest one, then, in
+long lists, against a few pivots of the list, and more of them while too many pairs are left; lines whose match is verified
 are settled, which in a group of copies leaves few.  The others are joined with all
 earlier lines of their lists.  The lists are a table bucketed by token, which all steps
 read without another shuffle.  A list over ``HOT_LIST`` is then dealt out in blocks,
@@ -39,25 +39,31 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import FEW, GAP, cut, fresh_path, is_few, let, maybe_broadcast, numbered, whole_row
+from siltstone.llm.common import FEW, GAP, cut, cut_alone, fresh_path, is_few, let, maybe_broadcast, numbered, whole_row
 from siltstone.llm.simhash import spark_partitions
 
 #: Sets of fewer tokens are as similar as asked only if they are equal.
 JOINED_TOKENS = 4
 #: Tokens of prefixes are counted in so many hash buckets.
 BUCKETS = 1 << 16
-#: Tokens come last whose bucket holds over so many times the mean, and over ``LEAST_CROWD``.
-CROWDED = 64
+#: Tokens come last whose bucket holds over so many times the mean, at first and in later rounds, and over ``LEAST_CROWD``.
+FULL, CROWDED = 4, 64
 LEAST_CROWD = 1000
+#: So many tokens more than the prefix are kept with it, to take the places of those that come last.
+SPARE = 4
 #: The next words of the same lines can crowd in turn, so often at most.
 CROWD_ROUNDS = 4
 #: Lines of more tokens than this have 128 parity bits, others 64.
 LANE_TOKENS = 64
 BITS = ["bits0", "bits1"]
+TOKENS = ["prefix", "spare"]
 #: Lists over so many lines are dealt out in blocks of about as many.
 HOT_LIST = 20_000
 #: Lists up to so many lines are short enough to compare all their pairs at once.
 LED_LIST = 16
+#: Lines of lists of over ``PIVOTED`` times as many are held against so many of their list, round by round.
+PIVOTS = (8, 64, 512, 4096)
+PIVOTED = 8
 SPACES = "\t\x0b\x0c\r"
 HASH_BITS = 56
 #: Of lines with two longs of parity bits, one is of the words of so many bytes, the other of shorter ones.
@@ -93,6 +99,15 @@ class Order:
         same = F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("version") == F.col("of_version"))
         return lines.join(self.ranks, same).withColumn("place", F.shiftleft("rank", self.width).bitwiseOR(F.col("line").cast("long"))).drop("of_doc", "of_version", "rank")
 
+    def holding(self, docs: DataFrame, places: DataFrame) -> DataFrame:
+        """``docs`` without those that hold none of ``places``, where that is known without their texts."""
+        docs = docs.select("doc_id", "text")
+        if self.ranks is not None or not is_few(places):
+            return docs
+        rank = F.coalesce(F.col("doc_id").cast("long") - F.lit(self.low), F.lit(self.high - self.low + 1))
+        held = places.select(F.shiftright("place", self.width).alias("held")).distinct()
+        return docs.join(F.broadcast(held), rank == F.col("held"), "left_semi")
+
 
 def order_of(lines: DataFrame) -> Order:
     """Ids of real corpora fit in a place as they are.
@@ -155,33 +170,55 @@ def bucket(token: Column) -> Column:
     return token.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def crowded_buckets(different: DataFrame, least: int) -> set[int]:
-    """Hash buckets that hold many more of the prefixes' tokens than others."""
+def crowded_buckets(different: DataFrame, least: int, times: int) -> tuple[set[int], bool]:
+    """Hash buckets that hold over ``times`` as many of the prefixes' tokens as the mean; whether some hold over ``CROWDED`` times."""
     tokens = different.where(F.col("n") >= JOINED_TOKENS).select(F.explode("prefix").alias("t"))
     counts = tokens.groupBy(bucket(F.col("t")).alias("b")).count().collect()  # one row a bucket
-    most = max(least, CROWDED * sum(n for _, n in counts) // BUCKETS)
-    return {b for b, n in counts if n > most}
+    mean = sum(n for _, n in counts) / BUCKETS
+    return {b for b, n in counts if n > max(least, times * mean)}, any(n > max(least, CROWDED * mean) for _, n in counts)
 
 
 def uncrowded(different: DataFrame, docs: DataFrame, order: Order, crowded: set[int]) -> DataFrame:
-    """``different`` with the tokens of crowded buckets after all others, cut; prefixes without one are what they were."""
+    """``different`` with the tokens of crowded buckets after all others; prefixes without one are what they were.
+
+    The texts are read again of lines whose spare tokens are too few.
+    """
     flags = F.split(F.lit(",".join("1" if b in crowded else "0" for b in range(BUCKETS))), ",").cast("array<tinyint>")
-    is_crowded = lambda t: F.element_at(flags, bucket(t) + 1) == 1
-    marked = cut(different.withColumn("again", (F.col("n") >= JOINED_TOKENS) & F.exists("prefix", is_crowded)), "marked-lines")
-    places = cut(marked.where("again").select("place"), "crowded-places")
-    lines = order.place(numbered_lines(docs)).join(maybe_broadcast(places), "place", "left_semi").dropDuplicates(["place"])
-    last = lambda t: F.when(is_crowded(t), t.bitwiseOR(F.lit(-1 << 63))).otherwise(t)
+    last = lambda t: F.when(F.element_at(flags, bucket(t) + 1) == 1, t.bitwiseOR(F.lit(-1 << 63))).otherwise(t)
+    few, many = different.where(F.col("n") < JOINED_TOKENS), different.where(F.col("n") >= JOINED_TOKENS)
+    ordered = F.reverse(F.sort_array(F.transform(F.concat("prefix", "spare"), last)))
+    own = [c for c in different.columns if c not in TOKENS]
+    parted = lambda rows: rows.select(*own, *prefix_and_spare(F.col("n"), F.col("first"))).select(*different.columns)
+    moved = lambda rows: parted(rows.select(*own, F.explode(F.array(ordered)).alias("first")))
+    # Of sorted tokens, those that come last are negative.
+    short = (F.element_at(ordered, prefix_length(F.col("n"))) < 0) & (F.col("n") > F.size("prefix") + F.size("spare"))
+    places = cut(many.where(short).select("place"), "crowded-places")
+    if not places.limit(1).count():
+        return few.unionByName(moved(many))
+    lines = order.place(numbered_lines(order.holding(docs, places))).join(maybe_broadcast(places), "place", "left_semi").dropDuplicates(["place"])
     sets = lines.select("place", F.explode(F.array(F.sort_array(F.transform(tokens_of(F.col("text")), last)))).alias("tokens"))
-    size = prefix_length(F.size("tokens"))
-    found = sets.select("place", F.reverse(F.slice("tokens", F.size("tokens") - size + 1, size)).alias("prefix"))
-    changed = marked.where("again").drop("prefix").join(found, "place").select(*different.columns)
-    return cut(marked.where("NOT again").select(*different.columns).unionByName(changed), "different-lines")
+    found = sets.select("place", first_tokens(F.col("tokens")).alias("first"))
+    changed = moved(unsettled(many, places))
+    again = parted(many.join(maybe_broadcast(places), "place", "left_semi").select(*own).join(found, "place"))
+    return few.unionByName(changed).unionByName(again)
+
+
+def first_tokens(tokens: Column) -> Column:
+    """Of a line's ascending tokens the last, in descending order: its prefix and spare ones."""
+    n = F.size(tokens)
+    kept = F.least(n, prefix_length(n) + SPARE)
+    return F.reverse(F.slice(tokens, n - kept + 1, kept))
+
+
+def prefix_and_spare(n: Column, first: Column) -> list[Column]:
+    size = prefix_length(n)
+    return [F.slice(first, F.lit(1), size).alias("prefix"), F.slice(first, size + 1, F.lit(SPARE)).alias("spare")]
 
 
 def different_lines(docs: DataFrame, order: Order, repeated: DataFrame) -> DataFrame:
-    """(place, n, bits0, bits1, prefix, same) of the first of each group of equal lines, cut.
+    """(place, n, bits0, bits1, prefix, spare, same) of the first of each group of equal lines, cut.
 
-    ``prefix``: the first tokens, in order.  ``same`` is the XXH64 of the words' set
+    ``prefix``: the first tokens, in order; ``spare``: the next.  ``same`` is the XXH64 of the words' set
     where that is too small to be joined.
     """
     lines = order.place(keyed(numbered_lines(docs).where(has_word(F.col("text")))))
@@ -189,9 +226,8 @@ def different_lines(docs: DataFrame, order: Order, repeated: DataFrame) -> DataF
     # A generator's output is evaluated once, however many expressions mention it.
     sets = lines.select("place", "text", F.explode(F.array(tokens_of(F.col("text")))).alias("tokens"))
     n = F.size("tokens")
-    prefix = F.reverse(F.slice("tokens", n - prefix_length(n) + 1, prefix_length(n)))
     same = F.when(n < JOINED_TOKENS, F.xxhash64(F.array_join(F.sort_array(F.array_distinct(words_of(F.col("text")))), " ")))
-    return cut(sets.select("place", n.alias("n"), *parity(F.col("tokens"), n), prefix.alias("prefix"), same.alias("same")), "different-lines")
+    return cut(sets.select("place", n.alias("n"), *parity(F.col("tokens"), n), *prefix_and_spare(n, first_tokens(F.col("tokens"))), same.alias("same")), "different-lines")
 
 
 def postings(different: DataFrame) -> str:
@@ -231,7 +267,7 @@ def verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
     """(place, cut) of those (later, earlier) pairs' later lines whose words' Jaccard similarity is at least 0.8."""
     pairs = cut(pairs.distinct(), "pairs")
     used = cut(pairs.select(F.explode(F.array("later", "earlier")).alias("place")).distinct(), "paired")
-    lines = order.place(numbered_lines(docs)).join(maybe_broadcast(used), "place", "left_semi")
+    lines = order.place(numbered_lines(order.holding(docs, used))).join(maybe_broadcast(used), "place", "left_semi")
     texts = cut(lines.select("place", "text").dropDuplicates(["place"]), "paired-lines")
     both = pairs.join(texts.select(F.col("place").alias("later"), F.col("text").alias("a")), "later").join(texts.select(F.col("place").alias("earlier"), F.col("text").alias("b")), "earlier")
     of = lambda c: F.array_distinct(F.array_remove(F.split(F.col(c), GAP), ""))
@@ -245,19 +281,36 @@ def leaders(rows: DataFrame) -> DataFrame:
     return rows.groupBy("token").agg(F.count("*").alias("length"), F.min("place").alias("place"), *(F.min_by(c, "place").alias(c) for c in ("nk", *BITS)))
 
 
-def led(rows: DataFrame, lead: DataFrame) -> DataFrame:
-    """(later, earlier): lines of the lists of ``lead`` with the list's earliest, or with the earliest that may not match that."""
-    listed = rows.alias("x").join(maybe_broadcast(lead).alias("y"), F.col("x.token") == F.col("y.token")).where("x.place > y.place")
-    free = cut(leaders(listed.where(~may_match("x", "y")).select("x.*")), "next-leaders")
-    return earlier_pairs(rows, maybe_broadcast(lead), ["token"]).unionByName(earlier_pairs(rows, maybe_broadcast(free), ["token"]))
+def unsettled(rows: DataFrame, settled: DataFrame) -> DataFrame:
+    return rows.join(maybe_broadcast(settled), "place", "left_anti")
+
+
+def held_against_pivots(rows: DataFrame, long: DataFrame, settled: DataFrame, most: int, docs: DataFrame, order: Order) -> DataFrame:
+    """``settled`` with the lines that match one of their lists' pivots, which are about so many lines of each long list, by hash.
+
+    A line that so many earlier ones of its list match, of those that may, is settled after about as many pairs as one match
+    takes.  There are more pivots in a next round if the other lines are still left with over ``most`` pairs, as these ones' number says.
+    """
+    for pivots in PIVOTS:
+        lists = cut(long.where(F.col("length") > PIVOTED * pivots).select("token", F.ceil(F.col("length") / pivots).alias("every")), "pivoted-lists")
+        if not lists.limit(1).count():
+            break
+        some = rows.join(maybe_broadcast(lists), "token").where(F.pmod(F.xxhash64("place"), F.col("every")) == 0)
+        pairs = earlier_pairs(unsettled(rows, settled), maybe_broadcast(cut(some, "pivots")), ["token"], F.col("y.every"))
+        pairs = cut(pairs, "pivot-pairs")
+        settled = cut(settled.unionByName(verified(pairs.select("later", "earlier"), docs, order)), "settled")
+        left = pairs.join(maybe_broadcast(settled), F.col("later") == F.col("place"), "left_anti").agg(F.sum("every")).first()[0] or 0
+        if left <= most:
+            break
+    return settled
 
 
-def earlier_pairs(later: DataFrame, rows: DataFrame, by: list[str]) -> DataFrame:
-    """(later, earlier) of postings that share ``by`` and pass the filters."""
+def earlier_pairs(later: DataFrame, rows: DataFrame, by: list[str], *more: Column) -> DataFrame:
+    """(later, earlier, more) of postings that share ``by`` and pass the filters."""
     same = (F.col("y.place") < F.col("x.place")) & may_match("x", "y")
     for c in by:
         same = (F.col(f"x.{c}") == F.col(f"y.{c}")) & same
-    return later.alias("x").join(rows.alias("y"), same).select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier"))
+    return later.alias("x").join(rows.alias("y"), same).select(F.col("x.place").alias("later"), F.col("y.place").alias("earlier"), *more)
 
 
 def blocks(rows: DataFrame, hot: DataFrame, mine: str, other: str, size: int) -> DataFrame:
@@ -273,14 +326,15 @@ def matched_places(different: DataFrame, docs: DataFrame, order: Order, hot_list
     rows = different.sparkSession.table(name)
     long = cut(leaders(rows).where(F.col("length") > min(LED_LIST, hot_list)), "long-lists")
     hot = long.where(F.col("length") > hot_list).select("token", "length")
-    settled = verified(led(rows, long), docs, order)
+    settled = verified(earlier_pairs(rows, maybe_broadcast(long), ["token"]), docs, order)
+    listed = long.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    settled = held_against_pivots(rows, long, settled, listed // PIVOTED, docs, order)
     short, any_hot = rows, hot.limit(1).count() > 0
     if any_hot:
         short = rows.join(maybe_broadcast(hot), "token", "left_anti")
-    rest = lambda listed: listed.join(maybe_broadcast(settled), "place", "left_anti")
-    pairs = earlier_pairs(rest(short), short, ["token"])
+    pairs = earlier_pairs(unsettled(short, settled), short, ["token"])
     if any_hot:
-        pairs = pairs.unionByName(earlier_pairs(blocks(rest(rows), hot, "i", "j", hot_list), blocks(rows, hot, "j", "i", hot_list), ["token", "i", "j"]))
+        pairs = pairs.unionByName(earlier_pairs(blocks(unsettled(rows, settled), hot, "i", "j", hot_list), blocks(rows, hot, "j", "i", hot_list), ["token", "i", "j"]))
     found = cut(settled.unionByName(verified(pairs, docs, order)), "matched")
     different.sparkSession.sql(f"DROP TABLE {name}")
     return found
@@ -293,6 +347,23 @@ def equal_sets(different: DataFrame) -> DataFrame:
     return small.join(maybe_broadcast(cut(firsts, "small-sets")), "same").where("place > first").select("place")
 
 
+def ordered_lines(docs: DataFrame, order: Order, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``different_lines``, as they are and with tokens that crowd the prefixes after all others."""
+    first = different = different_lines(docs, order, repeated)
+    crowded: set[int] = set()
+    for times in [FULL, *[CROWDED] * (CROWD_ROUNDS - 1)]:
+        more, worst = crowded_buckets(different, min(HOT_LIST, LEAST_CROWD), times)
+        more -= crowded
+        if not more:
+            break
+        crowded = crowded | more
+        different = uncrowded(different, docs, order, crowded)
+        if not worst:
+            break
+        different = cut(different, "different-lines")
+    return first, different
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc, version, n_lines, removed): each document's removed line numbers, in order."""
     lines = cut(keyed(numbered_lines(docs)).select("doc", "version", "line", "key", "check", has_word(F.col("text")).alias("worded")), "lines")
@@ -300,18 +371,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     places = order.place(lines)
     # Lines without a word are no repeats of each other.
     repeated = repeated_keys(places.where("worded"))
-    different = different_lines(docs, order, repeated)
-    crowded: set[int] = set()
-    for _ in range(CROWD_ROUNDS):
-        more = crowded_buckets(different, min(HOT_LIST, LEAST_CROWD)) - crowded
-        if not more:
-            break
-        crowded = crowded | more
-        different = uncrowded(different, docs, order, crowded)
     # A text that came before goes, and a line that has an earlier match; of the
     # match's own repeats, all stand later.
-    gone = matched_places(different, docs, order).unionByName(equal_sets(different)).withColumn("matched", F.lit(True))
-    gone = cut(gone, "gone")
+    first, different = ordered_lines(docs, order, repeated)
+    gone = cut_alone("gone", lambda: matched_places(different, docs, order).unionByName(equal_sets(first)).withColumn("matched", F.lit(True)))
     marked = places.join(maybe_broadcast(repeated), ["key", "check"], "left").join(maybe_broadcast(gone), "place", "left")
     out = F.coalesce("matched", F.lit(False)) | F.coalesce(F.col("place") > F.col("first"), F.lit(False))
     return marked.groupBy("doc", "version").agg((F.max("line") + 1).cast("long").alias("n_lines"), F.sort_array(F.collect_set(F.when(out, F.col("line")))).alias("removed"))
@@ -322,7 +385,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     Lines without a word are no repeats of each other.  A null text stays null.
     """
-    found = cut(removed_lines(docs).where(F.size("removed") > 0).select("doc", "version", "removed"), "removed-lines")
+    found = cut_alone("removed-lines", lambda: removed_lines(docs).where(F.size("removed") > 0).select("doc", "version", "removed"))
     total = found.agg(F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()[0]
     small = is_few(found) and total <= 4 * FEW  # else documents are shuffled to their removals
     whole = docs.select(whole_row(docs).alias("row"))

@@ -135,6 +135,17 @@ def test_crowded_tokens_come_last(spark, monkeypatch):
     assert held(after) * 2 < held(before) and {len(r["prefix"]) for r in after.collect()} == {len(r["prefix"]) for r in before.collect()}
 
 
+def test_pairs_of_several_groups_in_one_list_are_few(spark, monkeypatch):
+    """Groups of near copies that share their first tokens: neither list's first lines settle them all."""
+    shared = [f"sharedbyallgroups{k}" for k in range(10)]
+    by = {d: [" ".join([*shared, *(f"g{d % 6}w{k}" for k in range(29)), f"u{d}"])] for d in range(360)}
+    docs = spark.createDataFrame([(d, x[0]) for d, x in by.items()], "doc_id long, text string")
+    seen, whole = [], line_dedup.verified
+    monkeypatch.setattr(line_dedup, "verified", lambda pairs, *rest: seen.append(pairs.distinct().count()) or whole(pairs, *rest))
+    assert {r["doc"]: r["removed"] for r in line_dedup.removed_lines(docs).collect()} == {d: [0] * (d >= 6) for d in by}
+    assert sum(seen) < 3000, seen
+
+
 def test_line_dedup_of_odd_rows(docs):
     found = {r["doc"]: r["removed"] for r in line_dedup.removed_lines(docs).collect()}
     assert found[1] == [] and found[2] == [] and set(found) == {1, 2, 3, 4, 5, 7, 8, 9, None}
