@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm import simhash
-from siltstone.llm.common import cut, is_few, maybe_broadcast, whole_row
+from siltstone.llm.common import cut, cut_alone, is_few, maybe_broadcast, whole_row
 from siltstone.llm.simhash import SEED, roots, spark_partitions
 
 SHINGLE = 5
@@ -238,7 +238,7 @@ def copies(docs: DataFrame, hot_list: int = HOT_LIST) -> DataFrame:
 
 def keep_first(docs: DataFrame, hot_list: int = HOT_LIST) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest doc_id."""
-    gone = cut(copies(docs, hot_list).select(F.col("doc_id").alias("gone"), F.col("version").alias("gone_version")).distinct(), "gone")
+    gone = cut_alone("gone", lambda: copies(docs, hot_list).select(F.col("doc_id").alias("gone"), F.col("version").alias("gone_version")).distinct())
     rows = docs.select(whole_row(docs).alias("row"))
     # Beyond what may be broadcast, documents are shuffled to the ids that go.
     same = (F.col("row.doc_id").cast("long") == F.col("gone")) & (version(F.col("row.text")) == F.col("gone_version"))

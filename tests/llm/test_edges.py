@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from siltstone.llm.common import shared_dir
 from siltstone.llm import line_dedup, media, mixing, packing, pu_quality, quality_rules, queries, simhash, toxicity, transcripts, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -146,6 +147,17 @@ def test_pairs_of_several_groups_in_one_list_are_few(spark, monkeypatch):
     assert sum(seen) < 3000, seen
 
 
+def test_stages_leave_only_what_their_rows_are_read_from(spark, docs):
+    from pathlib import Path
+
+    shared = Path(shared_dir(spark).removeprefix("file://"))
+    for name, left in (("lines", "removed-lines"), ("near_copies", "gone")):
+        before = set(shared.iterdir())
+        out = dict(corpus_pipeline.STAGES)[name](spark, docs, "")
+        assert [x.name.rsplit("-", 1)[0] for x in set(shared.iterdir()) - before if x.is_dir()] == [left]
+        assert out.count()
+
+
 def test_line_dedup_of_odd_rows(docs):
     found = {r["doc"]: r["removed"] for r in line_dedup.removed_lines(docs).collect()}
     assert found[1] == [] and found[2] == [] and set(found) == {1, 2, 3, 4, 5, 7, 8, 9, None}
