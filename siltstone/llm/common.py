@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ GAP = "[\\x20\\x09-\\x0D]+"
 #: Paths that are taken while ``cut_alone`` makes its table.
 _meanwhile: ContextVar[list[str] | None] = ContextVar("meanwhile", default=None)
 
+#: What ``is_few`` has found, while its tables are in use.
+_few: WeakKeyDictionary[DataFrame, bool] = WeakKeyDictionary()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
@@ -89,8 +93,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def is_few(table: DataFrame) -> bool:
-    """Whether a cut table's rows may be broadcast."""
-    return table.count() <= FEW
+    """Whether a cut table's rows may be broadcast; they are counted once."""
+    if table not in _few:
+        _few[table] = table.count() <= FEW
+    return _few[table]
 
 
 def maybe_broadcast(table: DataFrame) -> DataFrame:

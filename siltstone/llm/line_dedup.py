@@ -35,6 +35,7 @@ No documents give no rows.  Extra columns of any name are kept by ``dedup_lines`
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,12 +137,16 @@ def has_word(text: Column) -> Column:
     return F.ltrim(text, F.lit(" \n" + SPACES)) != ""
 
 
-def words_of(text: Column) -> Column:
+def split_at_spaces(text: Column) -> Column:
+    """The words, and empty ones where spaces meet; most texts need no regular expression."""
     odd = F.lit(False)
     for c in SPACES:
         odd = odd | F.contains(text, F.lit(c))
-    words = F.when(odd, F.split(text, GAP)).otherwise(F.split(text, " "))
-    return F.array_remove(words, "")
+    return F.when(odd, F.split(text, GAP)).otherwise(F.split(text, " "))
+
+
+def words_of(text: Column) -> Column:
+    return F.array_remove(split_at_spaces(text), "")
 
 
 def tokens_of(text: Column) -> Column:
@@ -153,13 +158,18 @@ def tokens_of(text: Column) -> Column:
 
 
 def parity(tokens: Column, n: Column) -> list[Column]:
-    """Two longs of bits, each the parity of how many tokens fall on it; lines of few tokens use one."""
+    """Two longs of bits, each the parity of how many tokens fall on it; lines of few tokens use one.
+
+    Of few tokens each has a term of its own: compiled, where a lambda is interpreted for each token.
+    """
+    none = F.lit(0).cast("long")
     bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
-    of = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(bit(t)))
+    of = lambda some: F.aggregate(some, none, lambda bits, t: bits.bitwiseXOR(bit(t)))
+    few = reduce(Column.bitwiseXOR, [F.coalesce(bit(F.get(tokens, F.lit(k))), none) for k in range(LANE_TOKENS)])
     long, least = n > LANE_TOKENS, F.lit(LONG_WORD << HASH_BITS)
     shorter = F.array_position(F.sort_array(F.array_append(tokens, least)), least).cast("int") - 1
-    second = F.when(long, of(F.slice(tokens, shorter + 1, n - shorter))).otherwise(F.lit(0).cast("long"))
-    return [F.when(long, of(F.slice(tokens, F.lit(1), shorter))).otherwise(of(tokens)).alias("bits0"), second.alias("bits1")]
+    second = F.when(long, of(F.slice(tokens, shorter + 1, n - shorter))).otherwise(none)
+    return [F.when(long, of(F.slice(tokens, F.lit(1), shorter))).otherwise(few).alias("bits0"), second.alias("bits1")]
 
 
 def prefix_length(n: Column) -> Column:
@@ -183,20 +193,20 @@ def uncrowded(different: DataFrame, docs: DataFrame, order: Order, crowded: set[
 
     The texts are read again of lines whose spare tokens are too few.
     """
-    flags = F.split(F.lit(",".join("1" if b in crowded else "0" for b in range(BUCKETS))), ",").cast("array<tinyint>")
-    last = lambda t: F.when(F.element_at(flags, bucket(t) + 1) == 1, t.bitwiseOR(F.lit(-1 << 63))).otherwise(t)
+    signs = F.split(F.lit(",".join(str(-1 << 63) if b in crowded else "0" for b in range(BUCKETS))), ",").cast("array<bigint>")
+    last = lambda t: t.bitwiseOR(F.get(signs, t.bitwiseAND(F.lit(BUCKETS - 1))))
     few, many = different.where(F.col("n") < JOINED_TOKENS), different.where(F.col("n") >= JOINED_TOKENS)
     ordered = F.reverse(F.sort_array(F.transform(F.concat("prefix", "spare"), last)))
     own = [c for c in different.columns if c not in TOKENS]
     parted = lambda rows: rows.select(*own, *prefix_and_spare(F.col("n"), F.col("first"))).select(*different.columns)
-    moved = lambda rows: parted(rows.select(*own, F.explode(F.array(ordered)).alias("first")))
+    moved = lambda rows: parted(rows.select(*own, ordered.alias("first")))
     # Of sorted tokens, those that come last are negative.
     short = (F.element_at(ordered, prefix_length(F.col("n"))) < 0) & (F.col("n") > F.size("prefix") + F.size("spare"))
     places = cut(many.where(short).select("place"), "crowded-places")
     if not places.limit(1).count():
         return few.unionByName(moved(many))
     lines = order.place(numbered_lines(order.holding(docs, places))).join(maybe_broadcast(places), "place", "left_semi").dropDuplicates(["place"])
-    sets = lines.select("place", F.explode(F.array(F.sort_array(F.transform(tokens_of(F.col("text")), last)))).alias("tokens"))
+    sets = lines.select("place", F.sort_array(F.transform(tokens_of(F.col("text")), last)).alias("tokens"))
     found = sets.select("place", first_tokens(F.col("tokens")).alias("first"))
     changed = moved(unsettled(many, places))
     again = parted(many.join(maybe_broadcast(places), "place", "left_semi").select(*own).join(found, "place"))
@@ -223,8 +233,8 @@ def different_lines(docs: DataFrame, order: Order, repeated: DataFrame) -> DataF
     """
     lines = order.place(keyed(numbered_lines(docs).where(has_word(F.col("text")))))
     lines = lines.join(maybe_broadcast(repeated), ["key", "check"], "left").where("first IS NULL OR first = place")
-    # A generator's output is evaluated once, however many expressions mention it.
-    sets = lines.select("place", "text", F.explode(F.array(tokens_of(F.col("text")))).alias("tokens"))
+    # Costly columns that several expressions mention are evaluated once, in a projection of their own.
+    sets = lines.select("place", "text", tokens_of(F.col("text")).alias("tokens"))
     n = F.size("tokens")
     same = F.when(n < JOINED_TOKENS, F.xxhash64(F.array_join(F.sort_array(F.array_distinct(words_of(F.col("text")))), " ")))
     return cut(sets.select("place", n.alias("n"), *parity(F.col("tokens"), n), *prefix_and_spare(n, first_tokens(F.col("tokens"))), same.alias("same")), "different-lines")
@@ -270,7 +280,7 @@ def verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
     lines = order.place(numbered_lines(order.holding(docs, used))).join(maybe_broadcast(used), "place", "left_semi")
     texts = cut(lines.select("place", "text").dropDuplicates(["place"]), "paired-lines")
     both = pairs.join(texts.select(F.col("place").alias("later"), F.col("text").alias("a")), "later").join(texts.select(F.col("place").alias("earlier"), F.col("text").alias("b")), "earlier")
-    of = lambda c: F.array_distinct(F.array_remove(F.split(F.col(c), GAP), ""))
+    of = lambda c: F.array_distinct(F.array_remove(split_at_spaces(F.col(c)), ""))
     found = both.select("later", F.explode(F.array(F.struct(of("a").alias("a"), of("b").alias("b")))).alias("w"))
     shared = F.size(F.array_intersect("w.a", "w.b"))
     return cut(found.where(shared * 9 >= (F.size("w.a") + F.size("w.b")) * 4).select(F.col("later").alias("place")).distinct(), "verified")

@@ -1,10 +1,12 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns, for every operator and stage."""
 
+from functools import reduce
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siltstone.llm.common import shared_dir
+from siltstone.llm.common import is_few, shared_dir
 from siltstone.llm import line_dedup, media, mixing, packing, pu_quality, quality_rules, queries, simhash, toxicity, transcripts, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -136,6 +138,28 @@ def test_crowded_tokens_come_last(spark, monkeypatch):
     assert held(after) * 2 < held(before) and {len(r["prefix"]) for r in after.collect()} == {len(r["prefix"]) for r in before.collect()}
 
 
+def test_tokens_are_made_by_projections(spark, monkeypatch):
+    """Generators are interpreted, projections are compiled; a table's rows are counted once."""
+    plans, whole, counted, count = {}, line_dedup.cut, [], type(spark.range(1)).count
+    monkeypatch.setattr(line_dedup, "cut", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and whole(df, name))
+    docs = spark.createDataFrame([(1, "a b c d extraordinary"), (2, "a b c d extraordinary\na b c e extraordinary f")], "doc_id long, text string")
+    assert {r["doc"]: r["removed"] for r in line_dedup.removed_lines(docs).collect()} == {1: [], 2: [0]}
+    assert plans["different-lines"].count("Generate ") == 1  # the lines of texts
+    rows = spark.range(3)
+    monkeypatch.setattr(type(rows), "count", lambda df: counted.append(df) or count(df))
+    assert is_few(rows) and is_few(rows) and len(counted) == 1
+
+
+def test_parity_of_few_and_many_tokens(spark):
+    sets = {n: sorted((8 if k % 3 else 3) << 56 | (k * k * 7919 + 31 * k) for k in range(n)) for n in (1, 2, 63, 64, 65, 130)}
+    rows = spark.createDataFrame(list(sets.items()), "n int, tokens array<long>")
+    found = {r["n"]: (r["bits0"], r["bits1"]) for r in rows.select("n", *line_dedup.parity(F.col("tokens"), F.col("n"))).collect()}
+    bits = lambda some: reduce(lambda x, t: x ^ 1 << (t & 63), some, 0)
+    signed = lambda x: x - (1 << 64) * (x >> 63)
+    parts = {n: ([t for t in ts if n <= 64 or t >> 56 < 6], [t for t in ts if n > 64 and t >> 56 >= 6]) for n, ts in sets.items()}
+    assert found == {n: tuple(signed(bits(x)) for x in both) for n, both in parts.items()}
+
+
 def test_pairs_of_several_groups_in_one_list_are_few(spark, monkeypatch):
     """Groups of near copies that share their first tokens: neither list's first lines settle them all."""
     shared = [f"sharedbyallgroups{k}" for k in range(10)]
